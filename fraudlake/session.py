@@ -24,16 +24,28 @@ def build_session(app="fraudlake", master=None, shuffle_partitions=None):
     return b.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting gets a temporary folder of its own."""
+_local_root = None
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a local-mode session without
+    that setting gets a temporary folder of its own."""
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="fraudlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/fraudlake-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="fraudlake-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_local_root)
+    return _local_root
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name below the shared one."""
+    return f"{shared_root(spark)}/fraudlake-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
