@@ -7,7 +7,8 @@ from .. import config as C
 from ..functions.expressions import bin_label, class_label, hour_bin, right_closed_bin
 from .quantiles import exact_quantiles
 
-N = F.count(F.lit(1))
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def rate(target: str = C.TARGET) -> Column:
@@ -20,14 +21,14 @@ def rate_by(df: DataFrame, group: str, with_positives: bool = True) -> DataFrame
     positives = [F.sum(C.TARGET).alias("fraud_count")] if with_positives else []
     return (
         df.groupBy(group)
-        .agg(N.alias("txn_count"), *positives, F.round(rate() * 100, 2).alias("fraud_rate_pct"))
+        .agg(rows().alias("txn_count"), *positives, F.round(rate() * 100, 2).alias("fraud_rate_pct"))
         .orderBy(F.desc("fraud_rate_pct"), group)
     )
 
 
 def amount_by_class(df: DataFrame) -> DataFrame:
     return df.groupBy(C.TARGET).agg(
-        N.alias("txn_count"),
+        rows().alias("txn_count"),
         F.round(F.avg(C.AMOUNT), 2).alias("avg_amount"),
         F.round(F.min(C.AMOUNT), 2).alias("min_amount"),
         F.round(F.max(C.AMOUNT), 2).alias("max_amount"),
@@ -40,7 +41,7 @@ def means_by_class(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def overall(df: DataFrame) -> DataFrame:
     return df.agg(
-        N.alias("total_rows"),
+        rows().alias("total_rows"),
         F.sum(C.TARGET).alias("total_fraud"),
         F.round(rate() * 100, 2).alias("fraud_rate_pct"),
         F.round(F.avg(C.AMOUNT), 2).alias("avg_amount"),
@@ -84,7 +85,7 @@ def median_by_class(df: DataFrame) -> DataFrame:
 
 def class_balance(df: DataFrame) -> DataFrame:
     """Per class count and percentage, and the ratio of class 0 to class 1."""
-    counts = df.where(F.col(C.TARGET).isNotNull()).groupBy(C.TARGET).agg(N.alias("n"))
+    counts = df.where(F.col(C.TARGET).isNotNull()).groupBy(C.TARGET).agg(rows().alias("n"))
     whole = Window.partitionBy(F.lit(0))  # two rows at this point
 
     def of(v):
@@ -151,7 +152,7 @@ def hour_class_counts(df: DataFrame) -> DataFrame:
 def product_share(df: DataFrame, group: str = "ProductCD") -> DataFrame:
     """The total counts every row, also those without a group, so it is taken
     from the grouped rows before the null group is dropped."""
-    g = df.groupBy(group).agg(N.alias("rows"), F.count(C.TARGET).alias("n"),
+    g = df.groupBy(group).agg(rows().alias("rows"), F.count(C.TARGET).alias("n"),
                               F.sum(C.TARGET).alias("fraud_count"), rate().alias("fraud_rate"))
     total = F.sum("rows").over(Window.partitionBy(F.lit(0)))  # one row per product code
     return (

@@ -37,8 +37,7 @@ def moments(df: DataFrame, columns: list[str], by: list | None = None) -> DataFr
         structs = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
                             F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"))
                    for i, c in enumerate(columns)]
-        return got.select(*[c for c in got.columns if c in by or c == "window"],
-                          F.inline(F.array(*structs)))
+        return got.select(*got.columns[:len(by)], F.inline(F.array(*structs)))
     return tidy(df.agg(*stats), [[c, f"$n{i}", f"$m{i}", f"$s{i}"] for i, c in enumerate(columns)],
                 ["feature", "n", "mean", "std"])
 

@@ -121,15 +121,16 @@ def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
 
 
 def impute(df: DataFrame, medians: dict[str, float], keep: tuple = ()) -> DataFrame:
-    """Fill nulls of the numeric columns with the learned median, else with 0. A
-    whole-number column with a fractional median becomes a double column. The
-    target and the ``keep`` columns stay as they are."""
+    """Fill nulls of the numeric columns with the learned median, else with 0. Codes
+    and counts stay whole numbers, all other features are doubles, so the types do
+    not depend on the data. The target and the ``keep`` columns stay as they are."""
     def fill(f):
         m = medians.get(f.name, 0.0)
         if f.name in (C.TARGET, *keep) or not isinstance(f.dataType, T.NumericType):
             return F.col(f.name)
-        whole = isinstance(f.dataType, T.IntegralType) and float(m).is_integer()
-        return F.coalesce(F.col(f.name), F.lit(int(m) if whole else float(m))).alias(f.name)
+        if f.name in (*C.CATEGORICAL_FEATURES, PAIR_COUNT):
+            return F.coalesce(F.col(f.name), F.lit(int(m)).cast("long")).alias(f.name)
+        return F.coalesce(F.col(f.name).cast("double"), F.lit(float(m))).alias(f.name)
 
     return df.select(*[fill(f) for f in df.schema])
 
