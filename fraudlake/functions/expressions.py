@@ -1,8 +1,7 @@
 """Column expressions. All run inside the JVM; none is a Python function per row."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 
@@ -76,20 +75,22 @@ def score_columns(p, threshold: float = C.SCORE_THRESHOLD) -> dict[str, Column]:
     }
 
 
-def with_payload_defaults(payload, defaults: dict = C.REQUEST_DEFAULTS) -> dict[str, Column]:
-    """Declared request fields read from a JSON text, absent ones filled with their
-    default; ``extras`` keeps every other field as text."""
-    payload = col(payload)
-    schema = T.StructType([
-        T.StructField(n, T.StringType() if isinstance(d, str) else T.DoubleType())
-        for n, d in defaults.items()
-    ])
-    fields = F.from_json(payload, schema)
-    every = F.from_json(payload, T.MapType(T.StringType(), T.StringType()))
+def with_payload_defaults(df: DataFrame, payload: str, defaults: dict = C.REQUEST_DEFAULTS) -> DataFrame:
+    """Replace the JSON text column by the declared request fields, absent ones
+    filled with their default; ``extras`` keeps every other field as text. The text
+    is parsed once, in a step of its own."""
+    others = [c for c in df.columns if c != payload]
+    parsed = df.select(*others, F.from_json(payload, "map<string,string>").alias("_fields"))
     names = F.array(*map(F.lit, defaults))
-    out = {n: F.coalesce(fields[n], F.lit(d)) for n, d in defaults.items()}
-    out["extras"] = F.map_filter(every, lambda k, _: ~F.array_contains(names, k))
-    return out
+
+    def field(name, default):
+        text = F.try_element_at("_fields", F.lit(name))
+        value = text if isinstance(default, str) else text.try_cast("double")
+        return F.coalesce(value, F.lit(default)).alias(name)
+
+    return parsed.select(
+        *others, *[field(n, d) for n, d in defaults.items()],
+        F.map_filter("_fields", lambda k, _: ~F.array_contains(names, k)).alias("extras"))
 
 
 def payload_key(columns: list[str]) -> Column:

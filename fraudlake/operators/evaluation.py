@@ -92,7 +92,8 @@ def roc_curve(df: DataFrame, label=C.TARGET, score=SCORE) -> DataFrame:
     points = score_curve(df, label, score).select(
         F.col(SCORE).alias("threshold"),
         F.try_divide("fp", "fp_total").alias("fpr"), F.try_divide("tp", "tp_total").alias("tpr"))
-    origin = df.sparkSession.createDataFrame([(None, 0.0, 0.0)], points.schema)
+    origin = df.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(origin)
 
 

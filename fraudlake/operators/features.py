@@ -55,8 +55,9 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         for c in columns])
     counted = (df.select(F.inline(values)).groupBy("feature", "category")
                .agg(F.count(F.lit(1)).alias("n_rows")))
-    always = df.sparkSession.createDataFrame(
-        [(c, C.UNKNOWN, 0) for c in columns], "feature string, category string, n_rows long")
+    always = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(C.UNKNOWN).alias("category"),
+                 F.lit(0).cast("long").alias("n_rows")) for c in columns])))
     return (counted.unionByName(always).groupBy("feature", "category")
             .agg(F.sum("n_rows").alias("n_rows")))
 
@@ -86,6 +87,14 @@ def label_codes(counts: DataFrame, task_rows: int = VOCABULARY_TASK_ROWS) -> Dat
         .drop("_range", "_offset"))
 
 
+def fit_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Codes of all columns, written to the shared folder: one pass over the data."""
+    if not columns:
+        return df.sparkSession.createDataFrame(
+            [], "feature string, category string, n_rows long, code long")
+    return materialize(label_codes(materialize(category_counts(df, columns))))
+
+
 def encode(df: DataFrame, codes: DataFrame, columns: list[str],
            small: dict[str, bool] | None = None, unknown: dict[str, int] | None = None) -> DataFrame:
     """Replace categories by their code; unseen and null ones get ``unknown``'s."""
@@ -93,10 +102,11 @@ def encode(df: DataFrame, codes: DataFrame, columns: list[str],
         unknown = dict(codes.where(F.col("category") == C.UNKNOWN).select("feature", "code").collect())
     present = [c for c in columns if c in df.columns and c in unknown]
     names = df.columns
+    df = df.select(*names, *[F.coalesce(F.col(c).cast("string"), F.lit(C.UNKNOWN)).alias("_" + c)
+                             for c in present])
     for c in present:
         table = codes.where(F.col("feature") == c).select(
             F.col("category").alias("_" + c), F.col("code").alias("_code_" + c))
-        df = df.withColumn("_" + c, F.coalesce(F.col(c).cast("string"), F.lit(C.UNKNOWN)))
         df = lookup(df, table, ["_" + c], None if small is None else small[c])
     return df.select(*[
         F.coalesce(F.col("_code_" + c), F.lit(unknown[c])).cast("long").alias(c) if c in present else c
@@ -221,9 +231,7 @@ class FeatureEstimator:
             small[PAIR_COUNT] = (n_pairs or 0) <= C.BROADCAST_ROWS
             medians[PAIR_COUNT] = float(median or 0.0)
         categorical = [c for c in C.CATEGORICAL_FEATURES if c in train.columns]
-        codes = materialize(label_codes(category_counts(train, categorical))) if categorical else \
-            train.sparkSession.createDataFrame(
-                [], "feature string, category string, n_rows long, code long")
+        codes = fit_codes(train, categorical)
         unknown = {}
         for r in codes.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
@@ -237,7 +245,8 @@ class FeatureEstimator:
         medians.update(fit_medians(raw, [c for c in pick_features(raw) if c not in categorical
                                          and isinstance(raw.schema[c].dataType, T.NumericType)]))
         model = FeatureModel(counts, codes, medians, [], unknown, small)
-        model.feature_columns = pick_features(model.derive(train.limit(0)))
+        derived = [*raw.columns, *([PAIR_COUNT] if counts is not None else [])]
+        model.feature_columns = [c for c in C.ALL_FEATURES if c in derived]
         self._model = model
         return model
 

@@ -11,7 +11,7 @@ from pyspark.storagelevel import StorageLevel
 
 from .. import config as C
 from ..functions.expressions import score_columns
-from ..session import shared_root
+from ..session import materialize, shared_root
 from .evaluation import SCORE, evaluate
 
 WEIGHT, VECTOR = "_weight", "_features"
@@ -64,7 +64,11 @@ def train(kind: str, matrix: DataFrame, features: list[str] | None = None, **par
         rows = balanced(matrix)
     else:
         raise ValueError(f"unknown classifier {kind}")
-    ready = assemble(rows, features).select(VECTOR, C.TARGET, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = assemble(rows, features).select(VECTOR, C.TARGET, WEIGHT)
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    if ready.rdd.getNumPartitions() < cores:  # a small input in few files
+        ready = ready.repartition(cores)
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return learner.fit(ready)
     finally:
@@ -85,6 +89,12 @@ def score_batch(model, feature_model, batch: DataFrame, key: str = C.KEY,
     return scored.select(key, *[e.alias(n) for n, e in score_columns(SCORE, threshold).items()])
 
 
+def scored_labels(model, matrix: DataFrame, features: list[str]) -> DataFrame:
+    """Label and score only, written once: the metrics read them several times and
+    must not score again each time."""
+    return materialize(add_score(model, matrix, features).select(C.TARGET, SCORE))
+
+
 def feature_importance(model, features: list[str], spark) -> DataFrame:
     rows = [(f, float(model.featureImportances[i])) for i, f in enumerate(features)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
@@ -96,7 +106,7 @@ def compare(train_rows: DataFrame, test_rows: DataFrame, params: dict[str, dict]
     The models are fitted one after the other; each fit is a distributed job."""
     features = feature_names(train_rows)
     rows = [
-        evaluate(add_score(train(kind, train_rows, features, **p), test_rows, features))
+        evaluate(scored_labels(train(kind, train_rows, features, **p), test_rows, features))
         .select(F.lit(kind).alias("model"), "auc_roc", "average_precision", "f1", "precision", "recall")
         for kind, p in params.items()
     ]

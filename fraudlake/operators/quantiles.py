@@ -2,7 +2,7 @@
 
 Spark's exact ``percentile`` keeps a value -> count map in one task, which does
 not hold for a continuous column of a very large table. So columns with many
-distinct values first get a bracket: the bounded ``percentile_approx`` sketch
+values first get a bracket: the bounded ``percentile_approx`` sketch
 gives two values around the wanted rank, a counting pass proves that the rank
 lies between them, and only the values inside go to the exact aggregate. A
 bracket that is still too wide is narrowed again.
@@ -40,24 +40,23 @@ def exact_quantiles(
     if not names:
         return {}
     head = wide_agg(df, [
-        e for s in series.values()
-        for e in (F.count(s), F.approx_count_distinct(s), F.min(s), F.max(s))
+        e for s in series.values() for e in (F.count(s), F.min(s), F.max(s))
     ])
-    stats = {c: head[4 * i:4 * i + 4] for i, c in enumerate(names)}
+    stats = {c: head[3 * i:3 * i + 3] for i, c in enumerate(names)}
     out = {c: [None] * len(probs) for c in names}
 
-    small = [c for c in names if stats[c][0] and stats[c][1] <= distinct_limit]
+    small = [c for c in names if 0 < stats[c][0] <= distinct_limit]
     got = wide_agg(df, [F.percentile(series[c], F.array(*map(F.lit, probs))) for c in small])
     out.update({c: list(map(float, v)) for c, v in zip(small, got)})
 
     # one open target per (column, probability): [lo, hi] is known to hold its rank
     targets = []
     for c in names:
-        n, distinct, lo, hi = stats[c]
-        if n and distinct > distinct_limit:
+        n, lo, hi = stats[c]
+        if n > distinct_limit:
             targets += [
                 {"c": c, "i": i, "h": p * (n - 1), "lo": lo, "hi": hi,
-                 "below": 0, "inside": n, "distinct": distinct}
+                 "below": 0, "inside": n}
                 for i, p in enumerate(probs)
             ]
     for t in _narrow(df, series, targets, distinct_limit, accuracy):
@@ -71,7 +70,7 @@ def _inside(x: Column, lo, hi) -> Column:
 
 def _narrow(df, series, targets, distinct_limit, accuracy):
     slack = 2.0 / accuracy
-    todo = [t for t in targets if t["distinct"] > distinct_limit]
+    todo = list(targets)
     while todo:
         sketches = []
         for t in todo:
@@ -92,7 +91,7 @@ def _narrow(df, series, targets, distinct_limit, accuracy):
             holds = below <= math.floor(t["h"]) and math.ceil(t["h"]) < below + inside
             shrinks = holds and inside < t["inside"]
             if shrinks:
-                t.update(lo=lo, hi=hi, below=below, inside=inside, distinct=distinct)
+                t.update(lo=lo, hi=hi, below=below, inside=inside)
             if shrinks and distinct > distinct_limit:
                 left.append(t)
         todo = left

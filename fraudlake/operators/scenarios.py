@@ -42,7 +42,7 @@ def label_drift(df: DataFrame, key: str = C.KEY, share: float = C.RELABEL_SHARE,
                 seed: int = C.SEED) -> DataFrame:
     """Exactly ``int(share * n)`` of the n class-0 rows become class 1."""
     legit = df.where(F.col(C.TARGET) == 0).select(key)
-    flip = first_k(legit, [hash_key(seed, key), F.col(key)], int(legit.count() * share))
+    flip = first_k(legit, [hash_key(seed, key), F.col(key)], lambda n: int(n * share))
     return df.withColumn(
         C.TARGET, F.when((F.col(C.TARGET) == 0) & flip, F.lit(1)).otherwise(F.col(C.TARGET)))
 

@@ -16,8 +16,8 @@ def mark_split(df: DataFrame, time: str = C.TIME, key: str = C.KEY,
                test_share: float = C.TEST_SHARE) -> DataFrame:
     """Add ``split``: the earlier rows are train, the later test. Equal times are
     ordered by the key. The cut is a literal, so this is a projection."""
-    order = df.select(time, key)
-    earlier = first_k(order, [F.col(time), F.col(key)], split_rank(order.count(), test_share))
+    earlier = first_k(df.select(time, key), [F.col(time), F.col(key)],
+                      lambda n: split_rank(n, test_share))
     return df.withColumn("split", F.when(earlier, "train").otherwise("test"))
 
 

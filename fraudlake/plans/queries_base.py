@@ -71,7 +71,7 @@ def _(spark, sf):
     " FROM parts LEFT JOIN ident USING (TransactionID)", "txn", "ident", "parts"))
 def _(spark, sf):
     t, i = txn(spark, sf), ident(spark, sf)
-    marked = splitting.mark_split(joins.attach_identity(t, i))
+    marked = joins.attach_identity(splitting.mark_split(t), i)
     return splitting.ingestion_summary(t, i, marked)
 
 
@@ -238,10 +238,9 @@ def _(spark, sf):
     t = txn(spark, sf, C.KEY, C.AMOUNT, "addr1", "card6", "ProductCD", "V1", "C1")
     payload = F.to_json(F.struct(
         F.when(F.col("C1") != 0, F.col(C.AMOUNT)).alias(C.AMOUNT), "addr1", "card6", "ProductCD", "V1"))
-    got = X.with_payload_defaults("payload")
-    return t.select(C.KEY, payload.alias("payload")).select(
-        C.KEY, *[got[c].alias(c) for c in (C.AMOUNT, "addr1", "card6", "ProductCD", "P_emaildomain", "C2")],
-        got["extras"]["V1"].alias("extra_V1"))
+    got = X.with_payload_defaults(t.select(C.KEY, payload.alias("payload")), "payload")
+    return got.select(C.KEY, C.AMOUNT, "addr1", "card6", "ProductCD", "P_emaildomain", "C2",
+                      F.col("extras")["V1"].alias("extra_V1"))
 
 
 @query("payload_key", check_sql(

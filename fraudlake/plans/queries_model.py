@@ -49,7 +49,7 @@ def _(spark, sf):
 @query("label_encode_fit", check_sql("SELECT * FROM codes", "train", more=_CODES))
 def _(spark, sf):
     train, _ = split(spark, sf, *_CATS)
-    return features.label_codes(features.category_counts(train, _CATS))
+    return features.fit_codes(train, _CATS)
 
 
 def _encoded(c, alias="t"):
@@ -62,7 +62,7 @@ def _encoded(c, alias="t"):
     f"SELECT TransactionID, {', '.join(map(_encoded, _CATS))} FROM test t", "train", "test", more=_CODES))
 def _(spark, sf):
     train, test = split(spark, sf, *_CATS)
-    codes = features.label_codes(features.category_counts(train, _CATS))
+    codes = features.fit_codes(train, _CATS)
     return features.encode(test, codes, _CATS).drop(C.TIME)
 
 
@@ -425,7 +425,7 @@ def _train_query(kind):
         fitted, train, test = _matrices(spark, sf)
         names = fitted.feature_columns
         m = models.train(kind, train, names, **SMALL_MODELS[kind])
-        return rounded(evaluation.evaluate(models.add_score(m, fitted.transform(test), names)))
+        return rounded(evaluation.evaluate(models.scored_labels(m, fitted.transform(test), names)))
     return run
 
 
