@@ -130,29 +130,38 @@ def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: 0.0 if v[0] is None else v[0] for c, v in got.items()}
 
 
-def impute(df: DataFrame, medians: dict[str, float], keep: tuple = ()) -> DataFrame:
-    """Fill nulls of the numeric columns with the learned median, else with 0. Codes
-    and counts stay whole numbers, all other features are doubles, so the types do
-    not depend on the data. The target and the ``keep`` columns stay as they are."""
-    def fill(f):
-        m = medians.get(f.name, 0.0)
-        if f.name in (C.TARGET, *keep) or not isinstance(f.dataType, T.NumericType):
-            return F.col(f.name)
-        if f.name in (*C.CATEGORICAL_FEATURES, PAIR_COUNT):
-            return F.coalesce(F.col(f.name), F.lit(int(m)).cast("long")).alias(f.name)
-        return F.coalesce(F.col(f.name).cast("double"), F.lit(float(m))).alias(f.name)
+def _filled(name: str, median: float) -> str:
+    """SQL of one imputed feature. Codes and counts stay whole numbers, all other
+    features are doubles, so the types do not depend on the data."""
+    if name in (*C.CATEGORICAL_FEATURES, PAIR_COUNT):
+        return f"coalesce(`{name}`, {int(median)}L) AS `{name}`"
+    return f"coalesce(cast(`{name}` AS double), {float(median)!r}D) AS `{name}`"
+
 
-    return df.select(*[fill(f) for f in df.schema])
+def impute(df: DataFrame, medians: dict[str, float], keep: tuple = ()) -> DataFrame:
+    """Fill nulls of the numeric columns with the learned median, else with 0. The
+    target and the ``keep`` columns stay as they are."""
+    return df.selectExpr(*[
+        _filled(f.name, medians.get(f.name, 0.0))
+        if isinstance(f.dataType, T.NumericType) and f.name not in (C.TARGET, *keep) else f"`{f.name}`"
+        for f in df.schema])
 
 
 def align(df: DataFrame, feature_columns: list[str], medians: dict[str, float],
-          keep: tuple = ()) -> DataFrame:
+          keep: tuple = (), fill_nulls: bool = False) -> DataFrame:
     """Exactly the learned columns in the learned order; an absent column is filled
-    with its median, an extra one dropped, the target kept."""
-    target = [C.TARGET] if C.TARGET in df.columns else []
-    return df.select(*keep, *[
-        F.col(c) if c in df.columns else F.lit(float(medians.get(c, 0.0))).alias(c)
-        for c in feature_columns], *target)
+    with its median, an extra one dropped, the target kept. ``fill_nulls`` imputes
+    the present ones in the same step."""
+    have = set(df.columns)
+
+    def one(c):
+        m = medians.get(c, 0.0)
+        if c not in have:
+            return f"{float(m)!r}D AS `{c}`"
+        return _filled(c, m) if fill_nulls else f"`{c}`"
+
+    target = [C.TARGET] if C.TARGET in have else []
+    return df.selectExpr(*keep, *map(one, feature_columns), *target)
 
 
 @dataclass
@@ -166,17 +175,13 @@ class FeatureModel:
     unknown: dict[str, int] = field(default_factory=dict)
     small: dict[str, bool] = field(default_factory=dict)
 
-    def derive(self, df: DataFrame, keep: tuple = ()) -> DataFrame:
+    def transform(self, df: DataFrame, keep: tuple = ()) -> DataFrame:
+        """The feature matrix of any batch; ``keep`` carries id columns through."""
         df = df.withColumns(engineered(df))
         if self.counts is not None and set(PAIR) <= set(df.columns):
             df = add_pair_count(df, self.counts, small=self.small[PAIR_COUNT])
-        return select_features(
-            encode(df, self.codes, C.CATEGORICAL_FEATURES, self.small, self.unknown), keep)
-
-    def transform(self, df: DataFrame, keep: tuple = ()) -> DataFrame:
-        """The feature matrix of any batch; ``keep`` carries id columns through."""
-        ready = impute(self.derive(df, keep), self.medians, keep)
-        return align(ready, self.feature_columns, self.medians, keep)
+        df = encode(df, self.codes, C.CATEGORICAL_FEATURES, self.small, self.unknown)
+        return align(df, self.feature_columns, self.medians, keep, fill_nulls=True)
 
     def save(self, path: str) -> None:
         if self.counts is not None:

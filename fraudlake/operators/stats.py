@@ -3,8 +3,7 @@
 from itertools import combinations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,36 +50,44 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
+def _pair_sums(mean, std):
+    """Per Arrow batch the sums over all column pairs as four small matrix products:
+    z*z, z*present, present*present, z^2*present; one row per partition."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            x = (batch.to_numpy(float) - mean) / std
+            here = ~np.isnan(x)
+            z, p = np.where(here, x, 0.0), here.astype(float)
+            part = np.stack([z.T @ z, z.T @ p, p.T @ p, (z * z).T @ p])
+            total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"sums": [total.ravel()]})
+    return run
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair over the rows where both are present; the
     upper triangle, as the matrix is symmetric with ones on the diagonal.
 
-    An aggregate with one correlation per pair would need many passes. Instead each
-    row becomes one vector of standardised values (0 where missing), presence flags
-    and squared values. MLlib's matrix of that vector's co-moments holds every sum
-    the pairs need, in one pass of matrix arithmetic inside the JVM."""
+    One built-in correlation per pair means hundreds of aggregates, so many passes.
+    Two passes do here: means and deviations, then the sums of the standardised
+    values over all pairs at once. What reaches the driver is 4 numbers per pair."""
     d = len(columns)
-    head = wide_agg(df, [e for c in columns for e in (F.avg(c), F.stddev_pop(c))])
-    parts = {}
-    for i, c in enumerate(columns):
-        x, mean, std = F.col(c).cast("double"), head[2 * i], head[2 * i + 1]
-        z = F.coalesce((x - F.lit(mean)) / F.lit(std), F.lit(0.0)) if std else F.lit(0.0)
-        parts[f"z{i}"], parts[f"p{i}"], parts[f"q{i}"] = z, x.isNotNull().cast("double"), z * z
-    names = [f"{k}{i}" for k in "zpq" for i in range(d)]
-    vectors = VectorAssembler(inputCols=names, outputCol="v").transform(
-        df.select(*[parts[n].alias(n) for n in names])).select("v")
-    n, mean, std = vectors.select(
-        Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).select("s.*").first()
-    mean, std = mean.toArray(), std.toArray()
-    # sum of products = n * (covariance + product of means); a constant entry has no
-    # covariance and MLlib reports its correlation as NaN
-    corr = np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray())
-    sums = corr * np.outer(std, std) * (n - 1) + np.outer(mean, mean) * n
-    zz, zp, pp, qp = sums[:d, :d], sums[:d, d:2 * d], sums[d:2 * d, d:2 * d], sums[2 * d:, d:2 * d]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    head = wide_agg(numbers, [f(c) for f in (F.avg, F.stddev_pop) for c in columns])
+    mean = np.array([m or 0.0 for m in head[:d]])
+    std = np.array([s or 1.0 for s in head[d:]])
+    sums = (
+        numbers.mapInPandas(_pair_sums(mean, std), "sums array<double>")
+        .select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")))
+    grid = np.zeros(4 * d * d)
+    for i, v in sums.collect():
+        grid[i] = v
+    zz, zp, pp, qp = grid.reshape(4, d, d)
     with np.errstate(divide="ignore", invalid="ignore"):
-        cov = zz - zp * zp.T / pp
         spread = qp - zp * zp / pp
-        r = cov / np.sqrt(spread * spread.T)
+        r = (zz - zp * zp.T / pp) / np.sqrt(spread * spread.T)
     rows = [(a, b, float(r[i, j]) if spread[i, j] > 1e-9 and spread[j, i] > 1e-9 else None)
             for (i, a), (j, b) in combinations(enumerate(columns), 2)]
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
