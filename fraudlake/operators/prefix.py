@@ -21,10 +21,11 @@ def n_ranges(df: DataFrame) -> int:
 
 
 def range_splits(df: DataFrame, cols: list[str]) -> dict[str, list[float]]:
-    """Cut points per column, at most one per shuffle partition."""
+    """Cut points per column, at most one per shuffle partition. They only have to be
+    roughly even, so a coarse sketch will do; results do not depend on them."""
     n = n_ranges(df)
     at = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
-    got = wide_agg(df, [F.percentile_approx(F.col(c).cast("double"), at, 10_000) for c in cols])
+    got = wide_agg(df, [F.percentile_approx(F.col(c).cast("double"), at, 10 * n) for c in cols])
     inf = float("inf")
     return {c: [-inf, *sorted(set(g or [0.0])), inf] for c, g in zip(cols, got)}
 

@@ -37,71 +37,74 @@ def exact_quantiles(
     Like ``DataFrame.approxQuantile`` this runs at once and returns a bounded
     set of numbers, but the numbers are exact."""
     names = list(series)
-    if not names:
-        return {}
-    head = wide_agg(df, [
-        e for s in series.values() for e in (F.count(s), F.min(s), F.max(s))
-    ])
-    stats = {c: head[3 * i:3 * i + 3] for i, c in enumerate(names)}
     out = {c: [None] * len(probs) for c in names}
-
-    small = [c for c in names if 0 < stats[c][0] <= distinct_limit]
+    if not names:
+        return out
+    small = names
+    if df.count() > distinct_limit:  # Parquet answers this from its footers
+        around = F.array(*[F.lit(e) for p in probs for e in _around(p, accuracy)])
+        head = wide_agg(df, [
+            e for s in series.values()
+            for e in (F.count(s), F.percentile_approx(s, around, accuracy))
+        ])
+        counts, ends = dict(zip(names, head[::2])), dict(zip(names, head[1::2]))
+        small = [c for c in names if 0 < counts[c] <= distinct_limit]
+        # one target per (column, probability): lo <= its value <= hi, ``below`` values
+        # are less than lo and ``inside`` lie between; h is its rank, counted from 0
+        targets = [
+            {"c": c, "i": i, "h": p * (counts[c] - 1), "lo": -math.inf, "hi": math.inf,
+             "below": 0, "inside": counts[c], "next": ends[c][2 * i:2 * i + 2]}
+            for c in names if counts[c] > distinct_limit for i, p in enumerate(probs)
+        ]
+        for t in _narrow(df, series, targets, distinct_limit, accuracy):
+            out[t["c"]][t["i"]] = t["value"]
     got = wide_agg(df, [F.percentile(series[c], F.array(*map(F.lit, probs))) for c in small])
-    out.update({c: list(map(float, v)) for c, v in zip(small, got)})
-
-    # one open target per (column, probability): [lo, hi] is known to hold its rank
-    targets = []
-    for c in names:
-        n, lo, hi = stats[c]
-        if n > distinct_limit:
-            targets += [
-                {"c": c, "i": i, "h": p * (n - 1), "lo": lo, "hi": hi,
-                 "below": 0, "inside": n}
-                for i, p in enumerate(probs)
-            ]
-    for t in _narrow(df, series, targets, distinct_limit, accuracy):
-        out[t["c"]][t["i"]] = t["value"]
+    out.update({c: list(map(float, v)) for c, v in zip(small, got) if v is not None})
     return out
 
 
-def _inside(x: Column, lo, hi) -> Column:
-    return F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)
+def _around(p: float, accuracy: int) -> tuple[float, float]:
+    """The sketch is off by at most 1/accuracy; twice that on both sides."""
+    return max(0.0, p - 2.0 / accuracy), min(1.0, p + 2.0 / accuracy)
+
+
+def _position(t: dict) -> float:
+    """The target's rank among the values inside its bracket, from 0 to 1."""
+    return min(1.0, max(0.0, (t["h"] - t["below"]) / max(t["inside"] - 1, 1)))
+
+
+def _inside(x: Column, t: dict) -> Column:
+    if t["lo"] == -math.inf:
+        return x
+    return F.when((x >= F.lit(t["lo"])) & (x <= F.lit(t["hi"])), x)
 
 
 def _narrow(df, series, targets, distinct_limit, accuracy):
-    slack = 2.0 / accuracy
     todo = list(targets)
     while todo:
-        sketches = []
-        for t in todo:
-            q = (t["h"] - t["below"]) / max(t["inside"] - 1, 1)
-            ends = F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack)))
-            x = _inside(series[t["c"]], t["lo"], t["hi"])
-            sketches.append(F.percentile_approx(x, ends, accuracy))
-        ends = wide_agg(df, sketches)
         checks = []
-        for t, (lo, hi) in zip(todo, ends):
-            x = series[t["c"]]
-            box = _inside(x, lo, hi)
+        for t in todo:
+            x, (lo, hi) = series[t["c"]], t["next"]
+            box = _inside(x, {"lo": lo, "hi": hi})
             checks += [F.count_if(x < F.lit(lo)), F.count(box), F.approx_count_distinct(box)]
-        seen = wide_agg(df, checks)
-        left = []
-        for j, (t, (lo, hi)) in enumerate(zip(todo, ends)):
+        seen, left = wide_agg(df, checks), []
+        for j, t in enumerate(todo):
             below, inside, distinct = seen[3 * j:3 * j + 3]
             holds = below <= math.floor(t["h"]) and math.ceil(t["h"]) < below + inside
-            shrinks = holds and inside < t["inside"]
-            if shrinks:
-                t.update(lo=lo, hi=hi, below=below, inside=inside)
-            if shrinks and distinct > distinct_limit:
-                left.append(t)
+            if holds and inside < t["inside"]:
+                t.update(lo=t["next"][0], hi=t["next"][1], below=below, inside=inside)
+                if distinct > distinct_limit:
+                    left.append(t)
+        sketches = [
+            F.percentile_approx(_inside(series[t["c"]], t),
+                                F.array(*map(F.lit, _around(_position(t), accuracy))), accuracy)
+            for t in left
+        ]
+        for t, ends in zip(left, wide_agg(df, sketches)):
+            t["next"] = ends
         todo = left
     exact = wide_agg(df, [
-        F.percentile(
-            _inside(series[t["c"]], t["lo"], t["hi"]),
-            F.lit(min(1.0, max(0.0, (t["h"] - t["below"]) / max(t["inside"] - 1, 1)))),
-        )
-        for t in targets
-    ])
+        F.percentile(_inside(series[t["c"]], t), F.lit(_position(t))) for t in targets])
     for t, v in zip(targets, exact):
         t["value"] = float(v)
     return targets
