@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.expressions import half_even, right_closed_bin, share
-from ..sources.schema import tidy
+from ..sources.schema import tidy_by_chunks
 from .joins import column_overlap
 from .prefix import BIN, range_splits, running_totals, with_ranges
 from .quantiles import exact_quantiles
@@ -29,17 +29,17 @@ def common_numeric(reference: DataFrame, current: DataFrame) -> list[str]:
 
 
 def moments(df: DataFrame, columns: list[str], by: list | None = None) -> DataFrame:
-    """(feature, n, mean, std) from one wide aggregate, per group if asked."""
-    stats = [a for i, c in enumerate(columns) for a in (
-        F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"))]
+    """(feature, n, mean, std) of every column, per group if asked."""
     if by:
+        stats = [a for i, c in enumerate(columns) for a in (
+            F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"))]
         got = df.groupBy(*by).agg(*stats)
         structs = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
                             F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"))
                    for i, c in enumerate(columns)]
         return got.select(*got.columns[:len(by)], F.inline(F.array(*structs)))
-    return tidy(df.agg(*stats), [[c, f"$n{i}", f"$m{i}", f"$s{i}"] for i, c in enumerate(columns)],
-                ["feature", "n", "mean", "std"])
+    return tidy_by_chunks(df, columns, ["feature", "n", "mean", "std"],
+                          lambda c: [F.count(c), F.avg(c), F.stddev_samp(c)], C.AGG_CHUNK // 3)
 
 
 def shift_columns(cur_mean, ref_mean, ref_std, ref_n) -> dict[str, Column]:

@@ -52,7 +52,7 @@ def lookup(left: DataFrame, table: DataFrame, on: list[str], small: bool | None
         return left.join(right, same(left, right), "left").drop(*["_k_" + c for c in on])
 
     per_key = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max(1, left.select(*on).count() // C.HOT_KEY_SHARE)
+    limit = max(1, (per_key.agg(F.sum("_n")).first()[0] or 0) // C.HOT_KEY_SHARE)
     hot = per_key.where(F.col("_n") > limit).drop("_n")
     hot_values = hot.join(right, same(hot, right), "left").select(
         *[F.col(c).alias("_k_" + c) for c in on],

@@ -5,17 +5,16 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.expressions import bin_label, right_closed_bin
-from ..sources.schema import tidy
+from ..sources.schema import tidy_by_chunks
 from .aggregates import class_medians, rate_by_hour
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
-    """One pass over all columns: (feature, missing, pct)."""
-    cols = df.columns
-    got = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-    rows = [[i, c, f"$n{i}", "$n_rows"] for i, c in enumerate(cols)]
-    return tidy(got, rows, ["position", "feature", "missing", "n_rows"]).withColumn(
+    """(feature, n_rows, missing, pct) of every column."""
+    return tidy_by_chunks(
+        df, df.columns, ["feature", "n_rows", "missing"],
+        lambda c: [F.count(F.lit(1)), F.count_if(F.col(c).isNull())], C.AGG_CHUNK,
+    ).withColumn(
         "pct", F.coalesce(F.try_divide(F.col("missing") * 100, F.col("n_rows")), F.lit(0.0)))
 
 
@@ -45,32 +44,24 @@ def missing_bins(df: DataFrame) -> DataFrame:
 
 
 def null_total(df: DataFrame) -> DataFrame:
-    counts = [F.count_if(F.col(c).isNull()) for c in df.columns]
-    total = counts[0]
-    for c in counts[1:]:
-        total = total + c
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.lit(len(df.columns)).cast("long").alias("n_columns"),
-                  total.alias("null_values"))
+    return missing_counts(df).agg(
+        F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_columns"),
+        F.sum("missing").alias("null_values"))
 
 
 def exploration_record(df: DataFrame, source: str) -> DataFrame:
     """The nine figures of the exploration summary."""
-    cols = df.columns
     legit, fraud = class_medians(df)
     top = rate_by_hour(df).orderBy(F.desc("fraud_rate"), "hour").first()
-    some_missing = [F.max(F.col(c).isNull().cast("int")) for c in cols]
-    with_missing = some_missing[0]
-    for m in some_missing[1:]:
-        with_missing = with_missing + m
+    with_missing = missing_counts(df).where("missing > 0").count()
     return df.agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.lit(len(cols)).cast("long").alias("total_features"),
+        F.lit(len(df.columns)).cast("long").alias("total_features"),
         F.sum(C.TARGET).cast("long").alias("fraud_count"),
         F.round(F.avg(C.TARGET) * 100, 2).alias("fraud_rate_pct"),
         F.round(F.lit(legit).cast("double"), 2).alias("median_amount_legit"),
         F.round(F.lit(fraud).cast("double"), 2).alias("median_amount_fraud"),
-        with_missing.cast("long").alias("features_with_missing"),
+        F.lit(with_missing).cast("long").alias("features_with_missing"),
         F.lit(top["hour"] if top else None).cast("long").alias("peak_fraud_hour"),
         F.lit(source).alias("data_source"),
     )

@@ -1,5 +1,7 @@
 """Column checks and type reports."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,22 @@ def tidy(df: DataFrame, rows: list[list], names: list[str]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
+def tidy_by_chunks(df: DataFrame, columns: list[str], names: list[str], per_column, size: int) -> DataFrame:
+    """One output row per column from global aggregates, ``size`` columns per
+    aggregate: one aggregate over hundreds of columns outgrows compiled code. The
+    chunks have no column in common, so a columnar scan reads nothing twice.
+    ``per_column(column)`` gives its aggregates in the order of ``names[1:]``."""
+    def chunk(cols):
+        aggs, rows = [], []
+        for i, c in enumerate(cols):
+            exprs = per_column(c)
+            aggs += [e.alias(f"a{i}_{j}") for j, e in enumerate(exprs)]
+            rows.append([c, *[f"$a{i}_{j}" for j in range(len(exprs))]])
+        return tidy(df.agg(*aggs), rows, names)
+
+    return reduce(DataFrame.unionByName, [chunk(columns[i:i + size]) for i in range(0, len(columns), size)])
+
+
 def validation_report(df: DataFrame, required: list[str], table: str) -> DataFrame:
     """Per required column: is it there, and how many values does it hold."""
     counts = df.agg(*[
