@@ -2,7 +2,7 @@
 
 import public_tokenizers as tokenizers
 
-from . import bpe, decontaminate, language
+from . import bpe, decontaminate, language, secrets, sharding
 
 QUERIES, CHECKS = {}, {}
 
@@ -30,3 +30,13 @@ def op4_language(spark, sf):
 @query
 def op7_decontamination(spark, sf):
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op2_sharding(spark, sf):
+    return sharding.assign(table(spark, sf, "documents"), 24)
+
+
+@query
+def op5_secrets(spark, sf):
+    return secrets.digest(table(spark, sf, "documents"))
