@@ -2,7 +2,7 @@
 
 import public_tokenizers as tokenizers
 
-from . import bpe, decontaminate, language, secrets, sharding
+from . import bpe, decontaminate, jaccard_join, language, secrets, sharding
 
 QUERIES, CHECKS = {}, {}
 
@@ -40,3 +40,8 @@ def op2_sharding(spark, sf):
 @query
 def op5_secrets(spark, sf):
     return secrets.digest(table(spark, sf, "documents"))
+
+
+@query
+def op8_jaccard_join(spark, sf):
+    return jaccard_join.join(table(spark, sf, "documents"))
