@@ -1,8 +1,9 @@
 """The registered queries of the corpus operators: production parameters, whole tables."""
 
 import public_tokenizers as tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, language, secrets, sharding
+from . import bpe, decontaminate, graph_search, huffman, jaccard_join, language, secrets, sharding
 
 QUERIES, CHECKS = {}, {}
 
@@ -45,3 +46,13 @@ def op5_secrets(spark, sf):
 @query
 def op8_jaccard_join(spark, sf):
     return jaccard_join.join(table(spark, sf, "documents"))
+
+
+@query
+def op3_graph_search(spark, sf):
+    return graph_search.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op10_huffman(spark, sf):
+    return huffman.round_trip(table(spark, sf, "documents"), tokenizers.path("word_bpe_49k.json"))
