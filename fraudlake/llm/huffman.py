@@ -14,7 +14,7 @@ before the block.
 distinct piece goes through the tokenizer once; other texts go through it whole.
 
 Rows: one for each input row, in ascending order of the key (null first), equal keys by
-their ids. Null and empty texts have the end id only. An empty table gives files without
+a hash of their ids. Null and empty texts have the end id only. An empty table gives files without
 rows. Other columns are not looked at.
 """
 
@@ -235,8 +235,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         if ids:
             yield block(keys, ids, before)
 
-    order = [F.col("key").cast("long").alias("key"), "ids"]
-    (tokens.select(*order).repartitionByRange(parts, "key", "ids").sortWithinPartitions("key", "ids").mapInArrow(
+    # ranges are cut by samples of what they are cut by: a hash stands in for the ids
+    rows = tokens.select(F.col("key").cast("long").alias("key"), F.xxhash64("ids").alias("tie"), "ids")
+    (rows.repartitionByRange(parts, "key", "tie").sortWithinPartitions("key", "tie").select("key", "ids").mapInArrow(
         run, "part int, before long, n long, keys array<long>, lengths array<int>, stream binary, marks array<long>")
      .write.parquet(f"{path}/blocks"))
 

@@ -262,13 +262,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
                .agg(F.min("doc").alias("class"), F.first("signatures").alias("signatures")))
     index = classes.select(F.explode("signatures").alias("signature"), "class")
     heads = index.groupBy("signature").agg(F.min("class").alias("head"), F.max("class").alias("last"))
-    hung = (index.join(heads.where("head < last").select("signature", "head"), "signature")
+    hung = (index.join(heads.where("head < last").select("signature", "head").hint("merge"), "signature")
             .where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
     groups = components(materialize(hung)).select(F.col("node").alias("class"), F.col("component").alias("grp"))
 
     chars = rows.where("doc is not null").select(F.col("doc").alias("class"), "text",
                                                  F.length("text").cast("long").alias("chars"))
-    members = materialize(chars.join(groups, "class"))
+    members = materialize(chars.join(groups.hint("merge"), "class"))
     blocks = members.groupBy("grp").agg((F.sum("chars") / group_chars).cast("int").alias("cuts"))
     members = members.join(blocks, "grp").withColumn(
         "block", F.pmod(F.xxhash64("class"), F.col("cuts") + 1).cast("int"))

@@ -204,19 +204,20 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return LanguageModel(langs, (table[:-1] * scale[:, None]).astype(np.float32), table[-1], pairs)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """All columns, ``lang_pred`` and ``score`` (columns of these names are replaced)."""
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names=("lang_pred", "score")) -> DataFrame:
+    """All columns and two more, by default ``lang_pred`` and ``score`` (columns of these
+    names are replaced)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x pairs numbers
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop(*names)
 
     def run(batches):
         for block in text_blocks(batches, text):
             lang, score = shared.value.predict(block.column(text))
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(lang, pa.string()), pa.array(score)],
-                                             [*block.schema.names, "lang_pred", "score"])
+                                             [*block.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return kept.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(key: str = "doc_id"):
