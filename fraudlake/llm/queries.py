@@ -3,7 +3,9 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, graph_search, huffman, jaccard_join, language, secrets, sharding
+from . import (
+    bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, secrets, sharding, surrogates,
+)
 
 QUERIES, CHECKS = {}, {}
 
@@ -56,3 +58,21 @@ def op3_graph_search(spark, sf):
 @query
 def op10_huffman(spark, sf):
     return huffman.round_trip(table(spark, sf, "documents"), tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+@query
+def op9_surrogates(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.pseudonymize(docs, "surrogates of the documents table")
+
+
+@query
+def pipeline(spark, sf):
+    import corpus_pipeline  # the stages stand at the repository's top and use this package
+
+    return corpus_pipeline.run(spark, sf)
