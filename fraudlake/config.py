@@ -7,13 +7,15 @@ AMOUNT = "TransactionAmt"
 
 # ---- fixed values: columns that make up the feature matrix ----
 NUMERIC_FEATURES = [
-    AMOUNT,
-    "card1", "card2", "card3", "card5",
-    "addr1", "addr2",
-    "dist1", "dist2",
-    *[f"C{i}" for i in range(1, 15)],
-    "D1", "D2", "D3", "D4", "D5", "D10", "D11", "D15",
-    *[f"V{i}" for i in (*range(1, 21), *range(44, 101))],
+    "TransactionAmt", "card1", "card2", "card3", "card5", "addr1", "addr2", "dist1", "dist2", "C1",
+    "C2", "C3", "C4", "C5", "C6", "C7", "C8", "C9", "C10", "C11", "C12", "C13", "C14", "D1", "D2",
+    "D3", "D4", "D5", "D10", "D11", "D15", "V1", "V2", "V3", "V4", "V5", "V6", "V7", "V8", "V9",
+    "V10", "V11", "V12", "V13", "V14", "V15", "V16", "V17", "V18", "V19", "V20", "V44", "V45",
+    "V46", "V47", "V48", "V49", "V50", "V51", "V52", "V53", "V54", "V55", "V56", "V57", "V58",
+    "V59", "V60", "V61", "V62", "V63", "V64", "V65", "V66", "V67", "V68", "V69", "V70", "V71",
+    "V72", "V73", "V74", "V75", "V76", "V77", "V78", "V79", "V80", "V81", "V82", "V83", "V84",
+    "V85", "V86", "V87", "V88", "V89", "V90", "V91", "V92", "V93", "V94", "V95", "V96", "V97",
+    "V98", "V99", "V100",
 ]
 CATEGORICAL_FEATURES = ["ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain"]
 ENGINEERED_FEATURES = [
@@ -44,16 +46,11 @@ MISSING_LABELS = ["0-10%", "10-25%", "25-50%", "50-75%", "75-100%"]
 
 # ---- fixed values: request fields and their defaults ----
 REQUEST_DEFAULTS = {
-    AMOUNT: 100.0,
-    **{c: 0.0 for c in ["card1", "card2", "card3"]},
-    "card4": "visa",
-    "card5": 0.0,
-    "card6": "debit",
-    **{c: 0.0 for c in ["addr1", "addr2", "dist1"]},
-    **{f"C{i}": 0.0 for i in range(1, 15)},
-    **{f"D{i}": 0.0 for i in (1, 2, 3, 4, 5, 10, 11, 15)},
-    "ProductCD": "W",
-    "P_emaildomain": "gmail.com",
+    "TransactionAmt": 100.0, "card1": 0.0, "card2": 0.0, "card3": 0.0, "card4": "visa",
+    "card5": 0.0, "card6": "debit", "addr1": 0.0, "addr2": 0.0, "dist1": 0.0, "C1": 0.0, "C2": 0.0,
+    "C3": 0.0, "C4": 0.0, "C5": 0.0, "C6": 0.0, "C7": 0.0, "C8": 0.0, "C9": 0.0, "C10": 0.0,
+    "C11": 0.0, "C12": 0.0, "C13": 0.0, "C14": 0.0, "D1": 0.0, "D2": 0.0, "D3": 0.0, "D4": 0.0,
+    "D5": 0.0, "D10": 0.0, "D11": 0.0, "D15": 0.0, "ProductCD": "W", "P_emaildomain": "gmail.com",
 }
 
 # ---- fixed values: split, sampling, drift, cache, models ----

@@ -101,7 +101,10 @@ def _sides(reference: DataFrame, current: DataFrame, columns: list[str], kind: s
 def wasserstein(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """First Wasserstein distance per feature: the area between the two empirical
     distribution functions. Equal values are counted before anything is ordered,
-    and the running counts are two-level, so no feature is sorted in one task."""
+    and the running counts are two-level, so no feature is sorted in one task.
+
+    One row per column asked for. ``status`` is ``lost`` if only one side has values and
+    ``empty`` if neither has; the distance is null then."""
     sides = _sides(reference, current, columns, "double")
     ranged = with_ranges(sides, range_splits(sides, columns))
     values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c + BIN).alias(BIN),
@@ -112,8 +115,18 @@ def wasserstein(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     run = running_totals(counts, "x", {"r": "run_r", "c": "run_c"}, ["feature"], BIN)
     gap = F.abs(F.try_divide(F.col("run_r"), F.col("run_r_total"))
                 - F.try_divide(F.col("run_c"), F.col("run_c_total")))
-    return run.groupBy("feature").agg(
-        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("x"))), F.lit(0.0)).alias("distance"))
+    found = run.groupBy("feature").agg(
+        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("x"))), F.lit(0.0)).alias("distance"),
+        F.max("run_r_total").alias("r"), F.max("run_c_total").alias("c"))
+    status = (F.when((F.col("r") > 0) & (F.col("c") > 0), "ok")
+              .when((F.col("r") > 0) | (F.col("c") > 0), "lost").otherwise("empty"))
+    return _each(reference, columns).join(F.broadcast(found), "feature", "left").select(
+        "feature", F.when(status == "ok", F.col("distance")).alias("distance"), status.alias("status"))
+
+
+def _each(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A row per column asked for, so that none is missing from a report."""
+    return df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
 
 
 def _psi_of(cells: DataFrame, floor: float) -> DataFrame:
@@ -141,25 +154,40 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: list[str]
 
 def psi_numeric(reference: DataFrame, current: DataFrame, columns: list[str],
                 bins: int = PSI_BINS, floor: float = PSI_FLOOR) -> DataFrame:
-    """Same over the reference's quantile bins, open at both ends."""
+    """Same over the reference's quantile bins, open at both ends. One row per column
+    asked for; the index is null if the reference or the other side has no value."""
     probs = [i / bins for i in range(1, bins)]
     cuts = exact_quantiles(reference, {c: F.col(c) for c in columns}, probs)
     inf = float("inf")
     cell = {c: right_closed_bin(F.col(c), [-inf, *sorted(set(q)), inf])
             for c, q in cuts.items() if q[0] is not None}
-    return _psi_of(_cells(_sides(reference, current, list(cell), "double"), cell), floor)
+    asked = _each(reference, columns)
+    if not cell:
+        return asked.withColumn("psi", F.lit(None).cast("double"))
+    cells = _cells(_sides(reference, current, list(cell), "double"), cell)
+    return asked.join(F.broadcast(_psi_of(cells, floor)), "feature", "left")  # one row per feature
 
 
 def column_tests(reference: DataFrame, current: DataFrame, numeric: list[str],
                  categorical: list[str]) -> DataFrame:
     """One test per column: normed Wasserstein distance for numbers, stability index
-    for categories. Both are distances, so drift is ABOVE the threshold."""
+    for categories. Both are distances, so drift is ABOVE the threshold. A number that
+    one side has lost altogether has no distance and counts as drifted."""
     std = moments(reference, numeric).select("feature", "std")
     num = wasserstein(reference, current, numeric).join(F.broadcast(std), "feature").select(
         "feature", (F.col("distance") / F.greatest("std", F.lit(C.STD_FLOOR))).alias("value"),
-        F.lit("wasserstein_normed").alias("test"), F.lit(WASSERSTEIN_LIMIT).alias("threshold"))
+        F.lit("wasserstein_normed").alias("test"), F.lit(WASSERSTEIN_LIMIT).alias("threshold"),
+        (F.col("status") == "lost").alias("lost"))
     cat = psi_categorical(reference, current, categorical).select(
         "feature", F.col("psi").alias("value"), F.lit("psi").alias("test"),
-        F.lit(PSI_LIMIT).alias("threshold"))
+        F.lit(PSI_LIMIT).alias("threshold"), F.lit(False).alias("lost"))
     return num.unionByName(cat).withColumns({
-        "direction": F.lit("above"), "drifted": F.col("value") > F.col("threshold")})
+        "direction": F.lit("above"), "drifted": F.col("lost") | F.coalesce(F.col("value") > F.col("threshold"), F.lit(False))}).drop("lost")
+
+
+def tests_summary(tests: DataFrame) -> DataFrame:
+    """How many of the column tests found drift, their share, and whether that is too many."""
+    n, d = F.count(F.lit(1)), F.count_if("drifted")
+    exact = share(d, F.greatest(n, F.lit(1)))
+    return tests.agg(n.alias("number_of_tests"), d.alias("number_of_drifted_columns"),
+                     half_even(exact, 4).alias("drift_share"), (exact > C.DRIFT_SHARE_LIMIT).alias("drift_detected"))

@@ -99,6 +99,16 @@ def corr_with_target(df: DataFrame, columns: list[str], k: int, target: str = C.
             .orderBy(F.desc(F.abs("corr")), "feature").limit(k))
 
 
+def strongest_correlations(df: DataFrame, columns: list[str], target: str = C.TARGET) -> DataFrame:
+    """The columns with the highest and the lowest correlation with the target; the
+    smaller name wins a tie."""
+    known = (correlations(df, [(c, target) for c in columns])
+             .select(F.col("feature_a").alias("feature"), "corr").where("corr IS NOT NULL"))
+    high = known.orderBy(F.desc("corr"), "feature").limit(1).withColumn("direction", F.lit("positive"))
+    low = known.orderBy("corr", "feature").limit(1).withColumn("direction", F.lit("negative"))
+    return high.unionByName(low)
+
+
 def prefix_columns(df: DataFrame, prefix: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 

@@ -198,12 +198,12 @@ def _(spark, sf):
 
 @query("filter_rows", check_sql(
     "SELECT TransactionID, TransactionAmt, card1, C1, D1 FROM txn"
-    " WHERE TransactionAmt <= 100 AND isFraud = 0", "txn"))
+    " WHERE TransactionAmt <= 1000 AND isFraud = 0", "txn"))
 def _(spark, sf):
     from ..operators.drift import numeric_columns
 
     t = txn(spark, sf, C.KEY, C.AMOUNT, C.TARGET, "card1", "C1", "D1", "ProductCD")
-    return t.where((F.col(C.AMOUNT) <= 100) & (F.col(C.TARGET) == 0)).select(numeric_columns(t))
+    return t.where((F.col(C.AMOUNT) <= 1000) & (F.col(C.TARGET) == 0)).select(numeric_columns(t))
 
 
 @query("label_map", check_sql(
@@ -575,9 +575,20 @@ def _(spark, sf):
     return rounded(stats.corr_with_target(txn(spark, sf, *_CORR), _CORR[:-1], 15))
 
 
+_STRONGEST = "SELECT feature_a AS feature, corr FROM known WHERE corr IS NOT NULL ORDER BY corr"
+
+
+@query("corr_strongest", check_sql(
+    f"SELECT *, 'positive' AS direction FROM ({_STRONGEST} DESC, feature LIMIT 1)"
+    f" UNION ALL SELECT *, 'negative' FROM ({_STRONGEST}, feature LIMIT 1)", "txn", round6="corr",
+    more=f"known AS ({_corr_sql([(c, 'isFraud') for c in _CORR[:-1]])})"))
+def _(spark, sf):
+    return rounded(stats.strongest_correlations(txn(spark, sf, *_CORR), _CORR[:-1]))
+
+
 @query("corr_prefix_topk", check_sql(
     f"SELECT feature_a AS feature, corr FROM ({_corr_sql([(c, 'isFraud') for c in _V])})"
-    " ORDER BY abs(corr) DESC, feature LIMIT 20", "txn", round6="corr"))
+    " WHERE corr IS NOT NULL ORDER BY abs(corr) DESC, feature LIMIT 20", "txn", round6="corr"))
 def _(spark, sf):
     t = txn(spark, sf, *_V, C.TARGET)
     return rounded(stats.corr_with_target(t, stats.prefix_columns(t, "V"), 20))

@@ -211,13 +211,16 @@ def _(spark, sf):
     return scenarios.lost_identity(t)
 
 
-_W = ["TransactionAmt", "card1", "addr1", "D1", "V3"]
+_W = ["TransactionAmt", "card1", "addr1", "D1", "V3", "V4"]
 
 
 def _wasserstein_sql(ref, cur, columns):
     def one(c):
         return (
-            f"SELECT '{c}' AS feature, coalesce(sum(abs(f - g) * dx), 0.0::DOUBLE) AS distance FROM (SELECT"
+            f"SELECT '{c}' AS feature, CASE WHEN max(nr) > 0 AND max(nc) > 0 THEN"
+            " coalesce(sum(abs(f - g) * dx), 0.0::DOUBLE) END AS distance, CASE WHEN max(nr) > 0 AND max(nc) > 0"
+            " THEN 'ok' WHEN max(nr) > 0 OR max(nc) > 0 THEN 'lost' ELSE 'empty' END AS status FROM (SELECT"
+            " sum(r) OVER () AS nr, sum(c) OVER () AS nc,"
             " sum(r) OVER (ORDER BY x) / sum(r) OVER () AS f, sum(c) OVER (ORDER BY x) / sum(c) OVER () AS g,"
             " lead(x) OVER (ORDER BY x) - x AS dx FROM (SELECT x, sum(r) AS r, sum(c) AS c FROM"
             f" (SELECT CAST({c} AS DOUBLE) AS x, 1 AS r, 0 AS c FROM {ref}"
@@ -264,18 +267,41 @@ def _(spark, sf):
     return rounded(drift.psi_numeric(*ref_cur(spark, sf, *_PSI_NUM), _PSI_NUM))
 
 
-@query("drift_column_tests", check_sql(
+_TESTS_SQL = (
     "SELECT feature, distance / greatest(s, 1e-8::DOUBLE) AS value, 'wasserstein_normed' AS test,"
-    " 0.1::DOUBLE AS threshold, 'above' AS direction, distance / greatest(s, 1e-8::DOUBLE) > 0.1 AS drifted"
+    " 0.1::DOUBLE AS threshold, 'above' AS direction, status = 'lost' OR"
+    " coalesce(distance / greatest(s, 1e-8::DOUBLE) > 0.1, false) AS drifted"
     f" FROM ({_wasserstein_sql('train', 'test', _W)}) JOIN (" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, stddev_samp({c}) AS s FROM train" for c in _W) + ") USING (feature)"
     " UNION ALL SELECT feature, psi, 'psi', 0.1::DOUBLE, 'above', psi > 0.1"
-    f" FROM ({_psi_sql('train', 'test', _PSI_CATS)})", "train", "test", round6="value"))
+    f" FROM ({_psi_sql('train', 'test', _PSI_CATS)})")
+
+
+@query("drift_column_tests", check_sql(_TESTS_SQL, "train", "test", round6="value"))
 def _(spark, sf):
     ref, cur = ref_cur(spark, sf, *_W, *_PSI_CATS)
     return rounded(drift.column_tests(ref, cur, _W, list(_PSI_CATS)))
 
 
+@query("drift_tests_summary", check_sql(
+    "SELECT n AS number_of_tests, d AS number_of_drifted_columns, round_even(d / n, 4) AS drift_share,"
+    " d / n > 0.05 AS drift_detected FROM (SELECT count(*) AS n, count(*) FILTER (WHERE drifted) AS d"
+    f" FROM ({_TESTS_SQL}))", "train", "test"))
+def _(spark, sf):
+    ref, cur = ref_cur(spark, sf, *_W, *_PSI_CATS)
+    return drift.tests_summary(drift.column_tests(ref, cur, _W, list(_PSI_CATS)))
+
+
+_LOST = "lost AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS V3) FROM test)"
+
+
+@query("drift_lost_column", check_sql(
+    _wasserstein_sql("train", "lost", ["card1", "V3"]), "train", "test", more=_LOST, round6="distance"))
+def _(spark, sf):
+    ref, cur = ref_cur(spark, sf, "card1", "V3")
+    return rounded(drift.wasserstein(ref, cur.withColumn("V3", F.lit(None).cast("double")), ["card1", "V3"]))
+
+
 @query("drift_missing_columns", check_sql(
     "SELECT c AS feature, true AS in_reference, n AS values_reference, false AS in_current,"
     " CAST(NULL AS BIGINT) AS values_current, 'missing' AS status FROM"
@@ -303,7 +329,7 @@ def _(spark, sf):
 
 
 @query("drift_scores", check_sql(
-    "SELECT feature, distance FROM (" + _wasserstein_sql("rs", "cs", ["score"]) + ")", "train", "test",
+    "SELECT feature, distance, status FROM (" + _wasserstein_sql("rs", "cs", ["score"]) + ")", "train", "test",
     more=f"rs AS (SELECT {src.SCORE_SQL} AS score FROM train), cs AS (SELECT {src.SCORE_SQL} AS score FROM test)",
     round6="distance"))
 def _(spark, sf):

@@ -60,9 +60,9 @@ def cache_flags_stream(df: DataFrame, key: str, time: str, row_id: str, event_ti
         last = state.get[0] if state.exists else None
         cached = []
         for t in rows[time]:
-            hit = last is not None and t - last <= ttl
+            hit = last is not None and 0 <= t - last <= ttl  # an entry of the future is no hit
             cached.append(hit)
-            last = last if hit else int(t)
+            last = last if hit else max(int(t), last or int(t))
         state.update((last,))
         newest = int(rows[event_time].max().timestamp() * 1000)
         state.setTimeoutTimestamp(max(newest + (ttl + 1) * 1000, state.getCurrentWatermarkMs() + 1))

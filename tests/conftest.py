@@ -25,26 +25,23 @@ def sf():
 
 @pytest.fixture(scope="session")
 def raw(spark):
-    """100 generated transactions with the shape of the real ones."""
-    import numpy as np
-    import pandas as pd
-
-    r, n = np.random.default_rng(7), 100
-
-    def some(values):
-        return [values[i] for i in r.integers(0, len(values), n)]
-
-    data = {
-        "TransactionID": range(n), "TransactionDT": r.integers(0, 86400 * 30, n),
-        "TransactionAmt": r.exponential(50, n), "isFraud": r.binomial(1, 0.1, n),
-        "ProductCD": some(["W", "C", "R", "H", "S"]), "card1": r.integers(1000, 1010, n).astype(float),
-        "card2": some([111.0, 222.0, None]), "card4": some(["visa", "mastercard", None]),
-        "card6": some(["debit", "credit", None]), "addr1": some([300.0, 200.0, None]),
-        "P_emaildomain": some(["gmail.com", "yahoo.com", None]), "C1": r.integers(0, 10, n).astype(float),
-        "D1": some([0.0, 1.0, 14.0, None]), "D2": [None] * n,
-    }
+    """A few weeks of invented transactions: repeated amounts, ties in time, gaps in most
+    columns and one column without any value."""
+    import random
+
+    r, rows = random.Random(20), []
+    for i in range(100):
+        def maybe(value, share=0.2):
+            return None if r.random() < share else value
+
+        rows.append((
+            i, r.randrange(21) * 86_400 + r.choice([0, 3_600, 40_000, r.randrange(86_400)]),
+            r.choice([9.99, 25.0, round(r.uniform(1, 400), 2)]), int(r.random() < 0.15),
+            r.choices("WCRHS", [6, 2, 1, 1, 1])[0], float(2_000 + r.randrange(12)), maybe(150.0 + r.randrange(4)),
+            maybe(r.choice(["visa", "mastercard"])), maybe(r.choice(["debit", "credit"])),
+            maybe(float(r.choice([87, 204, 325]))), maybe(r.choice(["mail.example", "post.example"]), 0.4),
+            float(r.randrange(7)), maybe(float(r.choice([0, 2, 30]))), None))
     schema = ("TransactionID long, TransactionDT long, TransactionAmt double, isFraud long, ProductCD string,"
               " card1 double, card2 double, card4 string, card6 string, addr1 double, P_emaildomain string,"
               " C1 double, D1 double, D2 double")
-    rows = pd.DataFrame(data).astype(object).where(lambda d: d.notna(), None)
-    return spark.createDataFrame([tuple(x) for x in rows.itertuples(index=False)], schema).cache()
+    return spark.createDataFrame(rows, schema).cache()

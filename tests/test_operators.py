@@ -175,6 +175,16 @@ def test_wasserstein_of_a_shift_is_the_shift(raw):
     assert got[C.AMOUNT] == pytest.approx(12.5) and got["C1"] == 0.0
 
 
+def test_a_lost_column_is_drift_and_every_column_is_reported(raw):
+    lost = raw.withColumn("C1", F.lit(None).cast("double"))
+    got = {r["feature"]: (r["distance"], r["status"]) for r in drift.wasserstein(raw, lost, ["C1", "D1", "D2"]).collect()}
+    assert got == {"C1": (None, "lost"), "D1": (0.0, "ok"), "D2": (None, "empty")}
+    tests = {r["feature"]: r["drifted"] for r in drift.column_tests(raw, lost, ["C1", "D1", "D2"], ["card4"]).collect()}
+    assert tests == {"C1": True, "D1": False, "D2": False, "card4": False}
+    psi = {r["feature"]: r["psi"] for r in drift.psi_numeric(raw, raw, ["D1", "D2"]).collect()}
+    assert psi == {"D1": 0.0, "D2": None}
+
+
 # ---- metrics
 
 def test_metrics_on_ties(spark):
