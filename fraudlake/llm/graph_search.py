@@ -29,7 +29,7 @@ SHARD_ROWS = 4096
 QUERY_ROWS = 4096
 DEGREE = 28
 BUILD_BEAM = 40
-BEAM = 48
+BEAM = 80
 ALPHA = 1.2
 AT_ONCE = 3
 
