@@ -73,7 +73,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.where("a != b").distinct())
+        # repeated edges, no more than there were edges before, go with the small step's
+        large = materialize(large.where("a != b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a")
                  .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
@@ -81,8 +82,11 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
                  .select("e.a", "e.b").where("a != b").distinct())
         small = materialize(small)
         # a forest of stars: nobody is both a child and a parent, every child has one parent
-        state = small.groupBy("a").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()
-        done = (state.n or 0) <= 1 and small.join(small.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+        ends = small.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                              F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+                                      ).alias("e")).select("e.*")
+        done = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+            "up > 1 or (up > 0 and down > 0)").isEmpty()
         now = small
         if done:
             break

@@ -264,7 +264,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     heads = index.groupBy("signature").agg(F.min("class").alias("head"), F.max("class").alias("last"))
     hung = (index.join(heads.where("head < last").select("signature", "head").hint("merge"), "signature")
             .where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
-    groups = components(materialize(hung)).select(F.col("node").alias("class"), F.col("component").alias("grp"))
+    groups = components(hung).select(F.col("node").alias("class"), F.col("component").alias("grp"))
 
     chars = rows.where("doc is not null").select(F.col("doc").alias("class"), "text",
                                                  F.length("text").cast("long").alias("chars"))
@@ -278,8 +278,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     tasks = (members.withColumn("p", F.explode(each))
              .select("grp", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "class", "text")
              .repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y", "class"))
-    links = _verify(tasks, words, percent)
-    linked = components(materialize(_verify(tasks, words, percent)))
+    linked = components(_verify(tasks, words, percent))
     found = classes.select("hi", "lo", "n", "class").join(
         linked.select(F.col("node").alias("class"), "component"), "class", "left").select(
         "hi", "lo", "n", F.coalesce("component", "class").alias("component"))
