@@ -73,11 +73,14 @@ JDBC_BATCH_ROWS = 5_000
 UNKNOWN = "unknown"
 POSITIVE_WEIGHT = 20.0
 GBT_PARAMS = {"maxIter": 300, "maxDepth": 7, "stepSize": 0.05, "subsamplingRate": 0.8,
-              "minInstancesPerNode": 5}
-LR_PARAMS = {"maxIter": 1000}
+              "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5}
+LR_PARAMS = {"maxIter": 1000, "standardization": False}
+LR_INVERSE_PENALTY = 1.0
 RF_PARAMS = {"numTrees": 200, "maxDepth": 10}
 
 # ---- engine limits (not part of any result) ----
 BROADCAST_ROWS = 1_000_000      # a lookup table above this many rows is never broadcast
 HOT_KEY_SHARE = 1_000           # a key with more than 1/1000 of all rows counts as hot
+TRAIN_ROWS = 250_000            # rows in a partition while a classifier is fitted
+TRAIN_PARTITIONS = 8            # at least so many of them
 AGG_CHUNK = 48                  # expressions per wide aggregate

@@ -45,14 +45,20 @@ def balanced(df: DataFrame) -> DataFrame:
     return _weighted(df, w[0] or 0.0, w[1] or 0.0)
 
 
-def train(kind: str, matrix: DataFrame, features: list[str] | None = None, **params):
+def train(kind: str, matrix: DataFrame, features: list[str] | None = None,
+          partitions: int | None = None, **params):
     """Fit one classifier. The assembled rows are kept on the executors (spilling to
     their disks) while the iterations run and are dropped afterwards; tree models
-    checkpoint their node ids so that the lineage does not grow with the trees."""
+    checkpoint their node ids so that the lineage does not grow with the trees.
+
+    Rows are dealt by a hash of their features and sorted in their partition, and the number
+    of partitions follows from the number of rows if it isn't given: what the learners sample
+    depends on neither the cores nor the files."""
     features = features or feature_names(matrix)
     common = {"labelCol": C.TARGET, "featuresCol": VECTOR, "weightCol": WEIGHT}
     trees = {"seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
     shared_root(matrix.sparkSession)
+    n_rows = matrix.count()
     if kind == "gbt":
         learner = GBTClassifier(**{**common, **trees, **C.GBT_PARAMS, **params})
         rows = _weighted(matrix, 1.0, C.POSITIVE_WEIGHT)
@@ -60,15 +66,16 @@ def train(kind: str, matrix: DataFrame, features: list[str] | None = None, **par
         learner = RandomForestClassifier(**{**common, **trees, **C.RF_PARAMS, **params})
         rows = balanced(matrix)
     elif kind == "logistic-regression":
-        learner = LogisticRegression(**{**common, **C.LR_PARAMS, **params})
+        # the published penalty stands beside the summed loss, this one beside the mean loss;
+        # balanced weights sum up to the number of rows
+        penalty = {"regParam": 1.0 / (C.LR_INVERSE_PENALTY * max(n_rows, 1))}
+        learner = LogisticRegression(**{**common, **penalty, **C.LR_PARAMS, **params})
         rows = balanced(matrix)
     else:
         raise ValueError(f"unknown classifier {kind}")
-    ready = assemble(rows, features).select(VECTOR, C.TARGET, WEIGHT)
-    cores = matrix.sparkSession.sparkContext.defaultParallelism
-    if ready.rdd.getNumPartitions() < cores:  # a small input in few files
-        ready = ready.repartition(cores)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = partitions or max(C.TRAIN_PARTITIONS, -(-n_rows // C.TRAIN_ROWS))
+    dealt = rows.repartition(partitions, *features).sortWithinPartitions(*features, C.TARGET)
+    ready = assemble(dealt, features).select(VECTOR, C.TARGET, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return learner.fit(ready)
     finally:
