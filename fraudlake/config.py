@@ -82,5 +82,4 @@ RF_PARAMS = {"numTrees": 200, "maxDepth": 10}
 BROADCAST_ROWS = 1_000_000      # a lookup table above this many rows is never broadcast
 HOT_KEY_SHARE = 1_000           # a key with more than 1/1000 of all rows counts as hot
 TRAIN_ROWS = 250_000            # rows in a partition while a classifier is fitted
-TRAIN_PARTITIONS = 8            # at least so many of them
 AGG_CHUNK = 48                  # expressions per wide aggregate

@@ -20,7 +20,7 @@ from .quantiles import exact_quantiles
 
 PAIR = ["card1", "addr1"]
 PAIR_COUNT = "card1_addr1_count"
-VOCABULARY_TASK_ROWS = 5_000_000
+WHOLE = (*C.CATEGORICAL_FEATURES, PAIR_COUNT)  # codes and counts: whole numbers
 
 
 def engineered(df: DataFrame) -> dict[str, Column]:
@@ -62,16 +62,12 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             .agg(F.sum("n_rows").alias("n_rows")))
 
 
-def label_codes(counts: DataFrame, task_rows: int = VOCABULARY_TASK_ROWS) -> DataFrame:
+def label_codes(counts: DataFrame) -> DataFrame:
     """Code = rank of the category among its column's sorted categories, from 0.
 
-    The rank runs over distinct categories only. A vocabulary beyond ``task_rows``
-    is ranked in two levels: sorted into ranges by the shuffle, numbered inside
-    each range, shifted by the sizes of the ranges before it."""
-    sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (sizes or 0) <= task_rows:
-        order = Window.partitionBy("feature").orderBy("category")
-        return counts.withColumn("code", (F.row_number().over(order) - 1).cast("long"))
+    The rank runs over distinct categories only, in two levels: they are sorted into
+    ranges by the shuffle, numbered inside each range, and shifted by the sizes of the
+    ranges before it."""
     # written once, so that range numbers cannot change between the two uses below
     tagged = materialize(
         counts.repartitionByRange("feature", "category")
@@ -124,16 +120,17 @@ def select_features(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return df.select(*keep, *pick_features(df), *target)
 
 
-def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Exact median per column, nulls skipped, 0.0 for a column without values."""
-    got = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5])
+def fit_medians(df: DataFrame, columns: list[str], **limits) -> dict[str, float]:
+    """Exact median per column, nulls skipped, 0.0 for a column without values;
+    ``limits`` as in ``exact_quantiles``."""
+    got = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5], **limits)
     return {c: 0.0 if v[0] is None else v[0] for c, v in got.items()}
 
 
 def _filled(name: str, median: float) -> str:
     """SQL of one imputed feature. Codes and counts stay whole numbers, all other
     features are doubles, so the types do not depend on the data."""
-    if name in (*C.CATEGORICAL_FEATURES, PAIR_COUNT):
+    if name in WHOLE:
         return f"coalesce(`{name}`, {int(median)}L) AS `{name}`"
     return f"coalesce(cast(`{name}` AS double), {float(median)!r}D) AS `{name}`"
 
@@ -157,7 +154,7 @@ def align(df: DataFrame, feature_columns: list[str], medians: dict[str, float],
     def one(c):
         m = medians.get(c, 0.0)
         if c not in have:
-            return f"{float(m)!r}D AS `{c}`"
+            return f"{int(m)}L AS `{c}`" if c in WHOLE else f"{float(m)!r}D AS `{c}`"
         return _filled(c, m) if fill_nulls else f"`{c}`"
 
     target = [C.TARGET] if C.TARGET in have else []

@@ -48,15 +48,16 @@ def balanced(df: DataFrame) -> DataFrame:
 def train(kind: str, matrix: DataFrame, features: list[str] | None = None,
           partitions: int | None = None, **params):
     """Fit one classifier. The assembled rows are kept on the executors (spilling to
-    their disks) while the iterations run and are dropped afterwards; tree models
-    checkpoint their node ids so that the lineage does not grow with the trees.
+    their disks) while the iterations run and are dropped afterwards; boosted trees
+    checkpoint their errors so that the lineage does not grow with the trees.
 
     Rows are dealt by a hash of their features and sorted in their partition, and the number
     of partitions follows from the number of rows if it isn't given: what the learners sample
     depends on neither the cores nor the files."""
     features = features or feature_names(matrix)
     common = {"labelCol": C.TARGET, "featuresCol": VECTOR, "weightCol": WEIGHT}
-    trees = {"seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
+    # the trees are shallow: handing them to the tasks is cheaper than keeping every row's node
+    trees = {"seed": C.SEED, "cacheNodeIds": False, "checkpointInterval": 10}
     shared_root(matrix.sparkSession)
     n_rows = matrix.count()
     if kind == "gbt":
@@ -73,7 +74,7 @@ def train(kind: str, matrix: DataFrame, features: list[str] | None = None,
         rows = balanced(matrix)
     else:
         raise ValueError(f"unknown classifier {kind}")
-    partitions = partitions or max(C.TRAIN_PARTITIONS, -(-n_rows // C.TRAIN_ROWS))
+    partitions = partitions or max(1, -(-n_rows // C.TRAIN_ROWS))
     dealt = rows.repartition(partitions, *features).sortWithinPartitions(*features, C.TARGET)
     ready = assemble(dealt, features).select(VECTOR, C.TARGET, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -17,7 +17,7 @@ BIN = "_bin"
 
 
 def n_ranges(df: DataFrame) -> int:
-    return max(1, min(1_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def range_splits(df: DataFrame, cols: list[str]) -> dict[str, list[float]]:

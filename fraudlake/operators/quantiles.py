@@ -5,7 +5,9 @@ not hold for a continuous column of a very large table. So columns with many
 values first get a bracket: the bounded ``percentile_approx`` sketch
 gives two values around the wanted rank, a counting pass proves that the rank
 lies between them, and only the values inside go to the exact aggregate. A
-bracket that is still too wide is narrowed again.
+bracket that is still too wide is narrowed again; one that misses the rank is
+widened, one that doesn't shrink gets a finer sketch. No column goes whole to the
+exact aggregate unless it has at most ``distinct_limit`` values.
 """
 
 import math
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..config import AGG_CHUNK
 
+WIDTH = 2.0
+
 
 def wide_agg(df: DataFrame, exprs: list[Column], chunk: int = AGG_CHUNK) -> list:
     """Values of many global aggregates, a bounded number per job so that the
@@ -41,7 +45,7 @@ def exact_quantiles(
     if not names:
         return out
     small = names
-    if df.count() > distinct_limit:  # Parquet answers this from its footers
+    if df.count() > distinct_limit:  # fewer rows than that are one bounded exact aggregate
         around = F.array(*[F.lit(e) for p in probs for e in _around(p, accuracy)])
         head = wide_agg(df, [
             e for s in series.values()
@@ -63,9 +67,9 @@ def exact_quantiles(
     return out
 
 
-def _around(p: float, accuracy: int) -> tuple[float, float]:
-    """The sketch is off by at most 1/accuracy; twice that on both sides."""
-    return max(0.0, p - 2.0 / accuracy), min(1.0, p + 2.0 / accuracy)
+def _around(p: float, accuracy: int, width: float = WIDTH) -> tuple[float, float]:
+    """The sketch is off by at most 1/accuracy; ``width`` times that on both sides."""
+    return max(0.0, p - width / accuracy), min(1.0, p + width / accuracy)
 
 
 def _position(t: dict) -> float:
@@ -81,6 +85,8 @@ def _inside(x: Column, t: dict) -> Column:
 
 def _narrow(df, series, targets, distinct_limit, accuracy):
     todo = list(targets)
+    for t in todo:
+        t.update(width=WIDTH, accuracy=accuracy)
     while todo:
         checks = []
         for t in todo:
@@ -90,14 +96,20 @@ def _narrow(df, series, targets, distinct_limit, accuracy):
         seen, left = wide_agg(df, checks), []
         for j, t in enumerate(todo):
             below, inside, distinct = seen[3 * j:3 * j + 3]
-            holds = below <= math.floor(t["h"]) and math.ceil(t["h"]) < below + inside
-            if holds and inside < t["inside"]:
-                t.update(lo=t["next"][0], hi=t["next"][1], below=below, inside=inside)
+            if not (below <= math.floor(t["h"]) and math.ceil(t["h"]) < below + inside):
+                t["width"] *= 2  # the sketch missed the rank: look further around it
+                left.append(t)
+            elif inside < t["inside"] or distinct <= distinct_limit:
+                t.update(lo=t["next"][0], hi=t["next"][1], below=below, inside=inside, width=WIDTH)
                 if distinct > distinct_limit:
                     left.append(t)
+            else:
+                t["accuracy"] *= 10  # shared values at both ends: a finer sketch sees between them
+                left.append(t)
         sketches = [
-            F.percentile_approx(_inside(series[t["c"]], t),
-                                F.array(*map(F.lit, _around(_position(t), accuracy))), accuracy)
+            F.percentile_approx(
+                _inside(series[t["c"]], t),
+                F.array(*map(F.lit, _around(_position(t), t["accuracy"], t["width"]))), t["accuracy"])
             for t in left
         ]
         for t, ends in zip(left, wide_agg(df, sketches)):

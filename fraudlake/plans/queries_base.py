@@ -638,3 +638,16 @@ def _(spark, sf):
 @query("hash_sample")
 def _(spark, sf):
     return hash_sample(txn(spark, sf, C.KEY, C.AMOUNT, C.TARGET), C.REFERENCE_SAMPLE_ROWS, C.KEY, C.SEED)
+
+
+@query("hash_sample_properties", check_sql(
+    f"SELECT n, n AS n_keys, n AS n_found FROM (SELECT least(count(*), {C.REFERENCE_SAMPLE_ROWS}) AS n FROM txn)",
+    "txn"))
+def _(spark, sf):
+    """Exact in size, no row twice, every row one of the table's."""
+    t = txn(spark, sf, C.KEY, C.AMOUNT, C.TARGET)
+    sample = hash_sample(t, C.REFERENCE_SAMPLE_ROWS, C.KEY, C.SEED)
+    known = t.select(C.KEY, F.struct(C.AMOUNT, C.TARGET).alias("_row"))
+    same = F.col("_row").eqNullSafe(F.struct(C.AMOUNT, C.TARGET))
+    return sample.join(known, C.KEY, "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(C.KEY).alias("n_keys"), F.count_if(same).alias("n_found"))

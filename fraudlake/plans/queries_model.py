@@ -46,6 +46,16 @@ def _(spark, sf):
     return features.add_pair_count(test, features.pair_counts(train)).select(C.KEY, features.PAIR_COUNT)
 
 
+@query("freq_encode_shuffled", check_sql(
+    "SELECT TransactionID, coalesce(n, 1) AS card1_addr1_count FROM test t LEFT JOIN pairs p"
+    " ON t.card1 IS NOT DISTINCT FROM p.card1 AND t.addr1 IS NOT DISTINCT FROM p.addr1",
+    "train", "test", more=_PAIRS))
+def _(spark, sf):
+    """The same with the learned table taken as too large for a broadcast."""
+    train, test = split(spark, sf, "card1", "addr1")
+    return features.add_pair_count(test, features.pair_counts(train), small=False).select(C.KEY, features.PAIR_COUNT)
+
+
 @query("label_encode_fit", check_sql("SELECT * FROM codes", "train", more=_CODES))
 def _(spark, sf):
     train, _ = split(spark, sf, *_CATS)
@@ -78,6 +88,16 @@ def _(spark, sf):
     return rounded(spark.createDataFrame(list(got.items()), "feature string, median double"))
 
 
+@query("median_fit_bracketed", check_sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, coalesce(median({c}), 0.0::DOUBLE) AS median FROM train" for c in _RAW),
+    "train", round6="median"))
+def _(spark, sf):
+    """The same with every column taken as too long for one exact aggregate."""
+    train, _ = split(spark, sf, *_RAW)
+    got = features.fit_medians(train, _RAW, distinct_limit=20)
+    return rounded(spark.createDataFrame(list(got.items()), "feature string, median double"))
+
+
 @query("median_impute", check_sql(
     "SELECT TransactionID, " + ", ".join(
         f"coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(median({c}), 0.0::DOUBLE) FROM train)) AS {c}"
@@ -188,11 +208,29 @@ def _(spark, sf):
 @query("drift_scenario_a_noise")
 def _(spark, sf):
     """How far the noisy shift lies from two standard deviations, per feature."""
-    t = txn(spark, sf, C.KEY, *_DRIFT[:-1])
-    moved = scenarios.feature_drift(t)
-    exact = scenarios.feature_drift(t, noise=0)
-    return rounded(drift.moments(moved, _DRIFT[:-1]).join(
-        drift.moments(exact, _DRIFT[:-1]).select("feature", F.col("mean").alias("exact_mean")), "feature"))
+    return rounded(_noise(spark, sf))
+
+
+def _noise(spark, sf):
+    t = txn(spark, sf, C.KEY, *_DRIFT)
+    moved, exact = (drift.moments(scenarios.feature_drift(t, **kw), _DRIFT) for kw in ({}, {"noise": 0}))
+    return moved.join(exact.select(
+        "feature", F.col("n").alias("exact_n"), F.col("mean").alias("exact_mean"),
+        F.col("std").alias("exact_std")), "feature")
+
+
+@query("drift_scenario_a_noise_properties", check_sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n, true AS centred, true AS widened FROM txn" for c in _DRIFT), "txn"))
+def _(spark, sf):
+    """The noise has mean 0 (within six standard errors) and adds its own variance to the feature's
+    (within a tenth of the deviation); a feature without spread stays as it is."""
+    t = _noise(spark, sf)
+    error = C.NOISE_STDS * F.col("exact_std") / F.sqrt("n")
+    spread = F.col("exact_std") * (1 + C.NOISE_STDS ** 2) ** 0.5
+    return t.select(
+        "feature", "n",
+        F.coalesce(F.abs(F.col("mean") - F.col("exact_mean")) <= 6 * error + 1e-9, F.lit(True)).alias("centred"),
+        F.coalesce(F.abs(F.col("std") - spread) <= 0.1 * F.col("exact_std") + 1e-9, F.lit(True)).alias("widened"))
 
 
 @query("drift_scenario_b", check_sql(
@@ -421,14 +459,6 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-# The default settings are those in config; these smaller ones keep a query short.
-SMALL_MODELS = {
-    "gbt": {"maxIter": 5, "maxDepth": 4},
-    "logistic-regression": {"maxIter": 50},
-    "random-forest": {"numTrees": 10, "maxDepth": 5},
-}
-
-
 @query("class_weights", check_sql(
     "SELECT isFraud, n, total, total / (2 * n) AS weight FROM (SELECT isFraud, count(*) AS n,"
     " (SELECT count(*) FROM txn) AS total FROM txn GROUP BY 1)".replace("n, total,", "n,"), "txn",
@@ -450,7 +480,7 @@ def _train_query(kind):
     def run(spark, sf):
         fitted, train, test = _matrices(spark, sf)
         names = fitted.feature_columns
-        m = models.train(kind, train, names, **SMALL_MODELS[kind])
+        m = models.train(kind, train, names)
         return rounded(evaluation.evaluate(models.scored_labels(m, fitted.transform(test), names)))
     return run
 
@@ -463,23 +493,40 @@ query("train_rf")(_train_query("random-forest"))
 @query("compare_models")
 def _(spark, sf):
     fitted, train, test = _matrices(spark, sf)
-    return rounded(models.compare(train, fitted.transform(test), SMALL_MODELS))
+    kinds = ("gbt", "logistic-regression", "random-forest")
+    return rounded(models.compare(train, fitted.transform(test), {k: {} for k in kinds}))
 
 
 @query("feature_importance")
 def _(spark, sf):
+    """The 20 features that the main model uses most."""
     fitted, train, _ = _matrices(spark, sf)
     names = fitted.feature_columns
-    m = models.train("random-forest", train, names, **SMALL_MODELS["random-forest"])
-    return rounded(models.feature_importance(m, names, spark))
+    m = models.train("gbt", train, names)
+    return rounded(models.feature_importance(m, names, spark).limit(20))
+
+
+def _scored_batch(spark, sf):
+    fitted, train, test = _matrices(spark, sf)
+    return models.score_batch(models.train("logistic-regression", train, fitted.feature_columns), fitted, test)
 
 
 @query("score_batch")
 def _(spark, sf):
-    fitted, train, test = _matrices(spark, sf)
-    m = models.train("logistic-regression", train, fitted.feature_columns,
-                     **SMALL_MODELS["logistic-regression"])
-    return models.score_batch(m, fitted, test)
+    return _scored_batch(spark, sf)
+
+
+@query("score_batch_properties", check_sql(
+    "SELECT count(*) AS n, count(DISTINCT TransactionID) AS n_keys, CAST(sum(TransactionID) AS BIGINT) AS key_sum,"
+    " CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_flags FROM test", "train", "test"))
+def _(spark, sf):
+    """Every row of the batch once, probabilities from 0 to 1, flags that follow them."""
+    p = F.col("fraud_probability")
+    return _scored_batch(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(C.KEY).alias("n_keys"),
+        F.sum(C.KEY).cast("long").alias("key_sum"),
+        F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("out_of_range"),
+        F.count_if(F.col("is_fraud") != (p >= C.SCORE_THRESHOLD)).alias("wrong_flags"))
 
 
 # ---------------------------------------------------------------- requests and streams

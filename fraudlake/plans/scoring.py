@@ -13,8 +13,14 @@ from ..operators.models import add_score
 def score_requests(model, features: FeatureModel, requests: DataFrame, request_id: str,
                    payload: str, threshold: float = C.SCORE_THRESHOLD) -> DataFrame:
     """One scored row per JSON payload. Declared fields get their defaults; a feature
-    that is not part of a request gets its learned median. Learned tables are joined
-    by broadcast or shuffle against the stream, so this also runs on ``readStream``."""
+    that is not part of a request gets its learned median.
+
+    Runs on ``readStream`` too if every learned table is within the broadcast bound; a larger one
+    needs its hot keys counted first, which a stream can't give: an error then. Score such requests
+    in ``foreachBatch``."""
+    if requests.isStreaming and not all(features.small.values()):
+        large = sorted(k for k, small in features.small.items() if not small)
+        raise ValueError(f"learned tables beyond the broadcast bound: {large}; use foreachBatch")
     rows = with_payload_defaults(requests.select(request_id, payload), payload)
     # further features may come as extra fields
     more = [c for c in (*C.ALL_FEATURES, C.TIME) if c not in rows.columns]

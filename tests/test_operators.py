@@ -1,11 +1,13 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fraudlake import config as C
 from fraudlake.functions import expressions as X
 from fraudlake.operators import aggregates, drift, evaluation, joins, profile, scenarios, splitting, stats
+from fraudlake.operators.quantiles import exact_quantiles
 from fraudlake.sources import readers, schema, sinks
 from fraudlake.session import shared_dir
 
@@ -207,3 +209,13 @@ def test_curves_against_a_plain_loop(spark, raw):
     assert m["auc_roc"] == pytest.approx(wins / (p * n)) and m["average_precision"] == pytest.approx(ap)
     roc = evaluation.roc_curve(df).where("threshold IS NOT NULL").toPandas()
     assert math.isclose(roc.tpr.max(), 1.0) and math.isclose(roc.fpr.max(), 1.0)
+
+
+@pytest.mark.parametrize("accuracy", [5, 20, 1000])
+def test_quantiles_between_shared_values(spark, accuracy):
+    # half the values are the smallest one, nearly half the largest, the ranks lie around and between
+    values = [0.0] * 1000 + [float(i * i % 997) + i / 1000 for i in range(1, 301)] + [1e6] * 990
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    probs = [0.0, 0.25, 0.43, 0.45, 0.5, 0.57, 0.9, 1.0]
+    got = exact_quantiles(df, {"x": F.col("x")}, probs, distinct_limit=20, accuracy=accuracy)["x"]
+    assert np.allclose(got, np.quantile(values, probs))
