@@ -6,8 +6,8 @@ last return the columns of ``documents``.
 
 1. ``language``: documents whose language can't be told (null, no letter, or a score below
    ``LEAST_SCORE``) go.
-2. ``near_duplicates``: of each group linked by 3-word shingles at 0.9 or more, as the join's
-   contract has it, the document with the smallest id stays; of rows with one id, one.
+2. ``near_duplicates``: of each group linked by 5-word shingles at 0.8 or more, the document
+   with the smallest id stays; of rows with one id, one.
    Documents without an id or without a word are in no group and stay.
 3. ``benchmark``: documents that hold a test item, exact or within its edit budget, go.
 4. ``secrets``: all stay; spans of secrets are replaced by a mark, ``n_chars`` follows.
@@ -25,6 +25,7 @@ from fraudlake.llm import language as languages
 from fraudlake.session import shared_dir
 
 LEAST_SCORE = 0.3
+WORDS, PERCENT = 5, 80  # of near duplicates
 ORACLE_SQL = None  # support vector machines and byte-pair merges have no SQL form; see tests/llm
 
 
@@ -36,7 +37,7 @@ def language(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    groups = jaccard_join.join(docs.select("doc_id", "text"))
+    groups = jaccard_join.join(docs.select("doc_id", "text"), words=WORDS, percent=PERCENT)
     others = groups.where("component_id != doc_id").select("doc_id").distinct()
     left = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
     named = left.where("doc_id is not null").dropDuplicates(["doc_id"])

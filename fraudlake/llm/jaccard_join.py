@@ -47,7 +47,7 @@ GROUP_CHARS = 12_000_000
 BAND = 1.25
 SPARE = 2
 MEETING = 20_000  # sets that a segment could meet by chance, in index rows; the same at every size
-CHANCE = 0.1  # assumed share of a segment's shingles that an unrelated set holds too
+CHANCE = 0.1  # assumed share of a segment's 3-word shingles that an unrelated set holds too; longer ones are rarer
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -94,9 +94,10 @@ class Shingler:
         return np.unique(out)
 
 
-def schemes(percent: int, longest: int = 1 << 31) -> list[Scheme]:
+def schemes(percent: int, longest: int = 1 << 31, words: int = 3) -> list[Scheme]:
     """A scheme for each size band that can hold links between different sets."""
     out, number, low = [], 0, 1
+    held = CHANCE ** (words / 3)
     while low <= longest:
         nxt = max(low + 1, math.ceil(low * BAND))
         high = (nxt - 1) * 100 // percent
@@ -108,7 +109,7 @@ def schemes(percent: int, longest: int = 1 << 31) -> list[Scheme]:
                 exact = max(0, differ + 1 - 2 * one_off)
                 n = low / (exact + one_off)
                 rows = exact + one_off * (n + 1)
-                chance = exact * CHANCE ** n + one_off * (n + 1) * CHANCE ** max(0.0, n - 1)
+                chance = exact * held ** n + one_off * (n + 1) * held ** max(0.0, n - 1)
                 best = min(best or (math.inf,), (rows + MEETING * chance, one_off, exact))
             # exact segments alone need no spare ones if there are none
             spare = SPARE if best[2] else 0
@@ -254,7 +255,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
          group_chars: int = GROUP_CHARS) -> DataFrame:
     """(key, n_shingles, component_id)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    plans = schemes(percent)
+    plans = schemes(percent, words=words)
     sets = materialize(_sets(rows, words, plans))
 
     # equal sets are one class, which goes by its smallest key

@@ -333,3 +333,15 @@ def test_pipeline_stages(spark, sf, docs):
     assert {(r.text, r.n_chars) for r in hidden.collect()} == {("key [SECRET]", 12)} and hidden.columns == docs.columns
     assert dict(corpus_pipeline.tokens(spark, docs, sf).dtypes)["ids"] == "array<int>"
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_pipeline_links_five_words_at_four_fifths(spark, sf):
+    """A copy with four of 200 words changed (0.815 at five words, 0.886 at three) goes, one with five stays."""
+    words = [f"w{i}" for i in range(200)]
+
+    def changed(n):
+        return " ".join(f"new{i}" if i in range(20, 20 + 30 * n, 30) else w for i, w in enumerate(words))
+
+    df = spark.createDataFrame([(0, changed(0)), (1, changed(4)), (2, changed(5).replace("new", "other"))],
+                               "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, sf).collect()) == [0, 2]
