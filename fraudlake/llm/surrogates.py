@@ -5,7 +5,9 @@ numbers, and names after a title. The entity behind a mention is its core (digit
 number, the lower-cased address, the family name), so all mentions of one entity get the
 same surrogate in each mention's own format. Surrogates follow from a keyed hash: digits for
 digits, letters for letters, a card's first digit and a valid check digit, family names in the
-mention's script, given names that fit the title's gender.
+mention's script. A given name with its family name and gender is an entity of its own
+(``full``): its surrogate fits the gender, and no other full name of that family has it.
+Given names come from a short list first, from more and more syllables when drawn again.
 
 Distinct cores must have distinct surrogates, and none may be a core that occurs. Both
 are checked for all entities of the corpus; the losers of a collision draw again until
@@ -42,6 +44,9 @@ PATTERNS = [
     ("name", rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"),
 ]
 KINDS = [k for k, _ in PATTERNS]
+FULL = "full"  # given names within a family: not a pattern's kind
+_SYLLABLES = "ba de fi go ku la me ni po ra se ti vo wa ze lo".split()
+_LATIN, _CYRILLIC = "BDFGKLMNPRSTVWZabcdefgiklmnoprstuvwz", "БДФГКЛМНПРСТВУЗабцдефгиклмнопрстувуз"
 # All kinds in their order. The tests in front follow from the patterns (nothing but an
 # address of digits begins after an ASCII letter, and none of the later kinds with a small
 # one) and spare most places of a text the single patterns.
@@ -98,10 +103,10 @@ def surrogate(kind, core, attempt, key: str):
     mail = F.concat(_drawn(F.rpad(local, 6, "x"), hexes), F.lit("@"),
                     F.translate(F.substring(hexes, 100, 6), "0123456789abcdef", "abdefghiklmnorst"),
                     F.lit(".example."), tld)
-    syllable = F.array(*[F.lit(s) for s in "ba de fi go ku la me ni po ra se ti vo wa ze lo".split()])
+    syllable = F.array(*[F.lit(s) for s in _SYLLABLES])
     parts = [F.element_at(syllable, F.conv(F.substring(hexes, 9 + i, 1), 16, 10).cast("int") + 1) for i in range(5)]
     name = F.initcap(F.concat(*parts))
-    cyrillic = F.translate(name, "BDFGKLMNPRSTVWZabcdefgiklmnoprstuvwz", "БДФГКЛМНПРСТВУЗабцдефгиклмнопрстувуз")
+    cyrillic = F.translate(name, _LATIN, _CYRILLIC)
     octets = F.concat_ws(".", *[(number(1 + 4 * i) % 254 + 1).cast("string") for i in range(4)])
     digits = _drawn(core, hexes)
     card = _checked(F.concat(F.substring(core, 1, 1), F.expr("''"),
@@ -109,9 +114,36 @@ def surrogate(kind, core, attempt, key: str):
     return (F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card)
             .when(kind == "name", F.when(core.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(name))
             .when(kind == "iban", F.concat(F.substring(core, 1, 2), F.substring(digits, F.lit(3), F.length(core))))
+            .when(kind == FULL, _given(core, attempt, key))
             .otherwise(digits))
 
 
+def _given(core, attempt, key):
+    """A full name's (gender|given names|family name) surrogate (given names|family name), word by word."""
+    fields = F.split(core, r"\|")
+    gender = fields[0]
+
+    def word(w, i):
+        hexes = F.sha2(F.concat_ws("|", F.lit(key), F.lit(FULL), core, attempt.cast("string"), i.cast("string")), 256)
+        draw = F.conv(F.substring(hexes, 1, 6), 16, 10).cast("int")
+        cyrillic = w.rlike(r"\p{IsCyrillic}")
+
+        def listed(names):
+            lists = {g: F.array(*[F.lit(n) for n in names[g]]) for g in "mf"}
+            return F.when(gender == "m", F.get(lists["m"], draw % len(names["m"]))).otherwise(
+                F.get(lists["f"], draw % len(names["f"])))
+
+        made = F.initcap(F.concat(F.array_join(F.transform(
+            F.sequence(F.lit(1), F.least(attempt + 1, F.lit(12))), lambda k: F.get(
+                F.array(*[F.lit(s) for s in _SYLLABLES]),
+                F.conv(F.substring(hexes, k + 8, F.lit(1)), 16, 10).cast("int"))), ""),
+            F.when(gender == "m", "n").otherwise("la")))
+        return F.when(attempt == 0, F.when(cyrillic, listed(GIVEN_CYRILLIC)).otherwise(listed(GIVEN))).otherwise(
+            F.when(cyrillic, F.translate(made, _LATIN, _CYRILLIC)).otherwise(made))
+
+    return F.concat_ws("|", F.array_join(F.transform(F.split(fields[1], " "), word), " "), fields[2])
+
+
 def _in_format(value, new):
     """The mention with its letters and digits replaced from the right by the new core's."""
     start = F.struct(F.lit("").alias("out"), new.alias("rest"))
@@ -126,19 +158,17 @@ def _in_format(value, new):
     return F.aggregate(F.split(F.reverse(value), ""), start, step, lambda acc: acc["out"])
 
 
-def _name(value, new, key):
-    """Title, a given name of its gender if there was one, and the new family name."""
+def full_of(value):
+    """A name's core as a full name, null if it has no given name."""
     words = F.split(value, " ")
+    gender = F.when(value.rlike(rf"^(?:{MALE})\.? "), "m").otherwise("f")
+    given = F.array_join(F.slice(words, F.lit(2), F.greatest(F.lit(0), F.size(words) - 2)), " ")
+    return F.when(F.size(words) > 2, F.concat_ws("|", gender, given, F.element_at(words, -1)))
 
-    def pick(names):
-        draw = F.pmod(F.xxhash64(F.lit(key), F.element_at(words, 2)), F.lit(len(names["m"]))).cast("int") + 1
-        lists = {g: F.array(*[F.lit(n) for n in names[g]]) for g in "mf"}
-        return F.when(value.rlike(rf"^(?:{MALE})\.? "), F.element_at(lists["m"], draw)).otherwise(
-            F.element_at(lists["f"], draw))
 
-    given = F.when(value.rlike(r"\p{IsCyrillic}"), pick(GIVEN_CYRILLIC)).otherwise(pick(GIVEN))
-    return F.when(F.size(words) > 2, F.concat_ws(" ", words[0], given, new)).otherwise(
-        F.concat_ws(" ", words[0], new))
+def _name(value, new, given):
+    """Title, the new given names if there were any, and the new family name."""
+    return F.concat_ws(" ", F.split(value, " ")[0], given, new)
 
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
@@ -177,12 +207,20 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     parts = loud.select("row", F.posexplode("found").alias("nth", "value"))
     parts = parts.withColumn("kind", kind_of(F.col("value")))
     parts = parts.withColumn("core", core_of(F.col("kind"), F.col("value")))
-    known = mapping(parts.where("kind is not null").select("kind", "core").distinct(), key)
+    parts = parts.withColumn("full", F.when(F.col("kind") == "name", full_of(F.col("value"))))
+    entities = parts.where("kind is not null").select(F.explode(F.filter(F.array(
+        F.struct("kind", "core"), F.struct(F.lit(FULL).alias("kind"), F.col("full").alias("core"))),
+        lambda e: e["core"].isNotNull())).alias("e")).select("e.*").distinct()
+    known = mapping(entities, key)
     value, new = F.col("value"), F.col("new")
     shown = (F.when(new.isNull(), value).when(F.col("kind").isin("email", "ip"), new)
-             .when(F.col("kind") == "name", _name(value, new, key)).otherwise(_in_format(value, new)))
-    # only mentions meet the entities; the gaps are moved once, to their mentions
-    mentions = parts.join(known, ["kind", "core"], "left").select("row", "nth", "kind", shown.alias("shown"))
+             .when(F.col("kind") == "name", _name(value, new, F.col("given"))).otherwise(_in_format(value, new)))
+    # only mentions meet the entities, only full names the given names; the gaps are moved once, to their mentions
+    given = known.where(F.col("kind") == FULL).select(
+        F.col("core").alias("full"), F.substring_index("new", "|", 1).alias("given"))
+    both = parts.where("full is null").withColumn("given", F.lit(None).cast("string")).unionByName(
+        parts.where("full is not null").join(given, "full", "left"))
+    mentions = both.join(known, ["kind", "core"], "left").select("row", "nth", "kind", shown.alias("shown"))
     by_row = mentions.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("nth", "shown"))).alias("mentions"),
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS])

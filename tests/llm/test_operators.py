@@ -345,3 +345,16 @@ def test_pipeline_links_five_words_at_four_fifths(spark, sf):
     df = spark.createDataFrame([(0, changed(0)), (1, changed(4)), (2, changed(5).replace("new", "other"))],
                                "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, sf).collect()) == [0, 2]
+
+
+def test_full_names_keep_distinct_surrogates(spark):
+    """More given names of one family than the lists hold, of both genders, in two scripts."""
+    names = [("Mr", f"Tom{c}{d}") for c in "abcdefgh" for d in "abcde"] + [("Mrs", f"Tom{c}a") for c in "abcdefgh"]
+    cyrillic = ["Артём", "Богдан", "Вадим", "Герман", "Данил", "Евгений", "Игорь", "Илья", "Марк", "Пётр", "Роман",
+                "Семён", "Тимур", "Фёдор", "Юрий", "Яков"]
+    rows = [f"{t} {g} Smith" for t, g in names] + [f"г-н {g} Смирнов" for g in cyrillic]
+    df = spark.createDataFrame([*enumerate(rows), (999, rows[0])], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(df, "k").collect()}
+    assert len({t.split(" ", 1)[1] for t in got.values()}) == len(rows) and got[999] == got[0]
+    assert len({t.split()[-1] for t in got.values()}) == 2
+    assert all(got[i].split()[0] == r.split()[0] and len(got[i].split()) == 3 for i, r in enumerate(rows))
