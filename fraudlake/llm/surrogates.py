@@ -1,13 +1,17 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
 Kinds: e-mail addresses, IPv4 addresses, card, social security, bank account and phone
-numbers, and names after a title. The entity behind a mention is its core (digits of a
+numbers, and names after titles: all following capitalised words, initials and particles,
+the last word as family name. In the same document these names are replaced without a title
+too: the whole name, its family name and its given names. The entity behind a mention is its core (digits of a
 number, the lower-cased address, the family name), so all mentions of one entity get the
 same surrogate in each mention's own format. Surrogates follow from a keyed hash: digits for
 digits, letters for letters, a card's first digit and a valid check digit, family names in the
 mention's script. A given name with its family name and gender is an entity of its own
 (``full``): its surrogate fits the gender, and no other full name of that family has it.
-Given names come from a short list first, from more and more syllables when drawn again.
+Given names come from a short list first, from more and more syllables when drawn again;
+initials stay initials, particles stay. After a title for both genders a full name is the one
+that occurs with a gender, if there is one.
 
 Distinct cores must have distinct surrogates, and none may be a core that occurs. Both
 are checked for all entities of the corpus; the losers of a collision draw again until
@@ -29,6 +33,11 @@ ROUNDS = 20
 _WORD = r"[A-Za-z0-9._%+-]"
 # Titles that tell a gender.
 MALE, FEMALE = "Mr|Herr|Monsieur|Señor|Sr|Signor|г-н", "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Signora|г-жа"
+BOTH = "Dr|Prof|Professor|Professeur|Profesor|Profesora|Dott|Dottor|Dottoressa|Docteur|Doctor|Doktor|д-р|Доктор|Профессор"
+_TITLES = rf"(?:(?:{MALE}|{FEMALE}|{BOTH})\.? )+"
+_PARTICLE = "(?:von|van|vom|der|den|dem|de|del|della|dei|di|da|das|do|dos|du|la|le|los|zu|zur|zum|af|av|bin|ibn|el|al|ter|ten|y|e)"
+_CAPITAL = r"\p{Lu}[\p{L}\p{M}'’-]+"
+_INITIAL = r"\p{Lu}(?:\.(?:-?\p{Lu}\.)*|(?![\p{L}\p{M}'’-]))"
 GIVEN = {"m": "Adam Boris Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leo".split(),
          "f": "Anna Bella Clara Diana Emma Flora Greta Helen Irene Julia Karin Lena".split()}
 GIVEN_CYRILLIC = {"m": "Антон Борис Виктор Глеб Денис Егор Захар Иван Кирилл Лев Максим Олег".split(),
@@ -41,17 +50,18 @@ PATTERNS = [
     ("card", r"(?<![0-9A-Za-z+-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+-])[0-9]{13,19}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])"
               r"|(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9A-Za-z])"),
-    ("name", rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"),
+    ("name", rf"(?<![\p{{L}}]){_TITLES}(?:(?:{_CAPITAL}|{_INITIAL}|{_PARTICLE}) )*{_CAPITAL}"),
 ]
 KINDS = [k for k, _ in PATTERNS]
 FULL = "full"  # given names within a family: not a pattern's kind
 _SYLLABLES = "ba de fi go ku la me ni po ra se ti vo wa ze lo".split()
+_CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ")
 _LATIN, _CYRILLIC = "BDFGKLMNPRSTVWZabcdefgiklmnoprstuvwz", "БДФГКЛМНПРСТВУЗабцдефгиклмнопрстувуз"
 # All kinds in their order. The tests in front follow from the patterns (nothing but an
 # address of digits begins after an ASCII letter, and none of the later kinds with a small
 # one) and spare most places of a text the single patterns.
 _OF = {k: f"(?:{p})" for k, p in PATTERNS}
-ANY = (f"{_OF['email']}|(?=[0-9]){_OF['ip']}|(?=[0-9A-Z+(г])(?<![A-Za-z])(?:"
+ANY = (f"{_OF['email']}|(?=[0-9]){_OF['ip']}|(?=[0-9A-Z+(гдДП])(?<![A-Za-z])(?:"
        + "|".join(_OF[k] for k in KINDS[2:]) + ")")
 
 
@@ -130,15 +140,29 @@ def _given(core, attempt, key):
 
         def listed(names):
             lists = {g: F.array(*[F.lit(n) for n in names[g]]) for g in "mf"}
-            return F.when(gender == "m", F.get(lists["m"], draw % len(names["m"]))).otherwise(
-                F.get(lists["f"], draw % len(names["f"])))
+            lists["both"] = F.concat(lists["m"], lists["f"])
+            return F.get(F.when(gender == "m", lists["m"]).when(gender == "f", lists["f"]).otherwise(lists["both"]),
+                         draw % F.when(gender == "m", len(names["m"])).when(gender == "f", len(names["f"])).otherwise(
+                             len(names["m"]) + len(names["f"])))
 
         made = F.initcap(F.concat(F.array_join(F.transform(
             F.sequence(F.lit(1), F.least(attempt + 1, F.lit(12))), lambda k: F.get(
                 F.array(*[F.lit(s) for s in _SYLLABLES]),
                 F.conv(F.substring(hexes, k + 8, F.lit(1)), 16, 10).cast("int"))), ""),
-            F.when(gender == "m", "n").otherwise("la")))
-        return F.when(attempt == 0, F.when(cyrillic, listed(GIVEN_CYRILLIC)).otherwise(listed(GIVEN))).otherwise(
+            F.when(gender == "m", "n").when(gender == "f", "la").otherwise("s")))
+        # one turn of the alphabet for all initials of a family, so distinct ones stay distinct
+        turn = F.pmod(F.xxhash64(F.lit(key), fields[2]), F.lit(25)).cast("int") + 1
+
+        def turned(c):
+            new = c
+            for letters in _CAPITALS:
+                at = F.instr(F.lit(letters), c)
+                new = F.when(at > 0, F.substring(F.lit(letters), (at - 1 + turn) % len(letters) + 1, F.lit(1))
+                             ).otherwise(new)
+            return new
+
+        initials = F.array_join(F.transform(F.split(w, ""), turned), "")
+        return F.when(w.rlike(rf"^{_PARTICLE}$"), w).when(w.rlike(rf"^{_INITIAL}$"), initials).when(attempt == 0, F.when(cyrillic, listed(GIVEN_CYRILLIC)).otherwise(listed(GIVEN))).otherwise(
             F.when(cyrillic, F.translate(made, _LATIN, _CYRILLIC)).otherwise(made))
 
     return F.concat_ws("|", F.array_join(F.transform(F.split(fields[1], " "), word), " "), fields[2])
@@ -158,17 +182,56 @@ def _in_format(value, new):
     return F.aggregate(F.split(F.reverse(value), ""), start, step, lambda acc: acc["out"])
 
 
+def _title(value):
+    return F.regexp_extract(value, f"^{_TITLES}", 0)
+
+
+def _words(value):
+    return F.split(F.regexp_replace(value, f"^{_TITLES}", ""), " ")
+
+
 def full_of(value):
     """A name's core as a full name, null if it has no given name."""
-    words = F.split(value, " ")
-    gender = F.when(value.rlike(rf"^(?:{MALE})\.? "), "m").otherwise("f")
-    given = F.array_join(F.slice(words, F.lit(2), F.greatest(F.lit(0), F.size(words) - 2)), " ")
-    return F.when(F.size(words) > 2, F.concat_ws("|", gender, given, F.element_at(words, -1)))
+    words, title = _words(value), _title(value)
+    gender = (F.when(title.rlike(rf"(?:^| )(?:{MALE})\.? "), "m").when(
+        title.rlike(rf"(?:^| )(?:{FEMALE})\.? "), "f").otherwise("both"))
+    given = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1)), " ")
+    return F.when(F.size(words) > 1, F.concat_ws("|", gender, given, F.element_at(words, -1)))
 
 
 def _name(value, new, given):
-    """Title, the new given names if there were any, and the new family name."""
-    return F.concat_ws(" ", F.split(value, " ")[0], given, new)
+    """Titles, the new given names if there were any, and the new family name."""
+    return F.concat(_title(value), F.concat_ws(" ", given, new))
+
+
+def _phrases(value, new, given):
+    """(phrase, rank, shown) that stand for a name without its title: the whole of it (rank 0),
+    its family name alone or after a given name (1), and its given names (2)."""
+    words = _words(value)
+    old = F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1))
+
+    def phrase(text, rank, shown):
+        return F.struct(text.alias("phrase"), F.lit(rank).alias("rank"), shown.alias("shown"))
+
+    single = F.zip_with(old, F.split(given, " "), lambda o, g: phrase(o, 2, g))
+    single = F.filter(single, lambda p: p["phrase"].rlike(f"^{_CAPITAL}$"))
+    family = F.element_at(words, -1)
+    paired = F.transform(single, lambda p: phrase(F.concat_ws(" ", p["phrase"], family), 1,
+                                                  F.concat_ws(" ", p["shown"], new)))
+    return F.concat(F.array(phrase(F.array_join(words, " "), 0, F.concat_ws(" ", given, new)),
+                            phrase(family, 1, new)),
+                    F.coalesce(F.concat(single, paired), F.array().cast("array<struct<phrase:string,rank:int,shown:string>>")))
+
+
+def _given_names(known):
+    """(full, given): a full name after a title for both genders is the one with a gender, if there is one."""
+    names = known.where(F.col("kind") == FULL).select(
+        F.col("core").alias("full"), F.substring_index("core", "|", 1).alias("gender"),
+        F.substring_index("core", "|", -2).alias("person"), F.substring_index("new", "|", 1).alias("given"))
+    # "both" comes before "f" and "m"; the man's name if there are two
+    sure = names.groupBy("person").agg(F.max_by("given", "gender").alias("sure"))
+    return names.join(sure, "person").select(
+        "full", F.when(F.col("gender") == "both", F.col("sure")).otherwise(F.col("given")).alias("given"))
 
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
@@ -216,16 +279,36 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     shown = (F.when(new.isNull(), value).when(F.col("kind").isin("email", "ip"), new)
              .when(F.col("kind") == "name", _name(value, new, F.col("given"))).otherwise(_in_format(value, new)))
     # only mentions meet the entities, only full names the given names; the gaps are moved once, to their mentions
-    given = known.where(F.col("kind") == FULL).select(
-        F.col("core").alias("full"), F.substring_index("new", "|", 1).alias("given"))
+    given = _given_names(known)
     both = parts.where("full is null").withColumn("given", F.lit(None).cast("string")).unionByName(
         parts.where("full is not null").join(given, "full", "left"))
-    mentions = both.join(known, ["kind", "core"], "left").select("row", "nth", "kind", shown.alias("shown"))
+    phrases = F.when((F.col("kind") == "name") & new.isNotNull(), _phrases(value, new, F.col("given")))
+    mentions = both.join(known, ["kind", "core"], "left").select(
+        "row", "nth", "kind", shown.alias("shown"), phrases.alias("phrases"))
     by_row = mentions.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("nth", "shown"))).alias("mentions"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("phrases")))).alias("phrases"),
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS])
+    # of a phrase with several meanings the first by rank; longer phrases are tried first
+    first = by_row.withColumn("phrases", F.filter("phrases", lambda p, i: (i == 0) | (
+        p["phrase"] != F.get("phrases", i - 1)["phrase"])))
+    longest = F.reverse(F.array_sort(F.transform("phrases", lambda p: F.struct(F.length(p["phrase"]), p["phrase"]))))
+    own = F.when(F.size("phrases") > 0, F.concat(
+        F.lit(r"(?<![\p{L}\p{M}])(?:"),
+        F.array_join(F.transform(longest, lambda p: F.concat(F.lit(r"\Q"), p["phrase"], F.lit(r"\E"))), "|"),
+        F.lit(r")(?![\p{L}\p{M}])")))
+    first = first.withColumn("own", own).withColumn("of", F.map_from_arrays("phrases.phrase", "phrases.shown"))
+
+    def untitled(gap):
+        found = F.regexp_extract_all(gap, F.col("own"), F.lit(0))
+        return F.when(F.col("own").isNull(), gap).otherwise(F.array_join(F.flatten(F.transform(
+            F.split(gap, F.col("own"), -1), lambda g, i: F.array(
+                g, F.coalesce(F.element_at("of", F.get(found, i)), F.lit(""))))), ""))
+
     whole = F.array_join(F.flatten(F.transform("gaps", lambda g, i: F.array(
-        g, F.coalesce(F.get("mentions", i)["shown"], F.lit(""))))), "")
+        untitled(g), F.coalesce(F.get("mentions", i)["shown"], F.lit(""))))), "")
+    more = F.when(F.col("own").isNull(), F.lit(0)).otherwise(F.aggregate(
+        "gaps", F.lit(0), lambda a, g: a + F.size(F.regexp_extract_all(g, F.col("own"), F.lit(0)))))
     back = {c: F.col(f"kept_{i}") for i, c in enumerate(kept)} | {text: whole}
-    done = loud.join(by_row, "row").select(*[back[c].alias(c) for c in docs.columns], *counted)
+    done = loud.join(first, "row").withColumn("n_name", F.col("n_name") + more).select(*[back[c].alias(c) for c in docs.columns], *counted)
     return quiet.unionByName(done)

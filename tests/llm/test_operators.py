@@ -358,3 +358,24 @@ def test_full_names_keep_distinct_surrogates(spark):
     assert len({t.split(" ", 1)[1] for t in got.values()}) == len(rows) and got[999] == got[0]
     assert len({t.split()[-1] for t in got.values()}) == 2
     assert all(got[i].split()[0] == r.split()[0] and len(got[i].split()) == 3 for i, r in enumerate(rows))
+
+
+def test_names_of_many_words_and_without_title(spark):
+    texts = ["Mr John Paul Smith came. Later Smith and John Smith, then Paul; Smithson and smith stay.",
+             "Mr J. Smith; Mr J. R. Smith; Dr John Paul Smith; Prof. Dr. Ludwig van Beethoven, Beethoven's.",
+             "Smith alone", "Mr Paul Smith met Mrs Paul Jones. Paul Jones left.", "Frau Smith, card 4489414937100514 Smith"]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = by_id(surrogates.pseudonymize(df, "k"))
+    one = re.fullmatch(r"Mr (\w+) (\w+) (\w+) came\. Later (\w+) and (\w+) (\w+), then (\w+); "
+                       r"Smithson and smith stay\.", got[0].text)
+    a, b, family = one.groups()[:3]
+    assert one.groups()[3:] == (family, a, family, b) and not {a, b, family} & {"John", "Paul", "Smith"}
+    assert got[0].n_name == 4
+    two = re.fullmatch(r"Mr ([A-Z])\. (\w+); Mr ([A-Z])\. ([A-Z])\. (\w+); Dr (\w+) (\w+) (\w+); "
+                       r"Prof\. Dr\. (\w+) van (\w+), (\w+)'s\.", got[1].text)
+    assert two[2] == two[5] == family and two[1] == two[3] != "J" and (two[6], two[7], two[8]) == (a, b, family)
+    assert two[10] == two[11] != "Beethoven" and two[9] != "Ludwig"
+    assert got[2].text == "Smith alone" and got[4].text.startswith(f"Frau {family}, card 4")
+    assert got[4].text.endswith(f" {family}")
+    four = re.fullmatch(r"Mr (\w+) (\w+) met Mrs (\w+) (\w+)\. (\w+) (\w+) left\.", got[3].text)
+    assert four.groups()[4:] == (four[3], four[4]) and four[2] == family != four[4]
