@@ -1,19 +1,22 @@
-"""Licence notices in documents, found by a trained classifier of paragraphs.
+"""Licence notices in documents, found by a trained classifier of word windows.
 
-A paragraph is a line. Its features are hashed word uni- and bigrams; a multinomial
-logistic regression tells licence families from ``unknown``. It is trained on the notices
-in ``TEMPLATES``, with words left out and neighbours put around them, and on a sample of
-the documents' own lines that resemble no notice as ``unknown``. On lines kept apart from
-training the threshold is set so that at most one in a thousand of them would pass.
-A prediction counts only if a template of that family confirms it: at least ``CONFIRM``
-of the template's word pairs occur in the paragraph.
+A text's words, line ends passed over, are cut into overlapping windows of the lengths in
+``WINDOWS``; the steps are so small that each template fits whole into some window. A window's
+features are hashed word uni- and bigrams; a multinomial logistic regression tells licence
+families from ``unknown``. It is trained on the notices in ``TEMPLATES``, with words left out
+and words on both sides up to a window's length, and on windows of the documents' own lines
+that resemble no notice as ``unknown``. On lines kept apart from training the threshold is set
+so that at most one in a thousand of their windows would pass. A prediction counts only if a
+template of that family confirms it: at least ``CONFIRM`` of the template's word pairs occur
+in a stretch of the window little longer than the template. Of notices that overlap the one
+that resembles its template most counts.
 
 The sample holds about ``SAMPLE`` documents whatever the table's size; with the templates it
 is all that reaches the driver. Classifying is one pass without a shuffle.
 
-Rows: one for each paragraph with a notice, several for a document with several; null,
-empty and wordless texts have none, repeated rows are reported each, an empty table gives
-none. Only the key and the text are read.
+Rows: one for each family in each paragraph (line) where a notice of it begins, several for a
+document with several; null, empty and wordless texts have none, repeated rows are reported
+each, an empty table gives none. Only the key and the text are read.
 """
 
 import re
@@ -29,6 +32,8 @@ from .common import strings, text_blocks
 BUCKETS = 1 << 13
 SAMPLE = 2000
 CONFIRM = 0.6
+WINDOWS = ((6, 2), (12, 3), (18, 4), (24, 6))  # words and step
+CHUNK = 1 << 17  # words summed at a time
 UNKNOWN = "unknown"
 # Customary wording of licence notices.
 TEMPLATES = {
@@ -66,24 +71,49 @@ class Words(dict):
         return h
 
 
-def grams(texts: list[str], words: Words):
-    """(bucket of each uni- or bigram, its line, lines before each text); lines are counted
-    through all the texts."""
-    text = "\n".join(t.lower() for t in texts)
-    h = np.fromiter(map(words.__getitem__, _TOKEN.findall(text)), np.uint64)
-    line = np.cumsum(h == 0)
-    first = np.cumsum([0, *(t.count("\n") + 1 for t in texts)])
-    word = h != 0
-    pair = word[:-1] & word[1:]
+def buckets(h: np.ndarray):
+    """Buckets of the words and of the pairs of neighbours."""
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
     one = (h * np.uint64(0x9E3779B97F4A7C15)) >> shift
     two = ((h[:-1] * np.uint64(31) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)) >> shift
-    bucket = np.concatenate([one[word], two[pair]]).astype(np.int64)
-    return bucket, np.concatenate([line[word], line[:-1][pair]]), first
+    return one.astype(np.int64), two.astype(np.int64)
+
+
+def hashed(texts: list[str], words: Words):
+    """(word hashes, their line, where each text's words begin, lines before each text); lines
+    are counted through all the texts."""
+    text = "\n".join(t.lower() for t in texts)
+    h = np.fromiter(map(words.__getitem__, _TOKEN.findall(text)), np.uint64)
+    line, word = np.cumsum(h == 0), h != 0
+    first = np.cumsum([0, *(t.count("\n") + 1 for t in texts)])
+    line = line[word]
+    return h[word], line, np.searchsorted(line, first), first
+
+
+def windows(begin: np.ndarray):
+    """(start, end) of every window of every text; a shorter text is one window."""
+    starts, ends = [], []
+    n = np.diff(begin)
+    for k, (length, step) in enumerate(WINDOWS):
+        # a text that fits into the window before needs no longer one
+        some = np.flatnonzero(n > (WINDOWS[k - 1][0] if k else 0))
+        last = np.maximum(n[some] - length, 0)
+        times = -(-last // step) + 1
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        at = np.repeat(begin[some], times) + np.minimum(nth * step, np.repeat(last, times))
+        starts.append(at)
+        ends.append(np.minimum(at + length, np.repeat(begin[some + 1], times)))
+    starts, ends = np.concatenate(starts), np.concatenate(ends)
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order]
+
+
+def tokens(text: str) -> list[str]:
+    return [x for x in _TOKEN.findall(text.lower()) if x != "\n"]
 
 
 def pairs(text: str) -> set:
-    w = [x for x in _TOKEN.findall(text.lower()) if x != "\n"]
+    w = tokens(text)
     return set(zip(w, w[1:])) or set(w)
 
 
@@ -93,37 +123,66 @@ def resemblance(paragraph: str, templates: list[str]) -> float:
     return max((len(mine & pairs(t)) / len(pairs(t)) for t in templates), default=0.0)
 
 
+def located(words: list[str], templates: list[str]) -> tuple[float, int, int]:
+    """(share, start, end) of the stretch of the words that has the most of a template's pairs."""
+    best = (0.0, 0, 0)
+    for template in templates:
+        want, length = pairs(template), len(tokens(template))
+        there = [i for i, p in enumerate(zip(words, words[1:])) if p in want]
+        for at in there:
+            held = [i for i in there if at <= i < at + length + length // 2 + 1]
+            share = len({(words[i], words[i + 1]) for i in held}) / len(want)
+            # the tightest of the best
+            best = max(best, (share, at, held[-1] + 2), key=lambda b: (b[0], b[1] - b[2]))
+    return best
+
+
 class LicenseModel:
     def __init__(self, classes, weights, bias, threshold):
         self.classes, self.weights, self.bias, self.threshold = classes, weights, bias, threshold
 
-    def probabilities(self, bucket, line, n):
-        """Of each class for each line: softmax of the mean weight of its grams."""
-        total = np.zeros((n, len(self.classes)))
-        order = np.argsort(line, kind="stable")
-        line, bucket = line[order], bucket[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(line)) + 1]) if len(line) else np.empty(0, int)
-        for lo in range(0, len(cuts), 20_000):  # bounded memory
-            some = cuts[lo:lo + 20_000]
-            end = cuts[lo + 20_000] if lo + 20_000 < len(cuts) else len(line)
-            sums = np.add.reduceat(self.weights[bucket[some[0]:end]], some - some[0], axis=0)
-            counts = np.diff(np.append(some, end))[:, None]
-            total[line[some]] = sums / np.sqrt(counts)
-        z = total + self.bias
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
-        return p / p.sum(1, keepdims=True)
+    def likely(self, h, starts, ends):
+        """(window, class, probability) of the windows that pass: softmax of the sum of their
+        grams' weights by the root of their number."""
+        one, two = buckets(h) if len(h) else (np.empty(0, np.int64), np.empty(0, np.int64))
+        found = []
+        for lo in range(0, len(h), CHUNK):  # bounded memory; windows are in the order of their starts
+            hi = min(lo + CHUNK + WINDOWS[-1][0], len(h))
+            a, b = np.searchsorted(starts, [lo, lo + CHUNK])
+            s, e = starts[a:b] - lo, ends[a:b] - lo
+            ones = np.zeros((hi - lo + 1, len(self.classes)))
+            np.cumsum(self.weights[one[lo:hi]], axis=0, dtype=np.float64, out=ones[1:])
+            twos = np.zeros((hi - lo, len(self.classes)))
+            np.cumsum(self.weights[two[lo:hi - 1]], axis=0, dtype=np.float64, out=twos[1:])
+            z = ones[e] - ones[s] + twos[e - 1] - twos[s]
+            z /= np.sqrt(2 * (e - s) - 1)[:, None]
+            z += self.bias
+            best = z[:, :-1].argmax(1)
+            some = np.flatnonzero(z[np.arange(len(z)), best] > z[:, -1])
+            z = z[some] - z[some].max(1, keepdims=True)
+            p = np.exp(z)[np.arange(len(some)), best[some]] / np.exp(z).sum(1)
+            sure = p >= self.threshold
+            found += zip((some[sure] + a).tolist(), best[some[sure]].tolist(), p[sure].tolist())
+        return found
 
 
 def _features(lines, words):
     x = np.zeros((len(lines), BUCKETS), np.float32)
-    for i, text in enumerate(lines):
-        bucket, _, _ = grams([text.replace("\n", " ")], words)
+    for i, line in enumerate(lines):
+        h = np.fromiter(map(words.__getitem__, tokens(line)), np.uint64)
+        bucket = np.concatenate(buckets(h)) if len(h) else np.empty(0, np.int64)
         np.add.at(x[i], bucket, 1)
         x[i] /= max(1.0, len(bucket) ** 0.5)
     return x
 
 
+def _stretch(line: str, length: int, draw) -> str:
+    """A window of a line."""
+    w = tokens(line)
+    at = int(draw.integers(max(0, len(w) - length) + 1))
+    return " ".join(w[at:at + length])
+
+
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 7) -> LicenseModel:
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
     n = rows.count()
@@ -138,14 +197,19 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int =
     plain = [s for s in found if resemblance(s, known) < 0.3]
     draw = np.random.default_rng(seed)
     plain = [plain[i] for i in draw.permutation(len(plain))]
+    # a window of each line, the lengths in turn
+    plain = [_stretch(line, WINDOWS[i // 2 % len(WINDOWS)][0], draw) for i, line in enumerate(plain)]
     training, apart = plain[::2], plain[1::2]
     lines, target, classes = [], [], [*TEMPLATES, UNKNOWN]
     for k, templates in enumerate(TEMPLATES.values()):
-        for i in range(60):
-            w = templates[i % len(templates)].split()
+        for i in range(120):
+            w = tokens(templates[i % len(templates)])
             w = [x for x in w if len(w) < 5 or draw.random() > 0.1]
-            around = training[int(draw.integers(len(training)))].split()[:int(draw.integers(0, 5))] if training else []
-            lines.append(" ".join([*around, *w] if i % 2 else w))
+            room = [length - len(w) for length, _ in WINDOWS if length >= len(w)]
+            room = room[int(draw.integers(len(room)))] if i % 3 and training else 0
+            left = int(draw.integers(room + 1))
+            near = [tokens(training[int(draw.integers(len(training)))]) for _ in range(2)] if room else [[], []]
+            lines.append(" ".join([*near[0][:left], *w, *near[1][:room - left]]))
             target.append(k)
     lines, target = lines + training, target + [len(TEMPLATES)] * len(training)
     words = Words()
@@ -178,18 +242,27 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Licens
         model, words = shared.value, Words()
         for block in text_blocks(batches, "text"):
             texts = strings(block.column("text"))
-            bucket, line, first = grams(texts, words)
-            p = model.probabilities(bucket, line, int(first[-1]))
-            best = p[:, :-1].argmax(1)
-            sure = p[np.arange(len(p)), best]
+            h, line, begin, first = hashed(texts, words)
+            starts, ends = windows(begin)
+            by_row = {}
+            for at, best, p in model.likely(h, starts, ends):
+                row = int(np.searchsorted(begin, starts[at], side="right")) - 1
+                by_row.setdefault(row, []).append((int(starts[at]), int(ends[at]), best, p))
             out = []
-            for at in np.flatnonzero((sure >= model.threshold) & (sure > p[:, -1])).tolist():
-                row = int(np.searchsorted(first, at, side="right")) - 1
-                number = at - int(first[row])
-                family = model.classes[best[at]]
-                alike = resemblance(texts[row].split("\n")[number], TEMPLATES[family])
-                if alike >= CONFIRM:
-                    out.append((block.column("key")[row].as_py(), number, family, float(sure[at]), alike))
+            for row, some in by_row.items():
+                split, offset, notices = tokens(texts[row]), int(begin[row]), {}
+                for start, end, best, p in some:
+                    alike, lo, hi = located(split[start - offset:end - offset], TEMPLATES[model.classes[best]])
+                    if alike >= CONFIRM:
+                        spot = (start + lo, start + hi, best)
+                        notices[spot] = max(notices.get(spot, (0.0, 0.0)), (alike, p))
+                taken, told = [], {}
+                for (lo, hi, best), (alike, p) in sorted(notices.items(), key=lambda n: (-n[1][0], -n[1][1], n[0])):
+                    if all(hi <= a or lo >= b for a, b in taken):
+                        taken.append((lo, hi))
+                        told.setdefault((int(line[lo] - first[row]), best), (p, alike))
+                out += [(block.column("key")[row].as_py(), number, model.classes[best], p, alike)
+                        for (number, best), (p, alike) in sorted(told.items())]
             if out:
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(

@@ -379,3 +379,27 @@ def test_names_of_many_words_and_without_title(spark):
     assert got[4].text.endswith(f" {family}")
     four = re.fullmatch(r"Mr (\w+) (\w+) met Mrs (\w+) (\w+)\. (\w+) (\w+) left\.", got[3].text)
     assert four.groups()[4:] == (four[3], four[4]) and four[2] == family != four[4]
+
+
+def test_licenses_inside_long_lines_and_over_line_ends(spark):
+    rows = [(i, prose(i, 60).replace(". ", ".\n")) for i in range(40)]
+    long = {k: f"{prose(60, 100)} {t} {prose(61, 100)}".replace("\n", " ") for k, t in enumerate(
+        ["Released under the MIT License.", "All rights reserved.",
+         "This work is licensed under the GNU General Public License, version 3", "Licensed under CC BY-SA 4.0"], 100)}
+    wrapped = {200: prose(62, 30) + "\nLicensed under the Apache License,\nVersion 2.0\n" + prose(63, 30),
+               201: "/*\n * Permission is hereby granted, free of\n * charge, to any person obtaining\n * a copy of this"
+                    " software\n */"}
+    df = spark.createDataFrame([*rows, *long.items(), *wrapped.items(), (300, prose(64, 400).replace("\n", " "))],
+                               "doc_id long, text string")
+    got = sorted((r.doc_id, r.paragraph, r.family) for r in licenses.scan(df).collect())
+    assert got == [(100, 0, "mit"), (101, 0, "proprietary"), (102, 0, "gpl"), (103, 0, "cc-by-sa"),
+                   (200, 1, "apache-2.0"), (201, 1, "mit")]
+
+
+def test_every_template_fits_into_a_window():
+    longest = max(len(licenses.tokens(t)) for ts in licenses.TEMPLATES.values() for t in ts)
+    for n in (0, 1, 6, 7, 30, 101):
+        starts, ends = licenses.windows(np.array([0, 5, 5 + n]))
+        for m in range(1, min(n, longest) + 1):
+            for at in range(5, 5 + n - m + 1):
+                assert ((starts <= at) & (at + m <= ends) & (starts >= 5)).any()
