@@ -553,7 +553,7 @@ def _(spark, sf):
 
 
 _CORR = [c for c in C.CORRELATION_COLUMNS if c in src.TXN_COLUMNS]
-_V = ["V1", "V2", "V3"]
+_V = [c for c in src.TXN_COLUMNS if c.startswith("V")]
 
 
 def _corr_sql(pairs):

@@ -49,6 +49,7 @@ _COLUMNS = {
     "V4": "CAST(NULL AS DOUBLE)",
 }
 TXN_COLUMNS = list(_COLUMNS)
+TEXT_COLUMNS = ["ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain"]
 
 
 def txn_sql(engine: str, events: str = "events", customer: str = "customer",
