@@ -8,9 +8,10 @@ of margins. All machines are linear in the frequencies, so predicting a text is
 look-up per trigram and a mean: whole texts are read once, in blocks of bounded size,
 without a shuffle.
 
-Learning: on ``PER_LANGUAGE`` rows of each language in expectation, taken by a hash of
+Learning: every label, on ``PER_LANGUAGE`` rows of each in expectation, taken by a hash of
 the key among the rows that the caller allows. That sample and its ``BUCKETS`` wide
-counts are all that reaches the driver, at any input size.
+counts are all that reaches the driver, at any input size; the machines grow with the
+square of the labels of a family.
 
 Rows: each input row gives one output row. Null text and text without a letter get
 ``und`` and score 0, the empty one included; repeated rows get equal answers; without
@@ -28,7 +29,6 @@ from .common import text_blocks, text_buffer
 
 BUCKETS = 1 << 13
 PER_LANGUAGE = 300
-MAX_LANGUAGES = 200
 UNKNOWN = "und"
 # Language families of the labels; what isn't listed is a family "other".
 FAMILIES = {
@@ -159,8 +159,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     known = known.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"),
                          F.col(lang).alias("lang"))
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}
     if not sizes:
         return LanguageModel([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), [])
     draw = F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(1 << 30))

@@ -403,3 +403,12 @@ def test_every_template_fits_into_a_window():
         for m in range(1, min(n, longest) + 1):
             for at in range(5, 5 + n - m + 1):
                 assert ((starts <= at) & (at + m <= ends) & (starts >= 5)).any()
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """No cap on the number of labels."""
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2, raising=False)
+    rows = [(i, " ".join(random.Random(i).choices([w + c for w in WORDS], k=30)), lang)
+            for c, lang in (("x", "en"), ("q", "de"), ("z", "fr"), ("v", "ru")) for i in range(12)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en", "fr", "ru"]
