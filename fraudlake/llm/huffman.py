@@ -11,7 +11,8 @@ within a block the strides are decoded side by side, a table look-up for each id
 before the block.
 
 **Tokens.** Texts below U+0100 are split as the tokenizer's own pattern splits them and each
-distinct piece goes through the tokenizer once; other texts go through it whole.
+distinct piece goes through the tokenizer once; other texts, and those that hold the name of a
+special token, go through it whole. Ids are counted block by block as they are made.
 
 Rows: one for each input row, in ascending order of the key (null first), equal keys by
 a hash of their ids. Null and empty texts have the end id only. An empty table gives files without
@@ -21,6 +22,8 @@ rows. Other columns are not looked at.
 import os
 import re
 import zlib
+from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,54 +40,83 @@ BLOCK_IDS = 1 << 16
 STRIDE = 256
 IDS_PER_PART = 1 << 27
 KNOWN_WORDS = 600_000
-LATIN_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
+# letters first: only a quote can begin one of the other kinds that begins with it too
+LATIN_WORDS = (rf"[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)"
                rf"|[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
 
 
 class WordTokenizer:
-    """Ids of texts as 4-byte integers; ids of pieces are kept (bounded)."""
+    """Ids of texts; pieces are numbered as they are met and their ids kept (bounded)."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pattern = re.compile(LATIN_WORDS)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self):
+        self.number: dict[str, int] = defaultdict(self._next)
+        self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)  # ids of piece i: starts[i] on
+
+    def _next(self):
+        return len(self.number)
 
     def _learn(self, words: list[str]):
+        """Appends the ids of the words."""
+        parts, sizes = [self.flat], [np.diff(self.starts)]
         for lo in range(0, len(words), 2000):
             some = words[lo:lo + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
             last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(some):
-                for word, a, b in zip(some, [0, *(last + 1).tolist()], (last + 1).tolist()):
-                    self.known[word] = ids[a:b].tobytes()
+            if len(last) == len(some) and last[-1] == len(ids) - 1:
+                parts.append(ids)
+                sizes.append(np.diff(last, prepend=-1))
             else:  # pieces that don't end where expected go one by one
-                for word in some:
-                    alone = self.tokenizer.encode(word, add_special_tokens=False).ids
-                    self.known[word] = np.array(alone, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        split: list = []
-        for text in texts:
+                alone = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in some]
+                parts += [np.array(x, np.uint32) for x in alone]
+                sizes.append(np.array([len(x) for x in alone]))
+        self.flat = np.concatenate(parts)
+        self.starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def plain(self, text: str) -> bool:
+        """Whether the pattern splits the text as the tokenizer does."""
+        if not text.isascii():
             try:
                 text.encode("latin-1")
-                split.append(self.pattern.findall(text.lower()))
             except UnicodeEncodeError:
-                split.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-        new = set()
-        for words in split:
-            if isinstance(words, list):
-                new.update(words)
-        self._learn(sorted(new.difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, w)) if isinstance(w, list) else w for w in split]
+                return False
+        return not any(name in text for name in self.special)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts, how many each has)."""
+        if len(self.number) > KNOWN_WORDS:
+            self.forget()
+        number, seen, find = self.number, len(self.number), self.pattern.findall
+        whole = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
+                 for i, t in enumerate(texts) if not self.plain(t.lower())}
+        words = [np.fromiter(map(number.__getitem__, () if i in whole else find(t.lower())), np.int64)
+                 for i, t in enumerate(texts)]
+        new = list(islice(number, seen, None))
+        if new:
+            self._learn(new)
+        flat = np.concatenate(words) if words else np.empty(0, np.int64)
+        size = np.diff(self.starts)[flat]
+        ends = np.cumsum(size)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[flat] - ends + size, size)]
+        last = np.concatenate([[0], ends])[np.cumsum([len(w) for w in words])]
+        counts = np.diff(last, prepend=0)
+        if whole:
+            parts = np.split(ids, last[:-1])
+            for i, x in whole.items():
+                parts[i], counts[i] = x, len(x)
+            ids = np.concatenate(parts)
+        return ids, counts
 
 
 def _tokenizer(shared, made={}):  # noqa: B006  one for each Python worker
@@ -96,19 +128,34 @@ def _tokenizer(shared, made={}):  # noqa: B006  one for each Python worker
 
 
 def tokenize(docs: DataFrame, path: str, key: str, text: str, end_id: int) -> DataFrame:
-    """(key, ids): the ids with the end id, packed in two bytes each if all fit, else four."""
+    """(key, ids, counted, times): the ids with the end id, packed in two bytes each if all fit,
+    else four; the first row of a block of texts counts the ids of the block."""
     with open(path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast((path, file.read()))  # the vocabulary file
 
     def run(batches):
         encode = _tokenizer(shared)
         for block in text_blocks(batches, "text"):
-            ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)) for x in encode(strings(block.column("text")))]
-            packed = [(b"\2" + x.astype("<u2").tobytes()) if x.max() < 1 << 16 else b"\4" + x.tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([block.column("key"), pa.array(packed, pa.binary())], ["key", "ids"])
+            flat, sizes = encode(strings(block.column("text")))
+            ends = np.cumsum(sizes)
+            flat = np.insert(flat, ends, np.uint32(end_id))
+            ends += np.arange(1, len(ends) + 1)
+            counts = np.bincount(flat)
+            ids = np.flatnonzero(counts)
+            if len(counts) <= 1 << 16:
+                raw, head, width = flat.astype("<u2").tobytes(), b"\2", 2
+            else:
+                raw, head, width = flat.astype("<u4").tobytes(), b"\4", 4
+            cuts = (width * ends).tolist()
+            packed = [head + raw[lo:hi] for lo, hi in zip([0, *cuts], cuts)]
+            rest = [None] * (len(packed) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [block.column("key"), pa.array(packed, pa.binary()), pa.array([ids, *rest], pa.list_(pa.int64())),
+                 pa.array([counts[ids], *rest], pa.list_(pa.int64()))], ["key", "ids", "counted", "times"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, ids binary")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
+        run, f"key {kind}, ids binary, counted array<long>, times array<long>")
 
 
 def unpack(ids: bytes) -> np.ndarray:
@@ -193,19 +240,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
     spark = docs.sparkSession
     tokens = materialize(tokenize(docs, tokenizer, key, text, end_id))
 
-    def count(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                there = np.bincount(unpack(ids))
-                if len(there) > len(total):
-                    total = np.concatenate([total, np.zeros(len(there) - len(total), np.int64)])
-                total[:len(there)] += there
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
-
-    counts = {r.id: r.n for r in tokens.select("ids").mapInArrow(count, "id long, n long")
-              .groupBy("id").agg(F.sum("n").alias("n")).collect()}  # at most one row for each id
+    counted = tokens.where("counted is not null").select(F.inline(F.arrays_zip("counted", "times")))
+    counts = {r.counted: r.n for r in counted.groupBy("counted").agg(F.sum("times").alias("n")).collect()}  # <= ids
     lengths = code_lengths(counts)
     spark.createDataFrame(sorted(lengths.items()), "id long, bits int").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast(lengths)
@@ -216,7 +252,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         keys, ids, held = [], [], 0
 
         def block(keys, ids, before):
-            flat = np.concatenate(ids)
+            flat = np.concatenate(ids).astype(np.int64)
             stream, marks = code.encode(flat)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(flat)], pa.int64()),
@@ -227,7 +263,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         for batch in batches:
             for name, packed in zip(batch.column("key").to_pylist(), batch.column("ids").to_pylist()):
                 keys.append(name)
-                ids.append(unpack(packed).astype(np.int64))
+                ids.append(unpack(packed))
                 held += len(ids[-1])
                 if held >= BLOCK_IDS:
                     yield block(keys, ids, before)

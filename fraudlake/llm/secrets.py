@@ -3,10 +3,11 @@
 Strong parts are reported always: ``assign`` (a secret word, a sign, a value of six or
 more characters), ``access`` (access identifiers) and ``hex`` (24 or more hex digits).
 Weak parts are reported only where a complementary part lies within ``SCOPE`` code
-points: ``opaque`` (16 or more mixed characters; needs an identifier), ``ident``
-(user or client names; needs a strong secret) and ``endpoint`` (URLs and addresses;
-needs an identifier and a secret). A weak part that overlaps a strong one is not
-reported.
+points: ``ident`` (user or client names; needs a strong secret), ``opaque`` (16 or more
+mixed characters; needs an identifier) and ``endpoint`` (URLs and addresses; needs an
+identifier and a secret). Only a part that is reported itself justifies another; a weak
+part that overlaps a strong one is not reported. Reported parts with at most ``SCOPE``
+code points between them are one credential and carry its number.
 
 Only DataFrame functions. A text is split at each pattern's matches, so match i starts
 after i gaps and i - 1 matches; the gaps become rows of their own and a running sum
@@ -41,22 +42,21 @@ KINDS = [
 ]
 NAMES = [k for k, _, _ in KINDS]
 BASE = 3
-IDENTIFIER, SECRET, STRONG_SECRET = (1, 4), (0, 2, 3), (0, 2)
+FOUND = "__spans"  # a name of its own: documents may have a column "spans"
 
 
 def _parts(text: str, number: int, pattern: str):
-    """For each match its gap to the one before and its length, as rows to come."""
+    """For each match its gap to the one before and its length, as rows to come. The three
+    arrays are made once and zipped: nothing inside the lambdas looks at the text again."""
     body, lit = F.col(text), F.lit(pattern)
     found = F.regexp_extract_all(body, lit, F.lit(0))
-    value = F.regexp_extract_all(body, lit, F.lit(2)) if number == 0 else found
+    value = F.regexp_extract_all(body, lit, F.lit(2)) if number == 0 else F.lit(None)
     gaps = F.split(body, pattern, -1)
-    rows = F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.struct(
-        F.lit(number).alias("kind"), i.alias("nth"), F.length(F.get(gaps, i)).alias("gap"),
-        F.get(found, i).alias("m"), F.get(value, i).alias("v")))
-    rows = F.transform(rows, lambda r: F.struct(
-        r["kind"].alias("kind"), r["nth"].alias("nth"), r["gap"].alias("gap"), F.length(r["m"]).alias("size"),
-        r["m"].alias("m"), r["v"].alias("v")))
-    return F.when(body.rlike(pattern), rows)
+    # there is one more gap than there are matches: the last row has no match
+    rows = F.transform(F.arrays_zip(gaps, found, *([value] if number == 0 else [])), lambda z, i: F.struct(
+        F.lit(number).alias("kind"), i.alias("nth"), F.length(z["0"]).alias("gap"), F.length(z["1"]).alias("size"),
+        z["1"].alias("m"), (z["2"] if number == 0 else z["1"]).alias("v")))
+    return F.when(body.rlike(pattern), F.filter(rows, lambda r: r["m"].isNotNull()))
 
 
 def holds_part(text: str = "text"):
@@ -66,8 +66,8 @@ def holds_part(text: str = "text"):
 
 
 def find(docs: DataFrame, text: str = "text", keep=("doc_id",), scope: int = SCOPE) -> DataFrame:
-    """The columns in ``keep`` and ``spans``: array of (start, kind, end), in order of start,
-    then kind (numbers as in ``NAMES``)."""
+    """The columns in ``keep`` and ``FOUND``: array of (start, kind, end, credential), in order of
+    start, then kind (numbers as in ``NAMES``). Credentials are numbered from 1 in each text."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"),
                        F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept"))
     marker = "struct(-1 as kind, 0 as nth, 0 as gap, 0 as size, '' as m, '' as v)"
@@ -83,31 +83,43 @@ def find(docs: DataFrame, text: str = "text", keep=("doc_id",), scope: int = SCO
     parts = (parts.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(by_kind))
              .where("good").withColumn("start", F.col("end") - F.col("size")))
 
-    before = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    forth = Window.partitionBy("row").orderBy("start", "kind")
+    before = forth.rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
 
-    def near(name, kinds):
-        one = F.col("kind").isin(*kinds)
+    def near(name, one):
         return [F.max(F.when(one, F.col("end"))).over(before).alias(f"{name}_before"),
                 F.min(F.when(one, F.col("start"))).over(after).alias(f"{name}_after")]
 
-    roles = {"identifier": IDENTIFIER, "secret": SECRET, "strong": STRONG_SECRET, "base": range(BASE)}
-    parts = parts.select("*", *[c for name, kinds in roles.items() for c in near(name, kinds)])
-
     def by(name):
         return F.coalesce((F.col("start") - F.col(f"{name}_before") <= scope)
                           | (F.col(f"{name}_after") - F.col("end") <= scope), F.lit(False))
 
+    def kind(*names):
+        return F.col("kind").isin(*[NAMES.index(n) for n in names])
+
+    # only what is reported itself may justify another part: identifiers, then secrets, then endpoints
+    parts = parts.select("*", *near("base", F.col("kind") < BASE), *near("strong", kind("assign", "hex")))
     apart = ~F.coalesce((F.col("base_before") > F.col("start")) | (F.col("base_after") < F.col("end")), F.lit(False))
-    reported = (F.when(F.col("kind") < BASE, F.col("kind") >= 0)
-                .when(F.col("kind") == 3, apart & by("identifier"))
-                .when(F.col("kind") == 4, apart & by("strong"))
-                .otherwise(apart & by("identifier") & by("secret")))
-    span = F.when(reported, F.struct(F.col("start").cast("int").alias("start"), "kind",
-                                     F.col("end").cast("int").alias("end")))
+    parts = parts.withColumn("reported", (F.col("kind") >= 0) & ((F.col("kind") < BASE) | (kind("ident") & apart & by(
+        "strong")))).withColumn("apart", apart)
+    parts = parts.select("*", *near("identifier", F.col("reported") & kind("access", "ident")))
+    parts = parts.withColumn("reported", F.col("reported") | (kind("opaque") & F.col("apart") & by("identifier")))
+    parts = parts.select("*", *near("secret", F.col("reported") & kind("assign", "hex", "opaque")))
+    parts = parts.withColumn("reported", F.col("reported") | (
+        kind("endpoint") & F.col("apart") & by("identifier") & by("secret")))
+
+    # reported parts with at most ``scope`` between them are one credential
+    opens = F.col("reported") & F.coalesce(F.col("start") - F.max(F.when(F.col("reported"), F.col("end"))).over(
+        before) > scope, F.lit(True))
+    parts = parts.withColumn("opens", opens.cast("int")).withColumn("credential", F.sum("opens").over(
+        forth.rowsBetween(Window.unboundedPreceding, 0)))
+    span = F.when(F.col("reported"), F.struct(
+        F.col("start").cast("int").alias("start"), "kind", F.col("end").cast("int").alias("end"),
+        F.col("credential").cast("int").alias("credential")))
     out = parts.groupBy("row").agg(F.first("kept", ignorenulls=True).alias("kept"),
-                                   F.sort_array(F.collect_list(span)).alias("spans"))
-    return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], "spans")
+                                   F.sort_array(F.collect_list(span)).alias(FOUND))
+    return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], FOUND)
 
 
 def spelled(spans):
@@ -117,14 +129,22 @@ def spelled(spans):
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def linked(spans):
+    """For each span the number of its credential, comma-joined in the same order."""
+    return F.concat_ws(",", F.transform(spans, lambda s: s["credential"].cast("string")))
+
+
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_assign, n_access, n_hex, base_sha256, spans as text)."""
+    """(key, n_assign, n_access, n_hex, base_sha256, spans as text, credentials as text)."""
     found = find(docs, text, (key,))
-    base = F.filter("spans", lambda s: s["kind"] < BASE)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{NAMES[k]}")
-              for k in range(BASE)]
-    return found.select(key, *counts, F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"),
-                        spelled(F.col("spans")).alias("spans"))
+
+    def count(k):
+        return F.size(F.filter(FOUND, lambda s: s["kind"] == k)).cast("long").alias(f"n_{NAMES[k]}")
+
+    base = F.filter(FOUND, lambda s: s["kind"] < BASE)
+    return found.select(key, *[count(k) for k in range(BASE)],
+                        F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"),
+                        spelled(F.col(FOUND)).alias("spans"), linked(F.col(FOUND)).alias("credentials"))
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -140,7 +160,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         return F.struct(F.concat(acc["out"], gap, F.when(fresh, F.lit(mark)).otherwise(F.lit(""))).alias("out"),
                         F.greatest(acc["pos"], s["end"]).alias("pos"))
 
-    whole = F.aggregate("spans", start, step, lambda acc: F.concat(
+    whole = F.aggregate(FOUND, start, step, lambda acc: F.concat(
         acc["out"], F.substring(F.col(text), acc["pos"] + 1, F.length(text))))
-    clean = found.withColumn(text, F.when(F.size("spans") > 0, whole).otherwise(F.col(text)))
+    clean = found.withColumn(text, F.when(F.size(FOUND) > 0, whole).otherwise(F.col(text)))
     return quiet.unionByName(clean.select(*docs.columns))
