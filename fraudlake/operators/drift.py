@@ -147,9 +147,14 @@ def _cells(sides: DataFrame, cell: dict[str, Column]) -> DataFrame:
 
 def psi_categorical(reference: DataFrame, current: DataFrame, columns: list[str],
                     floor: float = PSI_FLOOR) -> DataFrame:
-    """Population stability index over categories; an empty cell counts as ``floor``."""
+    """Population stability index over categories; an empty cell counts as ``floor``. One row per
+    column asked for; the index is null if neither side has a value."""
+    asked = _each(reference, columns)
+    if not columns:
+        return asked.withColumn("psi", F.lit(None).cast("double"))
     sides = _sides(reference, current, columns, "string")
-    return _psi_of(_cells(sides, {c: F.col(c) for c in columns}), floor)
+    found = _psi_of(_cells(sides, {c: F.col(c) for c in columns}), floor)
+    return asked.join(F.broadcast(found), "feature", "left")  # one row per feature
 
 
 def psi_numeric(reference: DataFrame, current: DataFrame, columns: list[str],
