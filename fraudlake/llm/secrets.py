@@ -55,7 +55,7 @@ def _parts(text: str, number: int, pattern: str):
     # there is one more gap than there are matches: the last row has no match
     rows = F.transform(F.arrays_zip(gaps, found, *([value] if number == 0 else [])), lambda z, i: F.struct(
         F.lit(number).alias("kind"), i.alias("nth"), F.length(z["0"]).alias("gap"), F.length(z["1"]).alias("size"),
-        z["1"].alias("m"), (z["2"] if number == 0 else z["1"]).alias("v")))
+        F.octet_length(z["0"]).alias("gap_bytes"), F.octet_length(z["1"]).alias("bytes"), z["1"].alias("m"), (z["2"] if number == 0 else z["1"]).alias("v")))
     return F.when(body.rlike(pattern), F.filter(rows, lambda r: r["m"].isNotNull()))
 
 
@@ -66,11 +66,12 @@ def holds_part(text: str = "text"):
 
 
 def find(docs: DataFrame, text: str = "text", keep=("doc_id",), scope: int = SCOPE) -> DataFrame:
-    """The columns in ``keep`` and ``FOUND``: array of (start, kind, end, credential), in order of
-    start, then kind (numbers as in ``NAMES``). Credentials are numbered from 1 in each text."""
+    """The columns in ``keep`` and ``FOUND``: array of (start, kind, end, credential, byte_start,
+    byte_end, covered), in order of start, then kind (numbers as in ``NAMES``). Credentials are
+    numbered from 1 in each text; ``covered`` is how far earlier spans reach, in bytes."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"),
                        F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept"))
-    marker = "struct(-1 as kind, 0 as nth, 0 as gap, 0 as size, '' as m, '' as v)"
+    marker = "struct(-1 as kind, 0 as nth, 0 as gap, 0 as size, 0 as gap_bytes, 0 as bytes, '' as m, '' as v)"
     empty = f"filter(array({marker}), x -> false)"
     for n, (name, pattern, _) in enumerate(KINDS):
         rows = rows.withColumn(name, F.coalesce(_parts("body", n, pattern), F.expr(empty)))
@@ -78,9 +79,10 @@ def find(docs: DataFrame, text: str = "text", keep=("doc_id",), scope: int = SCO
              .select("row", F.when(F.col("part.kind") == -1, F.col("kept")).alias("kept"), "part.*"))
     test = reduce(lambda w, x: w.when(F.col("kind") == x[0], F.expr(x[1][2])), enumerate(KINDS), F.when(
         F.col("kind") == -1, F.lit(True)))
-    parts = parts.select("row", "kept", "kind", "nth", "gap", "size", test.alias("good")).repartition("row")
+    parts = parts.select("row", "kept", "kind", "nth", "gap", "size", "gap_bytes", "bytes", test.alias("good")).repartition("row")
     by_kind = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     parts = (parts.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(by_kind))
+             .withColumn("byte_end", F.sum(F.col("gap_bytes") + F.col("bytes")).over(by_kind))
              .where("good").withColumn("start", F.col("end") - F.col("size")))
 
     forth = Window.partitionBy("row").orderBy("start", "kind")
@@ -112,11 +114,13 @@ def find(docs: DataFrame, text: str = "text", keep=("doc_id",), scope: int = SCO
     # reported parts with at most ``scope`` between them are one credential
     opens = F.col("reported") & F.coalesce(F.col("start") - F.max(F.when(F.col("reported"), F.col("end"))).over(
         before) > scope, F.lit(True))
-    parts = parts.withColumn("opens", opens.cast("int")).withColumn("credential", F.sum("opens").over(
+    covered = F.coalesce(F.max(F.when(F.col("reported"), F.col("byte_end"))).over(before), F.lit(0))
+    parts = parts.withColumn("covered", covered).withColumn("opens", opens.cast("int")).withColumn("credential", F.sum("opens").over(
         forth.rowsBetween(Window.unboundedPreceding, 0)))
     span = F.when(F.col("reported"), F.struct(
         F.col("start").cast("int").alias("start"), "kind", F.col("end").cast("int").alias("end"),
-        F.col("credential").cast("int").alias("credential")))
+        F.col("credential").cast("int").alias("credential"), (F.col("byte_end") - F.col("bytes")).cast("int").alias(
+            "byte_start"), F.col("byte_end").cast("int").alias("byte_end"), F.col("covered").cast("int").alias("covered")))
     out = parts.groupBy("row").agg(F.first("kept", ignorenulls=True).alias("kept"),
                                    F.sort_array(F.collect_list(span)).alias(FOUND))
     return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], FOUND)
@@ -152,15 +156,15 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
     Texts without any part aren't moved."""
     quiet = docs.where(~holds_part(text))
     found = find(docs.where(holds_part(text)), text, tuple(docs.columns))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("pos"))
+    raw = F.col(text).cast("binary")  # cutting bytes doesn't count characters from the start
 
-    def step(acc, s):
-        gap = F.substring(F.col(text), acc["pos"] + 1, F.greatest(F.lit(0), s["start"] - acc["pos"]))
-        fresh = (s["start"] > acc["pos"]) | (acc["pos"] == 0)
-        return F.struct(F.concat(acc["out"], gap, F.when(fresh, F.lit(mark)).otherwise(F.lit(""))).alias("out"),
-                        F.greatest(acc["pos"], s["end"]).alias("pos"))
+    def piece(s):
+        gap = F.substring(raw, s["covered"] + 1, F.greatest(F.lit(0), s["byte_start"] - s["covered"])).cast("string")
+        fresh = (s["byte_start"] > s["covered"]) | (s["covered"] == 0)
+        return F.concat(gap, F.when(fresh, F.lit(mark)).otherwise(F.lit("")))
 
-    whole = F.aggregate(FOUND, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(F.col(text), acc["pos"] + 1, F.length(text))))
+    reach = F.array_max(F.transform(FOUND, lambda s: s["byte_end"]))
+    whole = F.concat(F.concat_ws("", F.transform(FOUND, piece)),
+                     F.substring(raw, reach + 1, F.octet_length(text)).cast("string"))
     clean = found.withColumn(text, F.when(F.size(FOUND) > 0, whole).otherwise(F.col(text)))
     return quiet.unionByName(clean.select(*docs.columns))
