@@ -4,7 +4,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, secrets, sharding, surrogates,
+    alignment, bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, secrets, sharding, surrogates,
 )
 
 QUERIES, CHECKS = {}, {}
@@ -71,6 +71,12 @@ def op9_surrogates(spark, sf):
     return surrogates.pseudonymize(docs, "surrogates of the documents table")
 
 
+@query
+def op12_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), tokenizers.path("byte_bpe_50k.json"),
+                           tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+
+
 @query
 def pipeline(spark, sf):
     import corpus_pipeline  # the stages stand at the repository's top and use this package
