@@ -4,7 +4,8 @@ import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
 from . import (
-    alignment, bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, secrets, sharding, surrogates,
+    alignment, bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, prefix_trie,
+    secrets, sharding, surrogates,
 )
 
 QUERIES, CHECKS = {}, {}
@@ -77,6 +78,14 @@ def op12_alignment(spark, sf):
                            tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
 
 
+@query
+def op13_trie(spark, sf):
+    return prefix_trie.trie(table(spark, sf, "conversations"))
+
+
+CHECKS["op13_trie"] = prefix_trie.CHECK
+
+
 @query
 def pipeline(spark, sf):
     import corpus_pipeline  # the stages stand at the repository's top and use this package
