@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from . import (
     alignment, bpe, decontaminate, graph_search, huffman, jaccard_join, language, licenses, prefix_trie,
-    secrets, sharding, surrogates,
+    secrets, sharding, surrogates, toxicity,
 )
 
 QUERIES, CHECKS = {}, {}
@@ -72,6 +72,11 @@ def op9_surrogates(spark, sf):
     return surrogates.pseudonymize(docs, "surrogates of the documents table")
 
 
+@query
+def op11_toxicity(spark, sf):
+    return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op12_alignment(spark, sf):
     return alignment.align(table(spark, sf, "documents"), tokenizers.path("byte_bpe_50k.json"),
