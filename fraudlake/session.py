@@ -53,4 +53,14 @@ def materialize(df: DataFrame) -> DataFrame:
     there and a lost executor costs no recomputation."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``materialize`` returned. Only for frames that no later
+    action reads, not even through a frame derived from them."""
+    for df in frames:
+        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
