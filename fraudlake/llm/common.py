@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 BLOCK_BYTES = 4 << 20
 
@@ -63,8 +63,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Alternating large-star and small-star steps: each node hangs its larger
     neighbours below its smallest one. The edges of a round are written to the
-    shared folder, so a round never recomputes another. A hub's neighbours are
-    aggregated (min) and joined, never gathered.
+    shared folder, so a round never recomputes another, and deleted once the next
+    round's are. A hub's neighbours are aggregated (min) and joined, never gathered.
     """
     # both ends point at the smaller node
     now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -87,6 +87,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
                                       ).alias("e")).select("e.*")
         done = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
             "up > 1 or (up > 0 and down > 0)").isEmpty()
+        discard(now, large)
         now = small
         if done:
             break

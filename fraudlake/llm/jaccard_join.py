@@ -10,13 +10,18 @@ hash, ``one_off`` of them compared with one deletion allowed, the others exactly
 exact + 2 * one_off > H: two linked sets then agree in some segment exactly, or up to
 one shingle in a one-off segment. How many are one-off follows from a cost model: index
 rows a set needs, plus rows of other sets expected to meet it by chance. ``SPARE`` exact
-segments are added. A set's empty segments are indexed only if they are as many as the
-spare ones (or more), which loses nothing: otherwise a pair agrees in a segment with content.
-
-**Candidates.** Equal sets are one class, known by 128 bits and the size. For each signature
-its smallest class and the count are aggregated; members hang below the smallest one, and
-connected components of these edges are the candidate groups: linked sets share a
-signature, so they share a group. Nothing emits all pairs of a signature.
+segments are added, and a pair then agrees in as many more. A set's empty segments are indexed
+only if they are so many that a pair could agree in nothing else.
+
+**Candidates.** Equal sets are one class, known by 128 bits and the size; only a class' smallest
+document is indexed. Two linked sets agree in at least ``least`` segments, not just in one, so a
+set may leave out its ``least`` - 1 (less its empty segments) most frequent signatures of a
+scheme: the rarest one that both have is always left. That is what keeps a common passage, or
+chance, from tying unrelated texts together. One exchange by signature counts them and drops
+those that one class alone has, which are nearly all; what is left is ranked by class and
+scheme; the classes that still share a signature hang below the smallest of them, and connected
+components of these edges are the candidate groups: linked sets share a signature, so they
+share a group. Nothing emits all pairs of a signature.
 
 **Verification.** The texts of a group meet in one task, or, if the group is larger than
 ``GROUP_CHARS``, in one task for each two of its blocks. There an inverted index over each
@@ -37,17 +42,19 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import components, sorted_groups, text_blocks
 
 GROUP_CHARS = 12_000_000
 BAND = 1.25
-SPARE = 2
+SPARE = 12
 MEETING = 20_000  # sets that a segment could meet by chance, in index rows; the same at every size
 CHANCE = 0.1  # assumed share of a segment's 3-word shingles that an unrelated set holds too; longer ones are rarer
+SCHEME_BITS = 6
+_SCHEME = np.uint64((1 << SCHEME_BITS) - 1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -57,7 +64,7 @@ class Scheme(NamedTuple):
     high: int
     one_off: int
     exact: int
-    spare: int
+    least: int  # segments in which two linked sets agree
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -112,8 +119,10 @@ def schemes(percent: int, longest: int = 1 << 31, words: int = 3) -> list[Scheme
                 chance = exact * held ** n + one_off * (n + 1) * held ** max(0.0, n - 1)
                 best = min(best or (math.inf,), (rows + MEETING * chance, one_off, exact))
             # exact segments alone need no spare ones if there are none
-            spare = SPARE if best[2] else 0
-            out.append(Scheme(number, low, high, best[1], best[2] + spare, spare))
+            one_off, exact = best[1], best[2] + (SPARE if best[2] else 0)
+            # a difference spoils an exact segment; it takes two to spoil a one-off one
+            spoilt = differ if differ <= exact else exact + (differ - exact) // 2
+            out.append(Scheme(number, low, high, one_off, exact, one_off + exact - spoilt))
         number, low = number + 1, nxt
     return out
 
@@ -125,9 +134,10 @@ def _sums(values: np.ndarray, segment: np.ndarray, n: int) -> np.ndarray:
     return low + (high << np.uint64(32))
 
 
-def signatures(members: np.ndarray, plans: list[Scheme]) -> np.ndarray:
-    """Hashes of a set's segments under every scheme of its size."""
-    out, size = [], len(members)
+def signatures(members: np.ndarray, plans: list[Scheme]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of a set's segments under every scheme of its size, with the scheme's number in the
+    lowest ``SCHEME_BITS`` bits; for each of them how many of its scheme may be left out)."""
+    out, spared, size = [], [], len(members)
     for plan in plans:
         if not plan.low <= size <= plan.high:
             continue
@@ -138,14 +148,22 @@ def signatures(members: np.ndarray, plans: list[Scheme]) -> np.ndarray:
         held = np.bincount(segment, minlength=n)
         sums = _sums(values, segment, n)
         whole = mix(sums + tag)
-        empty = held == 0
         # one-off segments are indexed even when empty: their neighbours have one shingle
-        skip = empty & (np.arange(n) >= plan.one_off) & (empty[plan.one_off:].sum() <= plan.spare - 1)
-        out.append(whole[~skip])
+        empty = (held == 0) & (np.arange(n) >= plan.one_off)
+        # the partner may have left out its empty segments, so a set that can't leaves out nothing
+        spare = plan.least - 1 - int(empty.sum())
+        if spare >= 0:
+            whole = whole[~empty]
+        found = [whole]
         if plan.one_off:
             mine = segment < plan.one_off
-            out.append(mix(sums[segment[mine]] - values[mine] + tag[segment[mine]]))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+            found.append(mix(sums[segment[mine]] - values[mine] + tag[segment[mine]]))
+        found = np.unique(np.concatenate(found) & ~_SCHEME | np.uint64(plan.number) & _SCHEME)
+        out.append(found)
+        spared.append(np.full(len(found), max(spare, 0), np.int32))
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    return np.concatenate(out), np.concatenate(spared)
 
 
 class Forest:
@@ -208,25 +226,48 @@ def spanning_links(sets: list[np.ndarray], percent: int
     return links
 
 
-def _sets(docs, words, plans):
-    """(doc, n, hi, lo, signatures) of each row."""
+def _sets(docs, words):
+    """(doc, n, hi, lo) of each row."""
     def run(batches):
         shingler = Shingler(words)
         for block in text_blocks(batches):
-            n, high, low, found = [], [], [], []
+            n, high, low = [], [], []
             for text in block.column("text").to_pylist():
                 members = shingler(text)
                 n.append(len(members))
                 high.append(int(np.bitwise_xor.reduce(mix(members + _A))) if len(members) else 0)
                 low.append(int(mix(members + _B).sum(dtype=np.uint64)) if len(members) else 0)
-                found.append(signatures(members, plans).view(np.int64))
-            ends = np.cumsum([0, *map(len, found)])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc"), pa.array(n, pa.int64()), pa.array(np.array(high, np.uint64).view(np.int64)),
-                 pa.array(np.array(low, np.uint64).view(np.int64)), column], ["doc", "n", "hi", "lo", "signatures"])
+                 pa.array(np.array(low, np.uint64).view(np.int64))], ["doc", "n", "hi", "lo"])
+
+    return docs.mapInArrow(run, "doc long, n long, hi long, lo long")
+
+
+def _index(rows, words, plans):
+    """(signature, class, spared): one row for each signature of each class."""
+    def run(batches):
+        shingler = Shingler(words)
+        for block in text_blocks(batches):
+            found = [signatures(shingler(text), plans) for text in block.column("text").to_pylist()]
+            owner = np.repeat(block.column("doc").to_numpy(), [len(x) for x, _ in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([x for x, _ in found]).view(np.int64)), pa.array(owner),
+                 pa.array(np.concatenate([x for _, x in found]))], ["signature", "class", "spared"])
+
+    return rows.mapInArrow(run, "signature long, class long, spared int")
+
 
-    return docs.mapInArrow(run, "doc long, n long, hi long, lo long, signatures array<long>")
+def _hung(index):
+    """(a, b): class a shares a signature, one that neither leaves out, with the smaller class b."""
+    times = F.count("*").over(Window.partitionBy("signature"))
+    shared = index.withColumn("times", times).where("times > 1")
+    scheme = F.col("signature").bitwiseAND((1 << SCHEME_BITS) - 1)
+    rank = F.row_number().over(Window.partitionBy("class", scheme).orderBy(F.desc("times"), "signature"))
+    left = materialize(shared.withColumn("rank", rank).where("rank > spared").select("signature", "class"))
+    heads = left.groupBy("signature").agg(F.min("class").alias("head"))
+    return left.join(heads, "signature").where("class != head").select(
+        F.col("class").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def _verify(group_rows, words, percent):
@@ -256,22 +297,19 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     """(key, n_shingles, component_id)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     plans = schemes(percent, words=words)
-    sets = materialize(_sets(rows, words, plans))
+    sets = materialize(_sets(rows, words))
 
     # equal sets are one class, which goes by its smallest key
-    classes = (sets.where("n > 0 and doc is not null").groupBy("hi", "lo", "n")
-               .agg(F.min("doc").alias("class"), F.first("signatures").alias("signatures")))
-    index = classes.select(F.explode("signatures").alias("signature"), "class")
-    heads = index.groupBy("signature").agg(F.min("class").alias("head"), F.max("class").alias("last"))
-    hung = (index.join(heads.where("head < last").select("signature", "head").hint("merge"), "signature")
-            .where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
-    groups = components(hung).select(F.col("node").alias("class"), F.col("component").alias("grp"))
+    classes = sets.where("n > 0 and doc is not null").groupBy("hi", "lo", "n").agg(F.min("doc").alias("class"))
+    chosen = rows.join(classes.select(F.col("class").alias("doc")).distinct().hint("merge"), "doc", "left_semi")
+    groups = components(_hung(_index(chosen, words, plans))).select(
+        F.col("node").alias("class"), F.col("component").alias("grp"))
 
     chars = rows.where("doc is not null").select(F.col("doc").alias("class"), "text",
                                                  F.length("text").cast("long").alias("chars"))
-    members = materialize(chars.join(groups.hint("merge"), "class"))
-    blocks = members.groupBy("grp").agg((F.sum("chars") / group_chars).cast("int").alias("cuts"))
-    members = members.join(blocks, "grp").withColumn(
+    written = materialize(chars.join(groups.hint("merge"), "class"))
+    blocks = written.groupBy("grp").agg((F.sum("chars") / group_chars).cast("int").alias("cuts"))
+    members = written.join(blocks, "grp").withColumn(
         "block", F.pmod(F.xxhash64("class"), F.col("cuts") + 1).cast("int"))
     # a block meets itself and every other one: pairs (x, y) with x <= y
     each = F.transform(F.sequence(F.lit(0), F.col("cuts")), lambda o: F.struct(
@@ -280,6 +318,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
              .select("grp", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "class", "text")
              .repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y", "class"))
     linked = components(_verify(tasks, words, percent))
+    discard(written)
     found = classes.select("hi", "lo", "n", "class").join(
         linked.select(F.col("node").alias("class"), "component"), "class", "left").select(
         "hi", "lo", "n", F.coalesce("component", "class").alias("component"))

@@ -238,17 +238,23 @@ def test_jaccard_join(spark):
     assert jaccard_join.join(df.limit(0)).count() == 0
 
 
-def test_signatures_meet_for_all_linked_sets():
-    """Any two sets within the threshold share a signature, also when segments are empty."""
-    r, plans = np.random.default_rng(8), jaccard_join.schemes(90, 1 << 12)
+@pytest.mark.parametrize("percent,words", [(90, 3), (80, 5), (50, 3)])
+def test_signatures_meet_for_all_linked_sets(percent, words):
+    """Any two sets within the threshold share more signatures of a scheme than either leaves
+    out, also when segments are empty."""
+    r, plans = np.random.default_rng(8), jaccard_join.schemes(percent, 1 << 12, words)
     for size in [*range(9, 40), 77, 200, 900]:
-        for _ in range(8):
+        for _ in range(6):
             a = r.integers(0, 1 << 62, size, dtype=np.uint64)
-            differ = size * 10 // 100
-            b = np.concatenate([a[int(r.integers(0, differ + 1)):], r.integers(0, 1 << 62, 50, dtype=np.uint64)])
-            while 100 * len(c := np.intersect1d(a, b)) < 90 * (len(a) + len(b) - len(c)):
+            differ = size * (100 - percent) // 100
+            b = np.concatenate([a[int(r.integers(0, differ + 1)):], r.integers(0, 1 << 62, size, dtype=np.uint64)])
+            while 100 * len(c := np.intersect1d(a, b)) < percent * (len(a) + len(b) - len(c)):
                 b = b[:-1]
-            assert np.intersect1d(jaccard_join.signatures(a, plans), jaccard_join.signatures(b, plans)).size
+            (x, left_x), (y, left_y) = jaccard_join.signatures(a, plans), jaccard_join.signatures(b, plans)
+            both, at_x, at_y = np.intersect1d(x, y, return_indices=True)
+            scheme = both & np.uint64(63)
+            assert any((scheme == k).sum() > max(left_x[at_x][scheme == k].max(), left_y[at_y][scheme == k].max())
+                       for k in np.unique(scheme))
 
 
 def test_components(spark):
