@@ -9,6 +9,7 @@ from ..operators import drift, evaluation, features, joins, models, profile, sce
 from ..session import shared_dir
 from ..sources import adapter as src
 from ..streaming import dedup, replay, runner, windows
+from . import scoring
 from .registry import check_sql, query, rounded
 
 txn, ident, scored = src.transactions, src.identity, src.scored
@@ -564,6 +565,42 @@ def _(spark, sf):
     return runner.drain(replay.cache_flags_stream(stream, "ProductCD", C.TIME, C.KEY, "ts"))
 
 
+def _late_files(spark, sf, parts=4):
+    """The events in several files, one a trigger, by age, but every fourth row one file late."""
+    events = src.table(spark, sf, "events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    share = F.try_divide(F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(lo).cast("timestamp")),
+                         F.unix_micros(F.lit(hi).cast("timestamp")) - F.unix_micros(F.lit(lo).cast("timestamp")))
+    part = F.coalesce(F.least(F.lit(parts - 1), F.floor(share * parts)), F.lit(0))
+    part = F.least(F.lit(parts - 1), part + (F.pmod(F.xxhash64("event_id"), F.lit(4)) == 0).cast("int"))
+    path = shared_dir(spark)
+    for i in range(parts):
+        events.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_LATE = 16  # days: two of the four files' spans
+_EVERY = 60
+
+
+@query("ttl_cache_flags_ordered_stream", check_sql(
+    "SELECT id AS TransactionID, t AS TransactionDT, ProductCD, cached FROM walk WHERE (t // "
+    f"{_EVERY} + 1) * {_EVERY} <= (SELECT max(TransactionDT) - {_LATE * 86_400} FROM txn)", "txn", more=_REPLAY))
+def _(spark, sf):
+    """Files with rows out of order across triggers give the batch form's flags, row by row, for
+    all that the watermark has passed."""
+    runner.with_state_store(spark)
+    rows = src.transactions_of(_late_files(spark, sf), None, C.KEY, C.TIME, "ProductCD", time=True)
+    return runner.drain(replay.cache_flags_ordered(
+        rows.withColumn("ts", F.col("ts").cast("timestamp")), "ProductCD", C.TIME, C.KEY, "ts",
+        lateness=f"{_LATE} days", every=_EVERY))
+
+
+def _txn_ts(columns):
+    from ..sources.adapter import txn_sql
+    return f"tt AS ({txn_sql('check', columns=columns, time=True)})"
+
+
 _SCORE_OF_PAYLOAD = "cast((card1 * 31 + coalesce(addr1, 7) * 17) % 1000 as double) / 1000"
 
 
@@ -583,12 +620,88 @@ def _(spark, sf):
     return runner.drain(seen).select("card1", "addr1")
 
 
-_DAY = "strftime(date_trunc('day', ts), '%Y-%m-%d') AS day"
+_SAME_SQL = (f"SELECT TransactionID, {_SCORE_OF_PAYLOAD} AS score, count(*) OVER (PARTITION BY card1, addr1,"
+             " date_trunc('hour', ts)) AS n_same, ts FROM tt")
 
 
-def _txn_ts(columns):
-    from ..sources.adapter import txn_sql
-    return f"tt AS ({txn_sql('check', columns=columns, time=True)})"
+def _dedup_windowed(frame):
+    rows = frame.withColumn("request", X.payload_key(["card1", "addr1"]))
+    out = dedup.score_distinct_windowed(rows, "request", ["card1", "addr1"], F.expr(_SCORE_OF_PAYLOAD), "ts")
+    return out.select(C.KEY, "score", "n_same")
+
+
+@query("dedup_score_windowed", check_sql(
+    f"SELECT TransactionID, score, n_same FROM ({_SAME_SQL})", more=_txn_ts([C.KEY, "card1", "addr1"]), round6="score"))
+def _(spark, sf):
+    """Every request with its payload's score, scored once an hour."""
+    return rounded(_dedup_windowed(txn(spark, sf, C.KEY, "card1", "addr1", time=True)))
+
+
+@query("dedup_score_stream", check_sql(
+    f"SELECT TransactionID, score, n_same FROM ({_SAME_SQL}) WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <="
+    " (SELECT max(ts) - INTERVAL 1 HOUR FROM tt)", more=_txn_ts([C.KEY, "card1", "addr1"]), round6="score"))
+def _(spark, sf):
+    """The same plan on a stream: the requests of every closed hour."""
+    return rounded(runner.drain(_dedup_windowed(_stream_txn(spark, sf, C.KEY, "card1", "addr1"))))
+
+
+def _payloads(frame):
+    """Requests as JSON: null fields are absent, more fields than are declared, one in seven empty."""
+    fields = [c for c in frame.columns if c not in (C.KEY, C.TARGET, "ts")]
+    body = F.to_json(F.struct(*fields, F.lit("x").alias("note")))
+    return frame.select(C.KEY, F.when(F.col(C.KEY) % 7 == 0, "{}").otherwise(body).alias("payload"))
+
+
+def _scorer(spark, sf):
+    fitted, train, _ = _matrices(spark, sf)
+    return models.train("logistic-regression", train, fitted.feature_columns, maxIter=20), fitted
+
+
+def _request_properties(scored, same):
+    """One row: every request once, probabilities from 0 to 1, flags that follow them, one answer
+    for all empty payloads, none that differs from ``same``."""
+    p = F.col("fraud_probability")
+    differs = same.select(F.col(C.KEY).alias("k"), F.col("fraud_probability").alias("q"))
+    return scored.join(differs, F.col(C.KEY) == F.col("k"), "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(C.KEY).alias("n_keys"), F.sum(C.KEY).cast("long").alias("key_sum"),
+        F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("out_of_range"),
+        F.count_if((F.abs(p - C.SCORE_THRESHOLD) > 1e-4) & (F.col("is_fraud") != (p >= C.SCORE_THRESHOLD))).alias(
+            "wrong_flags"),
+        F.count_distinct(F.when(F.col(C.KEY) % 7 == 0, p)).alias("answers_to_empty"),
+        F.count_if(~p.eqNullSafe(F.col("q"))).alias("differing"))
+
+
+_REQUEST_SQL = check_sql(
+    "SELECT count(*) AS n, count(DISTINCT TransactionID) AS n_keys, CAST(sum(TransactionID) AS BIGINT) AS key_sum,"
+    " CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_flags,"
+    " CAST(count(DISTINCT CASE WHEN TransactionID % 7 = 0 THEN 1 END) AS BIGINT) AS answers_to_empty,"
+    " CAST(0 AS BIGINT) AS differing FROM txn", "txn")
+_REQUEST_COLUMNS = [c for c in src.TXN_COLUMNS if c not in (C.TARGET, "V4")]
+
+
+@query("score_requests", _REQUEST_SQL)
+def _(spark, sf):
+    """JSON requests scored as a batch, against the same requests with their fields in another order."""
+    model, fitted = _scorer(spark, sf)
+    rows = txn(spark, sf, *_REQUEST_COLUMNS)
+    turned = rows.select(C.KEY, *[c for c in reversed(rows.columns) if c != C.KEY])
+    return _request_properties(*[scoring.score_requests(model, fitted, _payloads(r), C.KEY, "payload")
+                                 for r in (rows, turned)])
+
+
+@query("score_requests_stream", _REQUEST_SQL)
+def _(spark, sf):
+    """The same requests as a stream of several triggers, against the batch's answers."""
+    model, fitted = _scorer(spark, sf)
+    rows = txn(spark, sf, *_REQUEST_COLUMNS)
+    path = shared_dir(spark)
+    _payloads(rows).repartition(4, F.xxhash64(C.KEY)).write.parquet(path)
+    stream = spark.readStream.schema(_payloads(rows).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return _request_properties(scoring.score_request_stream(model, fitted, stream, C.KEY, "payload"),
+                               scoring.score_requests(model, fitted, _payloads(rows), C.KEY, "payload"))
+
+
+_DAY = "strftime(date_trunc('day', ts), '%Y-%m-%d') AS day"
 
 
 def _day(df):

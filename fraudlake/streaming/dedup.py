@@ -20,3 +20,24 @@ def score_distinct(df: DataFrame, key: str, columns: list[str], score: Column) -
     ``lookup``, so a payload that makes up much of the traffic is no bottleneck."""
     table = distinct_payloads(df, key, columns).select(key, score.alias("score"))
     return lookup(df, table, [key])
+
+
+def score_distinct_windowed(df: DataFrame, key: str, columns: list[str], score: Column, time: str,
+                            window: str = "1 hour", lateness: str = "1 hour", salts: int = 16) -> DataFrame:
+    """Every request with the score of its payload, each payload scored once a window (adds
+    ``score`` and ``n_same``, how many requests of the window have the payload). One plan for batch
+    and stream: requests meet their window's distinct payloads in an equi-join on payload and
+    window, so a stream's state, on either side, ends with the window.
+
+    A hot payload is pre-aggregated before it is scored, and its requests are dealt over ``salts``
+    keys of the join, for each of which the one scored row is repeated. On a stream rows leave
+    once the watermark has passed the end of their window."""
+    rows = (df.withWatermark(time, lateness) if df.isStreaming else df).withColumn("_window", F.window(time, window))
+    distinct = rows.groupBy("_window", key).agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("n_same"))
+    table = distinct.select(key, "_window", score.alias("score"), "n_same",
+                            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(salts)).cast("int"))
+    if df.isStreaming:  # a stream carries one event time: the window's; the instant goes on as plain data
+        dealt = dealt.withColumn("_at", F.timestamp_micros(F.unix_micros(time))).drop(time)
+    out = dealt.join(table, [key, "_window", "_salt"])
+    return out.select(*[F.col("_at").alias(c) if df.isStreaming and c == time else c for c in df.columns], "score", "n_same")

@@ -5,53 +5,180 @@ hit does not renew the entry, so the flag depends on the last miss, not on the
 previous request. Times are whole seconds.
 """
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
 
+CHUNK_SECONDS = 1 << 20
+
+
+def _successors(t: np.ndarray, ttl: int) -> np.ndarray:
+    """Place of the first second later than t + ttl: the next miss, if t is one."""
+    return np.searchsorted(t, t + ttl, side="right")
+
 
 def cache_flags(df: DataFrame, key: str, time: str, row_id: str,
-                ttl: int = C.CACHE_TTL_SECONDS) -> DataFrame:
+                ttl: int = C.CACHE_TTL_SECONDS, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Batch form: adds ``cached``.
 
     Only the first request of a key in a second can be a miss, so a key is first
-    reduced to its distinct seconds (pre-aggregated before the shuffle): however
-    many rows a hot key has, what is left is bounded by the time span. Two misses
-    lie more than ``ttl`` apart, so a slot of ``ttl`` seconds holds at most one: the
-    first second later than the last miss plus ``ttl``. The walk over a key's slots
-    finds them; the misses go back to the rows by the unique row id.
+    reduced to its distinct seconds (pre-aggregated before the shuffle). After a miss the
+    next one is the first second more than ``ttl`` later, wherever in the timeline that
+    is. So the timeline is cut into chunks of ``chunk_seconds`` (at least two lives), and
+    each is walked on its own for every second at which the misses may enter it: those of its
+    first ``ttl`` seconds and the one after them. What is left per key is one line of
+    (chunk, entry, last miss), walked once; then each chunk is walked from its one true
+    entry. A task holds one chunk of a key, however many rows a hot key has and however
+    long its timeline is, or one key's line, of at most ``ttl`` + 1 rows a chunk.
+
+    The misses go back to the rows by the unique row id. A row without a time is no miss.
     """
-    seconds = df.groupBy(key, time).agg(F.min(row_id).alias("_first"))
-    slots = (
-        seconds.groupBy(key, F.floor(F.col(time) / ttl).alias("_slot"))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), "_first"))).alias("ts"))
-    )
-    timeline = slots.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_slot", "ts"))).alias("_line"))
-    nothing = F.expr("cast(array() as array<struct<t:bigint,id:bigint>>)")
+    width = max(2 * ttl, chunk_seconds)
+    kinds = dict(df.dtypes)
+    seconds = (
+        df.where(F.col(time).isNotNull()).groupBy(key, time).agg(F.min(row_id).alias("_id"))
+        .select(key, F.col(time).cast("long").alias("_t"), "_id",
+                F.floor(F.col(time) / width).cast("long").alias("_chunk")))
+
+    def exits(rows: pa.Table) -> pa.Table:
+        t = np.sort(rows["_t"].to_numpy())
+        after, n = _successors(t, ttl), len(t)
+        last = np.where(after < n, after, np.arange(n))
+        while (further := last[last]).tolist() != last.tolist():  # doubles its stride
+            last = further
+        begin = int(rows["_chunk"][0].as_py()) * width
+        entry = np.arange(min(n, np.searchsorted(t, begin + ttl) + 1))
+        return pa.table([rows[key].slice(0, 1).take([0] * len(entry)), rows["_chunk"].slice(0, 1).take([0] * len(entry)),
+                         pa.array(t[entry]), pa.array(t[last[entry]])], names=[key, "_chunk", "_entry", "_last"])
+
+    def line(rows: pa.Table) -> pa.Table:
+        chunk, entry, last = (rows[c].to_numpy() for c in ("_chunk", "_entry", "_last"))
+        order = np.lexsort((entry, chunk))
+        chunk, entry, last = chunk[order], entry[order], last[order]
+        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+        found, dead_until = [], None
+        for lo, hi in zip(cuts, cuts[1:]):
+            i = lo if dead_until is None else lo + int(np.searchsorted(entry[lo:hi], dead_until, side="right"))
+            if i < hi:
+                found.append(i)
+                dead_until = last[i] + ttl
+        return pa.table([rows[key].slice(0, 1).take([0] * len(found)), pa.array(chunk[found]), pa.array(entry[found])],
+                        names=[key, "_chunk", "_entry"])
+
+    def walk(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        found = []
+        if entries.num_rows:
+            rows = rows.sort_by("_t")
+            t = rows["_t"].to_numpy()
+            after, i = _successors(t, ttl), int(np.searchsorted(t, entries["_entry"][0].as_py()))
+            while i < len(t):
+                found.append(i)
+                i = int(after[i])
+        return pa.table([rows["_id"].take(pa.array(found, pa.int64()))], names=["_miss_id"])
+
+    lines = seconds.groupBy(key, "_chunk").applyInArrow(
+        exits, f"{key} {kinds[key]}, _chunk long, _entry long, _last long")
+    entries = lines.groupBy(key).applyInArrow(line, f"{key} {kinds[key]}, _chunk long, _entry long")
+    misses = seconds.groupBy(key, "_chunk").cogroup(entries.groupBy(key, "_chunk")).applyInArrow(
+        walk, f"_miss_id {kinds[row_id]}")
+    return (df.join(misses, df[row_id] == misses["_miss_id"], "left")
+            .withColumn("cached", F.col("_miss_id").isNull()).drop("_miss_id"))
+
 
-    def step(found, slot):
-        last = F.try_element_at(found, F.lit(-1))["t"]
-        later = F.filter(slot["ts"], lambda x: last.isNull() | (x["t"] > last + ttl))
-        head = F.slice(later, 1, 1)
-        return F.concat(found, F.transform(head, lambda x: F.struct(
-            x["t"].cast("long").alias("t"), x["_first"].cast("long").alias("id"))))
+class _Replay(StatefulProcessor):
+    """Holds a key's rows until no earlier one can come, then walks them in order."""
 
-    misses = (
-        timeline.select(F.explode(F.aggregate("_line", nothing, step)).alias("m"))
-        .select(F.col("m.id").alias(row_id), F.lit(True).alias("_miss")))
-    return (df.join(misses, row_id, "left")
-            .withColumn("cached", F.col("_miss").isNull()).drop("_miss"))
+    def __init__(self, names: tuple[str, str, str], ttl: int, every_ms: int):
+        self.names, self.ttl, self.every = names, ttl, every_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "t long, id long, ms long")
+        self.miss = handle.getValueState("miss", "t long, ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        _, time, row_id = self.names
+        first = None
+        for part in rows:
+            if len(part):
+                t, ids, ms = (part.iloc[:, i].tolist() for i in (1, 2, 4))  # names may come changed
+                self.waiting.appendList(list(zip(t, ids, ms)))
+                first = min(ms) if first is None else min(first, min(ms))
+        if first is not None:
+            self._wake(first)
+        return iter(())
+
+    def _wake(self, ms):
+        """A timer for the end of the row's span; one for a key's earliest row is enough."""
+        due = (ms // self.every + 1) * self.every
+        if due not in set(self.handle.listTimers()):
+            self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs()
+        due = now // self.every * self.every  # all spans that end by now
+        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        ready, rest = [x for x in held if x[2] < due], [x for x in held if x[2] >= due]
+        last = self.miss.get() if self.miss.exists() else None
+        cached = []
+        for t, _, ms in ready:
+            hit = last is not None and t - last[0] <= self.ttl
+            cached.append(hit)
+            last = last if hit else (t, ms)
+        if rest:
+            if ready:
+                self.waiting.put([tuple(x) for x in rest])
+            self._wake(min(x[2] for x in rest))
+        else:
+            self.waiting.clear()
+        if ready:
+            self.miss.update((int(last[0]), int(last[1])))
+        if last is not None and not rest:  # the entry is forgotten when its life has passed
+            end = last[1] + (self.ttl + 1) * 1000
+            if now > end:
+                self.miss.clear()
+            else:
+                self._wake(int(end))
+        if ready:
+            yield pd.DataFrame({self.names[0]: key[0], self.names[1]: [x[0] for x in ready],
+                                self.names[2]: [x[1] for x in ready], "cached": cached})
+
+    def close(self):
+        pass
+
+
+def cache_flags_ordered(df: DataFrame, key: str, time: str, row_id: str, event_time: str,
+                        ttl: int = C.CACHE_TTL_SECONDS, lateness: str = "1 hour", every: int = 60) -> DataFrame:
+    """Streaming form that gives what the batch form gives, whatever the order in which rows come
+    within ``lateness``: a row waits in state until the watermark has passed the end of its
+    ``every`` seconds, then leaves in order of (time, id) with the others of its key. Rows
+    behind the watermark are dropped by the engine and counted in the query's progress
+    (``runner.late_rows``). ``time`` (whole seconds) and ``event_time`` tick alike.
+
+    The state of a key is its last miss, until that entry's life has passed, and the rows of one
+    lateness; these must fit in a worker. Needs a state store with column families, which
+    ``runner`` sets where none is set."""
+    kinds = dict(df.dtypes)
+    rows = (df.select(key, F.col(time).cast("long").alias(time), F.col(row_id).cast("long").alias(row_id), event_time)
+            .withColumn("_ms", F.unix_millis(event_time)).withWatermark(event_time, lateness))
+    return rows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=_Replay((key, time, row_id), ttl, every * 1000),
+        outputStructType=f"{key} {kinds[key]}, {time} long, {row_id} long, cached boolean",
+        outputMode="append", timeMode="eventTime")
 
 
 def cache_flags_stream(df: DataFrame, key: str, time: str, row_id: str, event_time: str,
                        ttl: int = C.CACHE_TTL_SECONDS, lateness: str = "1 hour") -> DataFrame:
     """Streaming form over a frame with the timestamp ``event_time``. The state of a
     key is the second of its last miss; it is dropped once the watermark passes the
-    end of that entry's life. Rows of one trigger are ordered by (time, id)."""
+    end of that entry's life. Rows of one trigger are ordered by (time, id), and rows leave with the
+    trigger they came in; ``cache_flags_ordered`` waits for those that come late."""
     def flags(k, chunks, state: GroupState):
         if state.hasTimedOut:
             state.remove()

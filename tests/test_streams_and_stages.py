@@ -10,7 +10,7 @@ from fraudlake.plans import stages
 from fraudlake.plans.scoring import score_requests
 from fraudlake.session import shared_dir
 from fraudlake.sources import adapter
-from fraudlake.streaming import replay, runner, windows
+from fraudlake.streaming import dedup, replay, runner, windows
 
 
 def replayed(requests, ttl):
@@ -23,16 +23,69 @@ def replayed(requests, ttl):
     return out
 
 
-@pytest.mark.parametrize("ttl", [1, 60, 3600])
-def test_cache_flags_equal_a_plain_replay(spark, ttl):
+@pytest.mark.parametrize("ttl,chunk", [(1, 1), (60, 1), (60, 500), (3600, 1), (3600, 1 << 20)])
+def test_cache_flags_equal_a_plain_replay(spark, ttl, chunk):
     r = random.Random(ttl)
     # a third of the requests have one key, and many share a second
     data = [(r.randrange(0, 20_000), i, "hot" if i % 3 == 0 else f"k{r.randrange(40)}") for i in range(3000)]
     df = spark.createDataFrame(data, "t long, id long, k string").repartition(6)
-    got = {x["id"]: x["cached"] for x in replay.cache_flags(df, "k", "t", "id", ttl).collect()}
+    got = {x["id"]: x["cached"] for x in replay.cache_flags(df, "k", "t", "id", ttl, chunk).collect()}
     assert got == replayed(data, ttl)
 
 
+def test_cache_flags_of_odd_rows(spark):
+    """Null keys are a key, a row without a time is no miss, negative times, an empty table."""
+    rows = [(-5, 1, None), (-5, 0, None), (3600, 2, None), (3595, 3, None), (None, 4, "a"), (0, 5, "a")]
+    df = spark.createDataFrame(rows, "t long, id long, k string")
+    got = {x["id"]: x["cached"] for x in replay.cache_flags(df, "k", "t", "id", 3600, 1).collect()}
+    assert got == {0: False, 1: True, 2: False, 3: True, 4: True, 5: False}
+    assert replay.cache_flags(df.limit(0), "k", "t", "id").count() == 0
+
+
+def test_ordered_stream_waits_for_rows_of_earlier_times(spark):
+    """Rows out of order over five triggers, one key with a third of them; then one far too late."""
+    r, base = random.Random(9), 1_700_000_000
+    data = [(base + r.randrange(20_000), i, "hot" if i % 3 == 0 else f"k{r.randrange(9)}") for i in range(600)]
+    order = sorted(data, key=lambda x: x[0] + r.randrange(-3000, 3000))
+    late = (base - 50_000, 9999, "hot")
+    path = shared_dir(spark)
+    for rows in [*[order[i:i + 120] for i in range(0, 600, 120)], [late]]:
+        spark.createDataFrame(rows, "t long, id long, k string").withColumn("ts", F.timestamp_seconds("t")).coalesce(
+            1).write.mode("append").parquet(path)
+    runner.with_state_store(spark)
+    stream = spark.readStream.schema("t long, id long, k string, ts timestamp").option(
+        "maxFilesPerTrigger", 1).parquet(path)
+    out, ended = runner.run(replay.cache_flags_ordered(stream, "k", "t", "id", "ts", 3600, "2 hours", 60))
+    closed = max(t for t, _, _ in data) - 7200
+    want = {i: hit for i, hit in replayed(data, 3600).items()}
+    got = {x.id: x.cached for x in out.collect()}
+    assert got == {i: want[i] for t, i, _ in data if (t // 60 + 1) * 60 <= closed} and len(got) > 300
+    assert runner.late_rows(ended) == 1 and len(ended.recentProgress) > 3
+
+
+def test_windowed_scores_of_a_hot_payload(spark):
+    """Batch and stream, a payload in most requests; repeated rows are requests of their own."""
+    r = random.Random(4)
+    rows = [(i, None if i % 9 == 0 else (1 if i % 3 else r.randrange(5)), r.randrange(6 * 3600)) for i in range(800)]
+    df = spark.createDataFrame([*rows, rows[0]], "id long, x int, t long").withColumn("ts", F.timestamp_seconds("t"))
+    df = df.withColumn("request", F.coalesce(F.col("x").cast("string"), F.lit("none")))
+    path = shared_dir(spark)
+    df.repartition(3).write.parquet(path)
+    score = F.coalesce(F.col("x"), F.lit(0)).cast("double") / 10
+
+    def scored(frame):
+        out = dedup.score_distinct_windowed(frame, "request", ["x"], score, "ts", salts=4)
+        return runner.drain(out) if frame.isStreaming else out
+
+    same = {}
+    for _, x, t in [*rows, rows[0]]:
+        same[x, t // 3600] = same.get((x, t // 3600), 0) + 1
+    end = max(t for _, _, t in rows) - 3600
+    for frame, last in ((df, 10 ** 9), (spark.readStream.schema(df.schema).parquet(path), end)):
+        want = sorted((i, (x or 0) / 10, same[x, t // 3600]) for i, x, t in [*rows, rows[0]] if (t // 3600 + 1) * 3600 <= last)
+        assert sorted((g.id, g.score, g.n_same) for g in scored(frame).collect()) == want
+
+
 def stream_dir(spark, sf, parts=4):
     """The events in several files, oldest first."""
     path = shared_dir(spark)
