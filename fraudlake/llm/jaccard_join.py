@@ -48,9 +48,9 @@ from pyspark.sql import functions as F
 from ..session import discard, materialize
 from .common import components, sorted_groups, text_blocks
 
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 4_000_000
 BAND = 1.25
-SPARE = 12
+SPARE, SPARE_SHARE = 12, 8  # spare segments: so many, or one for so many where those are more
 MEETING = 20_000  # sets that a segment could meet by chance, in index rows; the same at every size
 CHANCE = 0.1  # assumed share of a segment's 3-word shingles that an unrelated set holds too; longer ones are rarer
 SCHEME_BITS = 6
@@ -119,7 +119,7 @@ def schemes(percent: int, longest: int = 1 << 31, words: int = 3) -> list[Scheme
                 chance = exact * held ** n + one_off * (n + 1) * held ** max(0.0, n - 1)
                 best = min(best or (math.inf,), (rows + MEETING * chance, one_off, exact))
             # exact segments alone need no spare ones if there are none
-            one_off, exact = best[1], best[2] + (SPARE if best[2] else 0)
+            one_off, exact = best[1], best[2] + (max(SPARE, best[2] // SPARE_SHARE) if best[2] else 0)
             # a difference spoils an exact segment; it takes two to spoil a one-off one
             spoilt = differ if differ <= exact else exact + (differ - exact) // 2
             out.append(Scheme(number, low, high, one_off, exact, one_off + exact - spoilt))
