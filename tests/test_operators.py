@@ -219,3 +219,11 @@ def test_quantiles_between_shared_values(spark, accuracy):
     probs = [0.0, 0.25, 0.43, 0.45, 0.5, 0.57, 0.9, 1.0]
     got = exact_quantiles(df, {"x": F.col("x")}, probs, distinct_limit=20, accuracy=accuracy)["x"]
     assert np.allclose(got, np.quantile(values, probs))
+
+
+def test_a_categorical_column_without_values_keeps_its_row(spark):
+    df = spark.createDataFrame([(1.0, "a", None), (2.0, "b", None)], "x double, c string, nothing string")
+    got = {r["feature"]: r for r in drift.column_tests(df, df, ["x"], ["c", "nothing"]).collect()}
+    assert set(got) == {"x", "c", "nothing"} and got["nothing"]["value"] is None and not got["nothing"]["drifted"]
+    assert got["c"]["value"] == 0.0
+    assert {r["feature"] for r in drift.column_tests(df, df, ["x"], []).collect()} == {"x"}
