@@ -55,10 +55,11 @@ def shift_columns(cur_mean, ref_mean, ref_std, ref_n) -> dict[str, Column]:
     }
 
 
-def mean_shift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per common numeric feature."""
+def mean_shift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
+               known: DataFrame | None = None) -> DataFrame:
+    """One row per common numeric feature. ``known``: the reference's moments, if they are at hand."""
     columns = columns or common_numeric(reference, current)
-    r = moments(reference, columns).select(
+    r = (moments(reference, columns) if known is None else known).select(
         "feature", F.col("n").alias("rn"), F.col("mean").alias("rm"), F.col("std").alias("rs"))
     both = moments(current, columns).join(F.broadcast(r), "feature")  # one row per feature
     return both.select("feature", *[e.alias(n) for n, e in shift_columns(
@@ -79,10 +80,14 @@ def missing_column_report(reference: DataFrame, current: DataFrame) -> DataFrame
 
 
 def scenario_table(reference: DataFrame, scenarios: dict[str, DataFrame]) -> DataFrame:
-    """One summary row per scenario, with the sizes compared."""
+    """One summary row per scenario, with the sizes compared. The reference's moments are taken once,
+    a row for each feature, and serve all scenarios."""
     ref_rows = reference.count()
+    names = sorted({c for cur in scenarios.values() for c in common_numeric(reference, cur)})
+    found = moments(reference, names).select("feature", "n", "mean", "std")
+    known = reference.sparkSession.createDataFrame(found.collect(), found.schema)
     rows = [
-        drift_summary(mean_shift(reference, cur)).select(
+        drift_summary(mean_shift(reference, cur, known=known)).select(
             F.lit(name).alias("scenario"), F.lit("mean_shift").alias("method"), "*",
             F.lit(ref_rows).cast("long").alias("reference_rows"),
             F.lit(cur.count()).cast("long").alias("current_rows"))
