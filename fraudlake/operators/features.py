@@ -120,10 +120,10 @@ def select_features(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return df.select(*keep, *pick_features(df), *target)
 
 
-def fit_medians(df: DataFrame, columns: list[str], **limits) -> dict[str, float]:
+def fit_medians(df: DataFrame, columns: list[str], **options) -> dict[str, float]:
     """Exact median per column, nulls skipped, 0.0 for a column without values;
-    ``limits`` as in ``exact_quantiles``."""
-    got = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5], **limits)
+    ``options`` as in ``exact_quantiles``."""
+    got = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5], **options)
     return {c: 0.0 if v[0] is None else v[0] for c, v in got.items()}
 
 
@@ -224,25 +224,26 @@ class FeatureEstimator:
     def fit(self, train: DataFrame) -> FeatureModel:
         medians, small, counts = {}, {}, None
         # encoded columns are never materialised to learn their medians: a frequency
-        # weighted percentile over the small learned tables gives the same number
+        # weighted quantile over the learned tables gives the same number
         if set(PAIR) <= set(train.columns):
             counts = materialize(pair_counts(train))
             per_count = counts.groupBy(PAIR_COUNT).agg(F.count(F.lit(1)).alias("n"))
-            n_pairs, median = per_count.agg(
-                F.sum("n"), F.percentile(PAIR_COUNT, 0.5, F.col("n") * F.col(PAIR_COUNT))).first()
-            small[PAIR_COUNT] = (n_pairs or 0) <= C.BROADCAST_ROWS
-            medians[PAIR_COUNT] = float(median or 0.0)
+            small[PAIR_COUNT] = (per_count.agg(F.sum("n")).first()[0] or 0) <= C.BROADCAST_ROWS
+            medians.update(fit_medians(
+                per_count, [PAIR_COUNT], weight=F.col("n") * F.col(PAIR_COUNT)))
         categorical = [c for c in C.CATEGORICAL_FEATURES if c in train.columns]
         codes = fit_codes(train, categorical)
         unknown = {}
+        # a rank over weighted codes: counted in buckets, so no group holds a vocabulary
+        medians.update({c: v[0] or 0.0 for c, v in exact_quantiles(
+            codes, {c: F.when(F.col("feature") == c, F.col("code")) for c in categorical},
+            [0.5], weight=F.col("n_rows")).items()})
         for r in codes.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
             F.max(F.when(F.col("category") == C.UNKNOWN, F.col("code"))).alias("unknown"),
-            F.percentile("code", 0.5, F.col("n_rows")).alias("median"),
         ).collect():  # one row per categorical column
             small[r["feature"]] = r["n"] <= C.BROADCAST_ROWS
             unknown[r["feature"]] = r["unknown"]
-            medians[r["feature"]] = float(r["median"] or 0.0)
         raw = train.withColumns(engineered(train))
         medians.update(fit_medians(raw, [c for c in pick_features(raw) if c not in categorical
                                          and isinstance(raw.schema[c].dataType, T.NumericType)]))

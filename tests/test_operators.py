@@ -211,13 +211,13 @@ def test_curves_against_a_plain_loop(spark, raw):
     assert math.isclose(roc.tpr.max(), 1.0) and math.isclose(roc.fpr.max(), 1.0)
 
 
-@pytest.mark.parametrize("accuracy", [5, 20, 1000])
-def test_quantiles_between_shared_values(spark, accuracy):
+@pytest.mark.parametrize("buckets", [2, 20, 1000])
+def test_quantiles_between_shared_values(spark, buckets):
     # half the values are the smallest one, nearly half the largest, the ranks lie around and between
     values = [0.0] * 1000 + [float(i * i % 997) + i / 1000 for i in range(1, 301)] + [1e6] * 990
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
     probs = [0.0, 0.25, 0.43, 0.45, 0.5, 0.57, 0.9, 1.0]
-    got = exact_quantiles(df, {"x": F.col("x")}, probs, distinct_limit=20, accuracy=accuracy)["x"]
+    got = exact_quantiles(df, {"x": F.col("x")}, probs, buckets=buckets)["x"]
     assert np.allclose(got, np.quantile(values, probs))
 
 
