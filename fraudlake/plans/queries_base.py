@@ -1,5 +1,8 @@
 """Sources, projections, joins, aggregations, statistics, splits."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -11,6 +14,7 @@ from ..session import shared_dir
 from ..sources import adapter as src
 from ..sources import readers, schema, sinks
 from .registry import check_sql, query, rounded
+from .reports import MEAN_COLUMNS, Reports
 
 txn, ident, scored = src.transactions, src.identity, src.scored
 ALL = ", ".join(src.TXN_COLUMNS)
@@ -467,6 +471,59 @@ def _(spark, sf):
     return rounded(parts[0].unionByName(parts[1]))
 
 
+_REPORT_COLUMNS = [C.TIME, C.AMOUNT, C.TARGET, "ProductCD", "card4", "card6", *MEAN_COLUMNS]
+
+
+def _long_sql(report, body, key, *measures):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{report}' AS report, CAST({key} AS VARCHAR) AS group_key, '{m}' AS measure,"
+        f" CAST({m} AS DOUBLE) AS value FROM ({body}) x" for m in measures)
+
+
+def _long(report, df, key, *measures):
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
+    return df.select(F.lit(report).alias("report"), (F.lit("all") if key is None else F.col(key)).cast("string")
+                     .alias("group_key"), F.inline(cells))
+
+
+_REPORTS_SQL = [
+    ("D1", "SELECT ProductCD, count(*) AS txn_count, sum(isFraud) AS fraud_count, round(avg(isFraud) * 100, 2)"
+     " AS fraud_rate_pct FROM txn GROUP BY 1", "ProductCD", "txn_count", "fraud_count", "fraud_rate_pct"),
+    ("D2", "SELECT isFraud, count(*) AS txn_count, round(avg(TransactionAmt), 2) AS avg_amount,"
+     " round(min(TransactionAmt), 2) AS min_amount, round(max(TransactionAmt), 2) AS max_amount FROM txn GROUP BY 1",
+     "isFraud", "txn_count", "avg_amount", "min_amount", "max_amount"),
+    ("D3", "SELECT card6, count(*) AS txn_count, round(avg(isFraud) * 100, 2) AS fraud_rate_pct FROM txn GROUP BY 1",
+     "card6", "txn_count", "fraud_rate_pct"),
+    ("D4", "SELECT isFraud, " + ", ".join(f"round(avg({c}), 4) AS {c}" for c in MEAN_COLUMNS)
+     + " FROM txn GROUP BY 1", "isFraud", *MEAN_COLUMNS),
+    ("D5", "SELECT count(*) AS total_rows, sum(isFraud) AS total_fraud, round(avg(isFraud) * 100, 2) AS"
+     " fraud_rate_pct, round(avg(TransactionAmt), 2) AS avg_amount FROM txn", "'all'", "total_rows", "total_fraud",
+     "fraud_rate_pct", "avg_amount"),
+    ("D10", f"SELECT {_BIN} AS bin, count(isFraud) AS n, sum(isFraud) AS fraud_count, avg(isFraud) AS fraud_rate"
+     " FROM txn WHERE TransactionAmt > 0 GROUP BY 1", "bin", "n", "fraud_count", "fraud_rate"),
+    ("D11", _HOURLY, "hour", "n", "fraud_count", "fraud_rate"),
+    ("D12", f"SELECT {_HOUR} AS hour, count(*) FILTER (WHERE isFraud = 0) AS legitimate,"
+     " count(*) FILTER (WHERE isFraud = 1) AS fraud FROM txn GROUP BY 1", "hour", "legitimate", "fraud"),
+    ("D13", "SELECT ProductCD, count(isFraud) AS n, avg(isFraud) AS fraud_rate, count(isFraud) * 100 /"
+     " (SELECT count(*) FROM txn) AS pct_of_total FROM txn WHERE ProductCD IS NOT NULL GROUP BY 1",
+     "ProductCD", "n", "fraud_rate", "pct_of_total"),
+    ("D14", _topk_sql("card4", 6), "category", "n", "fraud_rate", "above_overall"),
+]
+
+
+@query("standard_reports", check_sql("\nUNION ALL\n".join(_long_sql(*r) for r in _REPORTS_SQL), "txn",
+                                     round6="value"))
+def _(spark, sf):
+    """Ten reports from one scan, as (report, group, measure, value)."""
+    r = Reports(txn(spark, sf, *_REPORT_COLUMNS))
+    frames = [r.rate_by("ProductCD"), r.amount_by_class(), r.rate_by("card6", with_positives=False),
+              r.means_by_class(), r.overall(), r.rate_by_amount_bin(), r.rate_by_hour(), r.hour_class_counts(),
+              r.product_share(), r.rate_topk("card4", 6)]
+    parts = [_long(name, df, None if key == "'all'" else key, *measures)
+             for df, (name, _, key, *measures) in zip(frames, _REPORTS_SQL)]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
 @query("high_risk_groups", check_sql(
     "SELECT P_emaildomain, count(isFraud) AS n, CAST(sum(isFraud) AS BIGINT) AS fraud_count,"
     " avg(isFraud) AS fraud_rate, avg(isFraud) * 100 AS fraud_rate_pct FROM txn"

@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from fraudlake import config as C
 from fraudlake.functions import expressions as X
 from fraudlake.operators import aggregates, drift, evaluation, joins, profile, scenarios, splitting, stats
 from fraudlake.operators.quantiles import exact_quantiles
+from fraudlake.plans import reports
 from fraudlake.sources import readers, schema, sinks
 from fraudlake.session import shared_dir
 
@@ -227,3 +229,30 @@ def test_a_categorical_column_without_values_keeps_its_row(spark):
     assert set(got) == {"x", "c", "nothing"} and got["nothing"]["value"] is None and not got["nothing"]["drifted"]
     assert got["c"]["value"] == 0.0
     assert {r["feature"] for r in drift.column_tests(df, df, ["x"], []).collect()} == {"x"}
+
+
+def test_reports_of_one_scan_equal_the_single_ones(spark):
+    r = random.Random(4)
+    names = [None, "a", "b", "c"]
+    rows = [(i * 977, r.choice([None, -1.0, 0.0, 5.0, 75.5, 9e4]), r.choice([None, 0, 0, 1]), r.choice(names),
+             r.choice(names), r.choice(names), r.random()) for i in range(400)]
+    df = spark.createDataFrame(rows, "TransactionDT long, TransactionAmt double, isFraud int, ProductCD string,"
+                                     " card4 string, card6 string, C1 double")
+    made = reports.Reports(df)
+    pairs = [
+        (made.rate_by("ProductCD"), aggregates.rate_by(df, "ProductCD")),
+        (made.rate_by("card6", False), aggregates.rate_by(df, "card6", False)),
+        (made.amount_by_class(), aggregates.amount_by_class(df)), (made.means_by_class(), aggregates.means_by_class(df, ["C1"])),
+        (made.overall(), aggregates.overall(df)), (made.rate_by_amount_bin(), aggregates.rate_by_amount_bin(df)),
+        (made.rate_by_hour(), aggregates.rate_by_hour(df)), (made.hour_class_counts(), aggregates.hour_class_counts(df)),
+        (made.product_share(), aggregates.product_share(df)), (made.rate_topk("card4", 2), aggregates.rate_topk(df, "card4", 2))]
+    for got, want in pairs:
+        assert got.columns == want.columns
+
+        def order(f):
+            return sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in f.collect()], key=repr)
+        assert order(got) == order(want)
+    plan = reports.report_counts(df)._jdf.queryExecution().toString()
+    assert plan.count("+- Exchange") <= 1 and plan.count("Expand [") >= 1
+    assert reports.Reports(df.limit(0)).rate_by("card6").count() == 0
+    assert reports.Reports(df.limit(0)).overall().first()["total_rows"] == 0
