@@ -758,3 +758,46 @@ def _(spark, sf):
     t = txn(spark, sf, *_WINDOWED, time=True)
     out = windows.windowed_drift(t, "ts", "1 day", windows.reference_moments(t, _WINDOWED))
     return out.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
+
+
+_PANE, _PANES = "6 hours", 4  # a day's window, four times a day
+_PANE_SQL = "time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP), TIMESTAMP '2000-01-01')"
+
+
+def _ranking_sql(closed=""):
+    """Each pane in its four windows; running counts per window from the highest bucket down."""
+    return (
+        "SELECT strftime(start, '%Y-%m-%d %H') AS window_start, CAST(sum(pos) AS BIGINT) AS positives,"
+        " CAST(sum(neg) AS BIGINT) AS negatives, sum(neg * (tp - pos / 2)) / nullif(sum(pos) * sum(neg), 0)"
+        " AS auc_roc, sum(pos * tp / (tp + fp)) / nullif(sum(pos), 0) AS average_precision FROM (SELECT *,"
+        " sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM (SELECT pane - i * INTERVAL 6 HOUR AS start, bucket,"
+        " CAST(sum(isFraud) AS DOUBLE) AS pos, CAST(sum(1 - isFraud) AS DOUBLE) AS neg FROM (SELECT"
+        f" {_PANE_SQL} AS pane, floor(({src.SCORE_SQL}) * 1000) AS bucket, isFraud FROM tt) p,"
+        f" range(4) r(i){closed} GROUP BY 1, 2) WINDOW w AS (PARTITION BY start ORDER BY bucket DESC)) GROUP BY 1")
+
+
+def _score_panes(frame):
+    return windows.score_counts(frame.withColumn("score", F.expr(src.SCORE_SQL)), "ts", _PANE)
+
+
+def _ranking(counts, last_end=None):
+    out = windows.rolling_ranking(counts, _PANE, _PANES, last_end)
+    return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH")))
+
+
+@query("rolling_ranking", check_sql(_ranking_sql(), more=_txn_ts([C.KEY, C.TARGET]),
+                                    round6="auc_roc average_precision"))
+def _(spark, sf):
+    return _ranking(_score_panes(txn(spark, sf, C.KEY, C.TARGET, time=True)))
+
+
+@query("rolling_ranking_stream", check_sql(
+    _ranking_sql(" WHERE pane + (4 - i) * INTERVAL 6 HOUR <= (SELECT max(p.e) FROM (SELECT"
+                 f" {_PANE_SQL} + INTERVAL 6 HOUR AS e FROM tt) p WHERE p.e <="
+                 " (SELECT max(ts) - INTERVAL 1 HOUR FROM tt))"),
+    more=_txn_ts([C.KEY, C.TARGET]), round6="auc_roc average_precision"))
+def _(spark, sf):
+    """The panes' counts are the stream's state; windows of panes that are all closed are merged."""
+    panes = runner.drain(_score_panes(_stream_txn(spark, sf, C.KEY, C.TARGET)))
+    last = panes.agg(F.max(F.col("window_start") + F.expr(f"interval {_PANE}"))).first()[0]
+    return _ranking(panes, F.lit(last).cast("timestamp"))

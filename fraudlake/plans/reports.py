@@ -66,8 +66,10 @@ class Reports:
             F.col("_class").alias(C.TARGET), *[F.round(c, 4).alias(c[len("mean_"):]) for c in means])
 
     def overall(self) -> DataFrame:
-        return self._of().select(
-            F.col("txn_count").alias("total_rows"), F.col("fraud_count").alias("total_fraud"),
+        """One row, also for an empty table, which has no group at all."""
+        one = self.counts.sparkSession.range(0, 1, 1, 1).select(F.lit(0).alias("_one"))
+        return one.join(F.broadcast(self._of().withColumn("_one", F.lit(0))), "_one", "left").select(
+            F.coalesce("txn_count", F.lit(0)).alias("total_rows"), F.col("fraud_count").alias("total_fraud"),
             _percent().alias("fraud_rate_pct"), F.round("avg_amount", 2).alias("avg_amount"))
 
     def rate_by_amount_bin(self) -> DataFrame:

@@ -1,6 +1,6 @@
 """Monitoring per time window. The same functions run on batch and streaming frames."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -8,6 +8,7 @@ from ..operators.drift import moments, shift_columns
 from ..operators.evaluation import metric_columns, outcome_counts
 
 LATENESS = "1 hour"
+SCORE_STEPS = 1000  # buckets of a score from 0 to 1; scores of one bucket count as equal
 
 
 def windowed(df: DataFrame, time: str, width: str):
@@ -53,3 +54,41 @@ def windowed_drift(df: DataFrame, time: str, width: str, reference: dict[str, tu
 
     flags = shift_columns(F.col("mean"), of(1), of(2), of(0))
     return _flat(per.select("window", "feature", "n", *[e.alias(n) for n, e in flags.items()]))
+
+
+def score_counts(df: DataFrame, time: str, pane: str, score: str = "score", label: str = C.TARGET,
+                 steps: int = SCORE_STEPS) -> DataFrame:
+    """(window_start, bucket, pos, neg) of every pane: a histogram of the scores per class. This is
+    all that is kept of the rows: at most ``steps`` + 1 counters a pane, as state on a stream, and
+    counters of panes, streams or tables add up. Rows without label, score or time are left out;
+    scores beyond 0 and 1 count as these."""
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
+    rows, window = windowed(known, time, pane)
+    bucket = F.floor(F.least(F.greatest(F.col(score), F.lit(0.0)), F.lit(1.0)) * steps)
+    return _flat(rows.groupBy(window, bucket.alias("bucket")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+
+
+def rolling_ranking(counts: DataFrame, slide: str, panes: int, last_end=None) -> DataFrame:
+    """Area under the ROC curve (ties at half credit) and average precision of every sliding window
+    of ``panes`` panes, from the panes' merged score counts; a row is never read again. Windows
+    start one ``slide`` (the panes' width) apart, from the first that holds a pane. The area is null
+    without both classes, the precision without a positive. ``last_end`` (a column or literal): only
+    windows that end by then, for a stream whose later panes are still open."""
+    def back(i):
+        return F.col("window_start") - F.expr(f"interval {slide}") * i
+
+    starts = F.array(*[back(i) for i in range(panes)])
+    merged = (counts.select(F.explode(starts).alias("window_start"), "bucket", "pos", "neg")
+              .groupBy("window_start", "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    end = F.col("window_start") + F.expr(f"interval {slide}") * panes
+    if last_end is not None:
+        merged = merged.where(end <= last_end)
+    above = Window.partitionBy("window_start").orderBy(F.desc("bucket"))  # bounded: a histogram
+    run = merged.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
+    steps = F.sum(F.col("pos") * F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)))
+    return run.groupBy("window_start").agg(
+        F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
+        F.try_divide(area, (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc_roc"),
+        F.try_divide(steps, F.sum("pos").cast("double")).alias("average_precision"))

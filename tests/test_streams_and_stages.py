@@ -186,3 +186,31 @@ def test_tree_models_fit(ws):
         assert m.getOrDefault("featuresCol") and len(m.trees) == (params.get("maxIter") or params["numTrees"])
     with pytest.raises(ValueError):
         fit("other", ws.table("train"))
+
+
+def test_rolling_ranking_equals_a_plain_count_of_every_window(spark):
+    r = random.Random(12)
+    hours = [0, 0, 1, 2, 2, 2, 3, 7, 9, 9]  # a gap, and a third of the rows in one pane
+    rows = [(3600 * r.choice(hours) + r.randrange(3600), r.choice([0, 0, 1, None]), r.choice(
+        [r.random(), 0.5, 1.0, 0.0, -3.0, 7.0, None, float("nan")])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "s long, isFraud int, score double").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    counts = windows.score_counts(df, "ts", "1 hour", steps=10)
+    assert counts.count() <= 6 * 11
+    half = [windows.score_counts(df.where(c), "ts", "1 hour", steps=10) for c in ("s % 2 = 0", "s % 2 = 1")]
+    for source in (counts, half[0].unionByName(half[1])):  # counters of two tables add up
+        got = {x["w"]: x for x in windows.rolling_ranking(source, "1 hour", 3).withColumn(
+            "w", F.unix_timestamp("window_start") / 3600).collect()}
+        known = [(s // 3600, y, int(min(max(p, 0.0), 1.0) * 10)) for s, y, p in rows
+                 if y is not None and p is not None and p == p]
+        assert set(got) == {h - i for h, _, _ in known for i in range(3)}
+        for w, row in got.items():
+            inside = [(y, b) for h, y, b in known if w <= h < w + 3]
+            pos, neg = [b for y, b in inside if y], [b for y, b in inside if not y]
+            wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+            assert (row["positives"], row["negatives"]) == (len(pos), len(neg))
+            assert row["auc_roc"] == (pytest.approx(wins / (len(pos) * len(neg))) if pos and neg else None)
+            ap = sum(pos.count(t) / len(pos) * sum(b >= t for b in pos) / sum(b >= t for _, b in inside)
+                     for t in set(pos)) if pos else None
+            assert row["average_precision"] == (pytest.approx(ap) if pos else None)
+    assert windows.rolling_ranking(counts.limit(0), "1 hour", 3).count() == 0
