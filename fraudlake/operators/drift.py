@@ -111,12 +111,21 @@ def wasserstein(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     One row per column asked for. ``status`` is ``lost`` if only one side has values and
     ``empty`` if neither has; the distance is null then."""
     sides = _sides(reference, current, columns, "double")
-    ranged = with_ranges(sides, range_splits(sides, columns))
+    counts = value_counts(sides, columns, range_splits(sides, columns), r=F.sum("_r"), c=F.sum("_c"))
+    return distances(counts, each_column(reference, columns))
+
+
+def value_counts(df: DataFrame, columns: list[str], splits: dict, **sums: Column) -> DataFrame:
+    """(feature, range, x) with the sums: a row per value of a column, counted before anything moves."""
     values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c + BIN).alias(BIN),
                                 F.col(c).alias("x")) for c in columns])
-    counts = (
-        ranged.select(F.inline(values), "_r", "_c").where("x IS NOT NULL")
-        .groupBy("feature", BIN, "x").agg(F.sum("_r").alias("r"), F.sum("_c").alias("c")))
+    kept = [c for c in df.columns if c in ("_r", "_c")]
+    return (with_ranges(df, splits).select(F.inline(values), *kept).where("x IS NOT NULL")
+            .groupBy("feature", BIN, "x").agg(*[e.alias(n) for n, e in sums.items()]))
+
+
+def distances(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """``wasserstein`` from value counts: r and c of a (feature, range, x)."""
     run = running_totals(counts, "x", {"r": "run_r", "c": "run_c"}, ["feature"], BIN)
     gap = F.abs(F.try_divide(F.col("run_r"), F.col("run_r_total"))
                 - F.try_divide(F.col("run_c"), F.col("run_c_total")))
@@ -125,16 +134,16 @@ def wasserstein(reference: DataFrame, current: DataFrame, columns: list[str]) ->
         F.max("run_r_total").alias("r"), F.max("run_c_total").alias("c"))
     status = (F.when((F.col("r") > 0) & (F.col("c") > 0), "ok")
               .when((F.col("r") > 0) | (F.col("c") > 0), "lost").otherwise("empty"))
-    return _each(reference, columns).join(F.broadcast(found), "feature", "left").select(
+    return asked.join(F.broadcast(found), "feature", "left").select(
         "feature", F.when(status == "ok", F.col("distance")).alias("distance"), status.alias("status"))
 
 
-def _each(df: DataFrame, columns: list[str]) -> DataFrame:
+def each_column(df: DataFrame, columns: list[str]) -> DataFrame:
     """A row per column asked for, so that none is missing from a report."""
     return df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
 
 
-def _psi_of(cells: DataFrame, floor: float) -> DataFrame:
+def psi_of(cells: DataFrame, floor: float) -> DataFrame:
     """cells: (feature, cell, r, c) counts."""
     totals = cells.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     p = F.greatest(share("r", "nr"), F.lit(floor))
@@ -154,11 +163,11 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: list[str]
                     floor: float = PSI_FLOOR) -> DataFrame:
     """Population stability index over categories; an empty cell counts as ``floor``. One row per
     column asked for; the index is null if neither side has a value."""
-    asked = _each(reference, columns)
+    asked = each_column(reference, columns)
     if not columns:
         return asked.withColumn("psi", F.lit(None).cast("double"))
     sides = _sides(reference, current, columns, "string")
-    found = _psi_of(_cells(sides, {c: F.col(c) for c in columns}), floor)
+    found = psi_of(_cells(sides, {c: F.col(c) for c in columns}), floor)
     return asked.join(F.broadcast(found), "feature", "left")  # one row per feature
 
 
@@ -171,11 +180,11 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: list[str],
     inf = float("inf")
     cell = {c: right_closed_bin(F.col(c), [-inf, *sorted(set(q)), inf])
             for c, q in cuts.items() if q[0] is not None}
-    asked = _each(reference, columns)
+    asked = each_column(reference, columns)
     if not cell:
         return asked.withColumn("psi", F.lit(None).cast("double"))
     cells = _cells(_sides(reference, current, list(cell), "double"), cell)
-    return asked.join(F.broadcast(_psi_of(cells, floor)), "feature", "left")  # one row per feature
+    return asked.join(F.broadcast(psi_of(cells, floor)), "feature", "left")  # one row per feature
 
 
 def column_tests(reference: DataFrame, current: DataFrame, numeric: list[str],
@@ -184,11 +193,17 @@ def column_tests(reference: DataFrame, current: DataFrame, numeric: list[str],
     for categories. Both are distances, so drift is ABOVE the threshold. A number that
     one side has lost altogether has no distance and counts as drifted."""
     std = moments(reference, numeric).select("feature", "std")
-    num = wasserstein(reference, current, numeric).join(F.broadcast(std), "feature").select(
+    return verdicts(wasserstein(reference, current, numeric), std,
+                    psi_categorical(reference, current, categorical))
+
+
+def verdicts(distance: DataFrame, std: DataFrame, psi: DataFrame) -> DataFrame:
+    """``column_tests`` from its parts: a row per column in each."""
+    num = distance.join(F.broadcast(std), "feature").select(
         "feature", (F.col("distance") / F.greatest("std", F.lit(C.STD_FLOOR))).alias("value"),
         F.lit("wasserstein_normed").alias("test"), F.lit(WASSERSTEIN_LIMIT).alias("threshold"),
         (F.col("status") == "lost").alias("lost"))
-    cat = psi_categorical(reference, current, categorical).select(
+    cat = psi.select(
         "feature", F.col("psi").alias("value"), F.lit("psi").alias("test"),
         F.lit(PSI_LIMIT).alias("threshold"), F.lit(False).alias("lost"))
     return num.unionByName(cat).withColumns({

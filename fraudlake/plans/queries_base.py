@@ -1,5 +1,6 @@
 """Sources, projections, joins, aggregations, statistics, splits."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -80,16 +81,19 @@ def _(spark, sf):
 
 
 @query("load_analytic_table", check_sql(
-    "SELECT count(*) AS rows_loaded, CAST(5 AS BIGINT) AS n_columns, 'transactions_report' AS table_name,"
-    " round(sum(TransactionAmt), 2) AS total_amount FROM txn", "txn"))
-def _(spark, sf):
-    cols = ["TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "ProductCD"]
-    parts = splitting.temporal_split(txn(spark, sf, *cols))
-    t = sinks.load_table(list(parts), "transactions_report", shared_dir(spark))
+    f"SELECT count(*) AS rows_loaded, CAST({len(src.TXN_COLUMNS)} AS BIGINT) AS n_columns,"
+    " 'transactions_report' AS table_name, round(sum(TransactionAmt), 2) AS total_amount, "
+    + ", ".join(f"count({c}) AS n_{c}" for c in src.TXN_COLUMNS) + " FROM txn", "txn"))
+def _(spark, sf):
+    """All columns of both splits; every column is read back from the table."""
+    table = f"transactions_report_{uuid.uuid4().hex}"  # sessions share the catalog
+    parts = splitting.temporal_split(txn(spark, sf))
+    t = sinks.load_table(list(parts), table, shared_dir(spark))
     return t.agg(F.count(F.lit(1)).alias("rows_loaded"),
                  F.lit(len(t.columns)).cast("long").alias("n_columns"),
                  F.lit("transactions_report").alias("table_name"),
-                 F.round(F.sum(C.AMOUNT), 2).alias("total_amount"))
+                 F.round(F.sum(C.AMOUNT), 2).alias("total_amount"),
+                 *[F.count(c).alias("n_" + c) for c in t.columns])
 
 
 _TYPES = {"TransactionID": "BIGINT", "TransactionAmt": "DOUBLE", "isFraud": "BIGINT",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import expressions as X
 from ..operators import drift, evaluation, features, joins, models, profile, scenarios, splitting
+from ..operators.reference import ReferenceProfile
 from ..session import shared_dir
 from ..sources import adapter as src
 from ..streaming import dedup, replay, runner, windows
@@ -358,9 +359,12 @@ def _scenario_sql(name, cur):
             f" FROM ({_shift_sql('txn', cur, _DRIFT)})) s")
 
 
-@query("drift_scenarios", check_sql(
+_SCENARIOS_SQL = check_sql(
     "\nUNION ALL\n".join([_scenario_sql("a", "moved"), _scenario_sql("b", "txn"), _scenario_sql("c", "txn")]),
-    "txn", more=f"moved AS ({_drift_a_sql(_DRIFT)})"))
+    "txn", more=f"moved AS ({_drift_a_sql(_DRIFT)})")
+
+
+@query("drift_scenarios", _SCENARIOS_SQL)
 def _(spark, sf):
     t = txn(spark, sf, C.KEY, C.TARGET, *_DRIFT)
     made = {"a": scenarios.feature_drift(t, noise=0), "b": scenarios.label_drift(t),
@@ -368,6 +372,29 @@ def _(spark, sf):
     return drift.scenario_table(t.select(*_DRIFT), {k: v.select(*_DRIFT) for k, v in made.items()})
 
 
+def _stored(spark, reference, numeric, categorical=()):
+    """The profile as monitoring finds it: written before, read from its folder."""
+    path = shared_dir(spark)
+    ReferenceProfile.build(reference, numeric, categorical).save(path)
+    return ReferenceProfile.load(spark, path)
+
+
+@query("drift_profile_tests", check_sql(_TESTS_SQL, "train", "test", round6="value"))
+def _(spark, sf):
+    """The column tests from a stored profile; the reference is read once, to write it."""
+    ref, cur = ref_cur(spark, sf, *_W, *_PSI_CATS)
+    return rounded(_stored(spark, ref, _W, list(_PSI_CATS)).column_tests(cur))
+
+
+@query("drift_profile_scenarios", _SCENARIOS_SQL)
+def _(spark, sf):
+    """All scenarios against one stored profile."""
+    t = txn(spark, sf, C.KEY, C.TARGET, *_DRIFT)
+    made = {"a": scenarios.feature_drift(t, noise=0), "b": scenarios.label_drift(t),
+            "c": scenarios.lost_identity(t)}
+    return _stored(spark, t, _DRIFT).scenario_table({k: v.select(*_DRIFT) for k, v in made.items()})
+
+
 @query("drift_scores", check_sql(
     "SELECT feature, distance, status FROM (" + _wasserstein_sql("rs", "cs", ["score"]) + ")", "train", "test",
     more=f"rs AS (SELECT {src.SCORE_SQL} AS score FROM train), cs AS (SELECT {src.SCORE_SQL} AS score FROM test)",

@@ -1,6 +1,9 @@
 """Writing tables and small reports."""
 
-from pyspark.sql import DataFrame
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -22,13 +25,28 @@ def write_report_csv(df: DataFrame, path: str) -> str:
 
 def load_table(parts: list[DataFrame], table: str, path: str) -> DataFrame:
     """Replace ``table`` by the union of the parts and return it. ``path`` is a
-    folder all executors reach; the write is distributed, one file per task."""
-    spark = parts[0].sparkSession
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    whole.write.mode("overwrite").option("path", path).saveAsTable(table)
+    folder all executors reach; the write is distributed, one file per task, into a
+    folder of its own below it. Readers see the old rows until all new ones are
+    written; a load that fails changes nothing. The folder of the rows before is
+    left for queries that still read it."""
+    version = f"{path.rstrip('/')}/load-{uuid.uuid4().hex}"
+    reduce(DataFrame.unionByName, parts).write.parquet(version)
+    return publish(parts[0].sparkSession, table, version)
+
+
+def publish(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """Let ``table`` show the Parquet files at ``path``. With the columns it had, one step
+    of the catalog; with others it is dropped and made again, once the files are whole."""
+    def kinds(df):
+        return [(f.name, f.dataType) for f in df.schema]
+
+    same = spark.catalog.tableExists(table) and kinds(spark.table(table)) == kinds(spark.read.parquet(path))
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
     return spark.table(table)
 
 

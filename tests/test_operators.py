@@ -9,6 +9,7 @@ from fraudlake import config as C
 from fraudlake.functions import expressions as X
 from fraudlake.operators import aggregates, drift, evaluation, joins, profile, scenarios, splitting, stats
 from fraudlake.operators.quantiles import exact_quantiles
+from fraudlake.operators.reference import ReferenceProfile
 from fraudlake.plans import reports
 from fraudlake.sources import readers, schema, sinks
 from fraudlake.session import shared_dir
@@ -256,3 +257,53 @@ def test_reports_of_one_scan_equal_the_single_ones(spark):
     assert plan.count("+- Exchange") <= 1 and plan.count("Expand [") >= 1
     assert reports.Reports(df.limit(0)).rate_by("card6").count() == 0
     assert reports.Reports(df.limit(0)).overall().first()["total_rows"] == 0
+
+
+def test_a_stored_profile_gives_the_tests_of_the_whole_reference(spark):
+    r = random.Random(6)
+    rows = [(i, r.choice([None, 0.0, r.gauss(0, 3), 7.0]), float(r.randrange(5)), None, r.choice(["a", "b", None]),
+             None) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, void double, c string, none string")
+    path, source = shared_dir(spark), shared_dir(spark)
+    df.write.parquet(source)
+    ref, cur = spark.read.parquet(source).where("id < 600"), df.where("id >= 500").withColumn("x", F.col("x") + 1)
+    numeric, cats = ["x", "y", "void"], ["c", "none"]
+    whole = ReferenceProfile.build(ref, numeric, cats)
+    first = ReferenceProfile.build(ref.where("id < 100"), numeric, cats)
+    parts = first.merge(ReferenceProfile.build(ref.where("id >= 100"), (), like=first))
+    whole.save(path)
+    stored = ReferenceProfile.load(spark, path)
+    want = {x["feature"]: x.asDict() for x in drift.column_tests(ref, cur, numeric, cats).collect()}
+    shift = {x["feature"]: x.asDict() for x in drift.mean_shift(ref, cur, numeric).collect()}
+    for profile in (whole, parts, stored):
+        tests = profile.column_tests(cur)
+        assert not any(source in f for f in tests.inputFiles())  # the reference is not read
+        got = {x["feature"]: x.asDict() for x in tests.collect()}
+        assert set(got) == set(want) == {*numeric, *cats}
+        for c, row in want.items():
+            assert got[c]["value"] == (None if row["value"] is None else pytest.approx(row["value"]))
+            assert {k: v for k, v in got[c].items() if k != "value"} == {k: v for k, v in row.items() if k != "value"}
+        assert {x["feature"]: x.asDict() for x in profile.mean_shift(cur).collect()} == shift
+        assert profile.n_rows == 600
+    with pytest.raises(ValueError):
+        whole.merge(ReferenceProfile.build(cur, numeric, cats))
+    empty = ReferenceProfile.build(ref.limit(0), numeric, cats)
+    lost = {x["feature"]: x["drifted"] for x in empty.column_tests(cur).collect()}
+    assert set(lost) == {*numeric, *cats} and lost["x"] and lost["y"] and not lost["void"] and empty.n_rows == 0
+    assert ReferenceProfile.build(ref, ["x"]).column_tests(cur).count() == 1
+
+
+def test_a_failed_load_leaves_the_table_and_a_new_one_replaces_it(spark):
+    name, root = "load_under_test", shared_dir(spark)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.range(10).withColumn("x", F.col("id") * 1.5)
+    first = sinks.load_table([df, df], name, root)
+    assert first.count() == 20 and first.columns == ["id", "x"]
+    broken = df.withColumn("x", F.when(F.col("id") > 5, F.raise_error(F.lit("lost")).cast("double")).otherwise(0.0))
+    with pytest.raises(Exception, match="lost"):
+        sinks.load_table([df, broken], name, root)
+    assert spark.table(name).agg(F.count("x"), F.sum("x")).first() == (20, 135.0)
+    assert sinks.load_table([df.where("id < 3")], name, root).count() == 3 == spark.table(name).count()
+    wider = sinks.load_table([df.withColumn("y", F.lit("new"))], name, root)
+    assert wider.columns == ["id", "x", "y"] and spark.table(name).count() == 10
+    spark.sql(f"DROP TABLE {name}")
