@@ -80,6 +80,9 @@ RF_PARAMS = {"numTrees": 200, "maxDepth": 10}
 
 # ---- engine limits (not part of any result) ----
 BROADCAST_ROWS = 1_000_000      # a lookup table above this many rows is never broadcast
+BROADCAST_BYTES = 128 << 20     # nor one above this many bytes, see joins.row_bytes
+FILTER_BYTES = 32 << 20         # bits of a key filter, see keyfilter
+UNSEEN_SHARE = 10               # rows without a partner pass by a shuffle if more than 1/10 of all
 HOT_KEY_SHARE = 1_000           # a key with more than 1/1000 of all rows counts as hot
 TRAIN_ROWS = 250_000            # rows in a partition while a classifier is fitted
 AGG_CHUNK = 48                  # expressions per wide aggregate

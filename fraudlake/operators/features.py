@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions import expressions as X
 from ..session import materialize
-from .joins import lookup
+from .joins import fits, fits_broadcast, lookup, row_bytes
 from .quantiles import exact_quantiles
 
 PAIR = ["card1", "addr1"]
@@ -91,11 +91,25 @@ def fit_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     return materialize(label_codes(materialize(category_counts(df, columns))))
 
 
+def code_facts(codes: DataFrame) -> tuple[dict[str, bool], dict[str, int]]:
+    """Per feature, whether its codes may be broadcast and the code of ``unknown``: one job for
+    all features."""
+    small, unknown = {}, {}
+    for r in codes.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(codes, ["category", "code"])).alias("n_bytes"),
+        F.max(F.when(F.col("category") == C.UNKNOWN, F.col("code"))).alias("unknown"),
+    ).collect():  # one row per categorical column
+        small[r["feature"]] = fits(r["n"], r["n_bytes"])
+        unknown[r["feature"]] = r["unknown"]
+    return small, unknown
+
+
 def encode(df: DataFrame, codes: DataFrame, columns: list[str],
            small: dict[str, bool] | None = None, unknown: dict[str, int] | None = None) -> DataFrame:
-    """Replace categories by their code; unseen and null ones get ``unknown``'s."""
-    if unknown is None:
-        unknown = dict(codes.where(F.col("category") == C.UNKNOWN).select("feature", "code").collect())
+    """Replace categories by their code; unseen and null ones get ``unknown``'s. ``small`` and
+    ``unknown`` as in ``code_facts``."""
+    if small is None or unknown is None:
+        small, unknown = code_facts(codes)
     present = [c for c in columns if c in df.columns and c in unknown]
     names = df.columns
     df = df.select(*names, *[F.coalesce(F.col(c).cast("string"), F.lit(C.UNKNOWN)).alias("_" + c)
@@ -103,7 +117,7 @@ def encode(df: DataFrame, codes: DataFrame, columns: list[str],
     for c in present:
         table = codes.where(F.col("feature") == c).select(
             F.col("category").alias("_" + c), F.col("code").alias("_code_" + c))
-        df = lookup(df, table, ["_" + c], None if small is None else small[c])
+        df = lookup(df, table, ["_" + c], small[c])
     return df.select(*[
         F.coalesce(F.col("_code_" + c), F.lit(unknown[c])).cast("long").alias(c) if c in present else c
         for c in names])
@@ -228,22 +242,17 @@ class FeatureEstimator:
         if set(PAIR) <= set(train.columns):
             counts = materialize(pair_counts(train))
             per_count = counts.groupBy(PAIR_COUNT).agg(F.count(F.lit(1)).alias("n"))
-            small[PAIR_COUNT] = (per_count.agg(F.sum("n")).first()[0] or 0) <= C.BROADCAST_ROWS
+            small[PAIR_COUNT] = fits_broadcast(counts)
             medians.update(fit_medians(
                 per_count, [PAIR_COUNT], weight=F.col("n") * F.col(PAIR_COUNT)))
         categorical = [c for c in C.CATEGORICAL_FEATURES if c in train.columns]
         codes = fit_codes(train, categorical)
-        unknown = {}
         # a rank over weighted codes: counted in buckets, so no group holds a vocabulary
         medians.update({c: v[0] or 0.0 for c, v in exact_quantiles(
             codes, {c: F.when(F.col("feature") == c, F.col("code")) for c in categorical},
             [0.5], weight=F.col("n_rows")).items()})
-        for r in codes.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.when(F.col("category") == C.UNKNOWN, F.col("code"))).alias("unknown"),
-        ).collect():  # one row per categorical column
-            small[r["feature"]] = r["n"] <= C.BROADCAST_ROWS
-            unknown[r["feature"]] = r["unknown"]
+        small_codes, unknown = code_facts(codes)
+        small.update(small_codes)
         raw = train.withColumns(engineered(train))
         medians.update(fit_medians(raw, [c for c in pick_features(raw) if c not in categorical
                                          and isinstance(raw.schema[c].dataType, T.NumericType)]))

@@ -1,9 +1,14 @@
 """Joins of transactions with side tables."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import materialize
+from . import keyfilter
 
 
 def duplicate_keys(df: DataFrame, key: str = C.KEY) -> DataFrame:
@@ -23,46 +28,89 @@ def attach_identity(txn: DataFrame, identity: DataFrame | None, key: str = C.KEY
     return txn.join(identity, key, "left")
 
 
-def fits_broadcast(table: DataFrame, max_rows: int = C.BROADCAST_ROWS) -> bool:
-    return table.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """About how many bytes a row of these columns takes in a broadcast table: 48 for the row
+    and its place in the hash table, 8 a number, 16 and the length for anything else."""
+    def one(f):
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.lit(8)
+        c = F.col(f.name)
+        plain = c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")
+        return F.coalesce(F.octet_length(plain), F.lit(0)) + 16
+
+    return sum((one(df.schema[c]) for c in columns or df.columns), F.lit(48)).cast("long")
+
+
+def fits(n_rows: int | None, n_bytes: int | None) -> bool:
+    return (n_rows or 0) <= C.BROADCAST_ROWS and (n_bytes or 0) <= C.BROADCAST_BYTES
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether the table stays within the rows and the bytes of a broadcast."""
+    return fits(*table.agg(F.count(F.lit(1)), F.sum(row_bytes(table))).first())
 
 
 def lookup(left: DataFrame, table: DataFrame, on: list[str], small: bool | None = None) -> DataFrame:
     """Left join to a table with one row per key; null keys match null keys.
 
-    A table of checked size is broadcast. A larger one is shuffled, and then a key
-    that holds a large part of the left rows must not end in one task: the hot
-    keys (at most ``HOT_KEY_SHARE`` of them, found by a pre-aggregated count) get
-    their values by a broadcast join, and their rows are spread over the shuffle
-    partitions of the second join, where they match nothing.
+    A table of checked size (rows and bytes) is broadcast. A larger one is written once and
+    shuffled. Then rows whose key a filter of the table's keys rules out get their nulls without
+    a shuffle, where they are more than a tenth of all. A key that holds a large part of the
+    other rows must not end in one task: the hot keys (at most ``HOT_KEY_SHARE`` of them, found
+    by a pre-aggregated count) get their values by a broadcast join, and their rows are spread
+    over the shuffle partitions of the second join, where they match nothing. ``left`` is read
+    more than once, so it must give the same rows each time.
     """
     values = [c for c in table.columns if c not in on]
     if small is None:
         small = fits_broadcast(table)
-    right = table.select(*[F.col(c).alias("_k_" + c) for c in on], *values)
-
-    def same(l, r, extra=None):
-        cond = F.lit(True) if extra is None else extra
-        for c in on:
-            cond = cond & l[c].eqNullSafe(r["_k_" + c])
-        return cond
-
     if small:
-        right = F.broadcast(right)
-        return left.join(right, same(left, right), "left").drop(*["_k_" + c for c in on])
+        right = F.broadcast(_side(table, on, values))
+        return left.join(right, _same(left, right, on), "left").drop(*["_k_" + c for c in on])
 
+    if not hasattr(table, "written_to"):
+        table = materialize(table)
     per_key = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max(1, (per_key.agg(F.sum("_n")).first()[0] or 0) // C.HOT_KEY_SHARE)
-    hot = per_key.where(F.col("_n") > limit).drop("_n")
-    hot_values = hot.join(right, same(hot, right), "left").select(
+    types = keyfilter.common_types(left, table, on)
+    words = types and keyfilter.words_for(table.count())
+    rows, unseen = None, 0
+    if words:
+        keys = materialize(keyfilter.build(table, on, types, words))
+        per_key = keyfilter.mark(per_key, on, types, words, keys)
+        rows, unseen = per_key.agg(F.sum("_n"), F.sum(F.when(~F.col("_may"), F.col("_n")))).first()
+        per_key = per_key.where("_may").drop("_may")
+    else:
+        rows = per_key.agg(F.sum("_n")).first()[0]
+    rows, unseen = rows or 0, unseen or 0
+    if unseen * C.UNSEEN_SHARE <= rows:
+        return _shuffled(left, table, on, values, per_key, rows)
+    marked = keyfilter.mark(left, on, types, words, keys)
+    seen = _shuffled(marked.where("_may").drop("_may"), table, on, values, per_key, rows - unseen)
+    rest = marked.where("not _may").select(
+        *left.columns, *[F.lit(None).cast(table.schema[v].dataType).alias(v) for v in values])
+    return seen.unionByName(rest)
+
+
+def _side(table: DataFrame, on: list[str], values: list[str]) -> DataFrame:
+    return table.select(*[F.col(c).alias("_k_" + c) for c in on], *values)
+
+
+def _same(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
+    return reduce(Column.__and__, [left[c].eqNullSafe(right["_k_" + c]) for c in on])
+
+
+def _shuffled(left: DataFrame, table: DataFrame, on: list[str], values: list[str], per_key: DataFrame,
+              n_rows: int) -> DataFrame:
+    right = _side(table, on, values)
+    hot = per_key.where(F.col("_n") > max(1, n_rows // C.HOT_KEY_SHARE)).drop("_n")
+    hot_values = F.broadcast(hot.join(right, _same(hot, right, on), "left").select(
         *[F.col(c).alias("_k_" + c) for c in on],
-        *[F.col(v).alias("_hot_" + v) for v in values], F.lit(True).alias("_is_hot"))
-    hot_values = F.broadcast(hot_values)
-    tagged = left.join(hot_values, same(left, hot_values), "left").drop(*["_k_" + c for c in on])
+        *[F.col(v).alias("_hot_" + v) for v in values], F.lit(True).alias("_is_hot")))
+    tagged = left.join(hot_values, _same(left, hot_values, on), "left").drop(*["_k_" + c for c in on])
     tagged = tagged.withColumn(
         "_salt", F.when(F.col("_is_hot"), F.xxhash64(*left.columns)).otherwise(F.lit(0)))
     cold = right.withColumn("_cold", F.lit(0).cast("long"))
-    joined = tagged.join(cold, same(tagged, cold, tagged["_salt"] == cold["_cold"]), "left")
+    joined = tagged.join(cold, _same(tagged, cold, on) & (tagged["_salt"] == cold["_cold"]), "left")
     return joined.select(
         *left.columns,
         *[F.when(F.col("_is_hot"), F.col("_hot_" + v)).otherwise(F.col(v)).alias(v) for v in values])
