@@ -1,5 +1,7 @@
 """Training, scoring and comparing classifiers on a feature matrix."""
 
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -14,6 +16,7 @@ from ..functions.expressions import score_columns
 from ..session import materialize, shared_root
 from .evaluation import SCORE, evaluate
 
+KINDS = ("gbt", "logistic-regression", "random-forest")
 WEIGHT, VECTOR = "_weight", "_features"
 
 
@@ -36,51 +39,67 @@ def class_weights(df: DataFrame, target: str = C.TARGET) -> DataFrame:
         target, "n", F.try_divide(F.col("total").cast("double"), 2 * F.col("n")).alias("weight"))
 
 
-def _weighted(df: DataFrame, w0: float, w1: float) -> DataFrame:
-    return df.withColumn(WEIGHT, F.when(F.col(C.TARGET) == 1, F.lit(float(w1))).otherwise(float(w0)))
+@dataclass
+class Dealt:
+    """Assembled training rows on the executors, the same for every learner."""
 
+    rows: DataFrame
+    features: list[str]
+    n_rows: int
+    balanced: dict[int, float]
 
-def balanced(df: DataFrame) -> DataFrame:
-    w = dict(class_weights(df).select(C.TARGET, "weight").collect())  # two rows
-    return _weighted(df, w[0] or 0.0, w[1] or 0.0)
 
-
-def train(kind: str, matrix: DataFrame, features: list[str] | None = None,
-          partitions: int | None = None, **params):
-    """Fit one classifier. The assembled rows are kept on the executors (spilling to
-    their disks) while the iterations run and are dropped afterwards; boosted trees
-    checkpoint their errors so that the lineage does not grow with the trees.
+@contextmanager
+def dealt(matrix: DataFrame, features: list[str] | None = None, partitions: int | None = None):
+    """Rows of a training matrix, kept on the executors (spilling to their disks) inside the
+    ``with`` block.
 
     Rows are dealt by a hash of their features and sorted in their partition, and the number
     of partitions follows from the number of rows if it isn't given: what the learners sample
     depends on neither the cores nor the files."""
     features = features or feature_names(matrix)
+    found = class_weights(matrix).collect()  # two rows; the total counts rows without a label too
+    n_rows = matrix.count()
+    partitions = partitions or max(1, -(-n_rows // C.TRAIN_ROWS))
+    spread = matrix.repartition(partitions, *features).sortWithinPartitions(*features, C.TARGET)
+    ready = assemble(spread, features).select(VECTOR, C.TARGET).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield Dealt(ready, features, n_rows, {r[C.TARGET]: r["weight"] or 0.0 for r in found})
+    finally:
+        ready.unpersist()
+
+
+def fit(kind: str, data: Dealt, **params):
+    """Fit one classifier on dealt rows. Boosted trees checkpoint their errors so that the
+    lineage does not grow with the trees."""
     common = {"labelCol": C.TARGET, "featuresCol": VECTOR, "weightCol": WEIGHT}
     # the trees are shallow: handing them to the tasks is cheaper than keeping every row's node
     trees = {"seed": C.SEED, "cacheNodeIds": False, "checkpointInterval": 10}
-    shared_root(matrix.sparkSession)
-    n_rows = matrix.count()
+    shared_root(data.rows.sparkSession)
+    weights = data.balanced
     if kind == "gbt":
         learner = GBTClassifier(**{**common, **trees, **C.GBT_PARAMS, **params})
-        rows = _weighted(matrix, 1.0, C.POSITIVE_WEIGHT)
+        weights = {0: 1.0, 1: C.POSITIVE_WEIGHT}
     elif kind == "random-forest":
         learner = RandomForestClassifier(**{**common, **trees, **C.RF_PARAMS, **params})
-        rows = balanced(matrix)
     elif kind == "logistic-regression":
         # the published penalty stands beside the summed loss, this one beside the mean loss;
         # balanced weights sum up to the number of rows
-        penalty = {"regParam": 1.0 / (C.LR_INVERSE_PENALTY * max(n_rows, 1))}
+        penalty = {"regParam": 1.0 / (C.LR_INVERSE_PENALTY * max(data.n_rows, 1))}
         learner = LogisticRegression(**{**common, **penalty, **C.LR_PARAMS, **params})
-        rows = balanced(matrix)
     else:
         raise ValueError(f"unknown classifier {kind}")
-    partitions = partitions or max(1, -(-n_rows // C.TRAIN_ROWS))
-    dealt = rows.repartition(partitions, *features).sortWithinPartitions(*features, C.TARGET)
-    ready = assemble(dealt, features).select(VECTOR, C.TARGET, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return learner.fit(ready)
-    finally:
-        ready.unpersist()
+    weight = F.when(F.col(C.TARGET) == 1, F.lit(float(weights[1]))).otherwise(float(weights[0]))
+    return learner.fit(data.rows.withColumn(WEIGHT, weight))
+
+
+def train(kind: str, matrix: DataFrame, features: list[str] | None = None,
+          partitions: int | None = None, **params):
+    """Deal the rows and fit one classifier."""
+    if kind not in KINDS:
+        raise ValueError(f"unknown classifier {kind}")
+    with dealt(matrix, features, partitions) as data:
+        return fit(kind, data, **params)
 
 
 def add_score(model, matrix: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -110,12 +129,14 @@ def feature_importance(model, features: list[str], spark) -> DataFrame:
 
 
 def compare(train_rows: DataFrame, test_rows: DataFrame, params: dict[str, dict]) -> DataFrame:
-    """Metrics of each classifier on the test rows, best area under the curve first.
-    The models are fitted one after the other; each fit is a distributed job."""
-    features = feature_names(train_rows)
+    """Metrics of each classifier on the test rows, best area under the curve first. The
+    training rows are dealt once; the models are fitted one after the other, each fit a
+    distributed job."""
+    with dealt(train_rows) as data:
+        fitted = {kind: fit(kind, data, **p) for kind, p in params.items()}
     rows = [
-        evaluate(scored_labels(train(kind, train_rows, features, **p), test_rows, features))
+        evaluate(scored_labels(model, test_rows, data.features))
         .select(F.lit(kind).alias("model"), "auc_roc", "average_precision", "f1", "precision", "recall")
-        for kind, p in params.items()
+        for kind, model in fitted.items()
     ]
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("auc_roc"), "model")

@@ -13,7 +13,7 @@ from ..operators import features, joins, profile, splitting, stats
 from ..operators.ranking import hash_sample
 from ..session import shared_dir
 from ..sources import adapter as src
-from ..sources import readers, schema, sinks
+from ..sources import footers, readers, schema, sinks
 from .registry import check_sql, query, rounded
 from .reports import MEAN_COLUMNS, Reports
 
@@ -59,6 +59,27 @@ def _(spark, sf):
     return t.unionByName(i)
 
 
+_REQUIRED = {"events": ["event_id", "ts", "value", "props", "device"], "customer": ["c_custkey", "c_mktsegment"]}
+
+
+@query("validate_files", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {str(c != 'device').lower()} AS present,"
+    f" {'0' if c == 'device' else f'count({c})'} AS n_values FROM {t if c != 'device' else '(SELECT 1)'}"
+    for t, names in _REQUIRED.items() for c in names))
+def _(spark, sf):
+    """The column check from the files' footers: no value is read."""
+    return reduce(DataFrame.unionByName, [
+        footers.from_footers(spark, lambda d, t=t: schema.validation_report(d, _REQUIRED[t], t), f"{sf}/{t}.parquet")
+        for t in _REQUIRED])
+
+
+@query("extents_files", "SELECT count(*) AS n_rows, count(event_id) AS event_id_values, min(event_id) AS"
+       " event_id_smallest, max(event_id) AS event_id_largest, count(value) AS value_values, min(value) AS"
+       " value_smallest, max(value) AS value_largest FROM events")
+def _(spark, sf):
+    return footers.from_footers(spark, lambda d: footers.extents(d, ["event_id", "value"]), f"{sf}/events.parquet")
+
+
 @query("ingestion_summary", check_sql(
     "SELECT (SELECT count(*) FROM txn) AS transaction_rows,"
     f" CAST({len(src.TXN_COLUMNS)} AS BIGINT) AS transaction_columns,"
@@ -335,6 +356,13 @@ def _(spark, sf):
     return joins.column_overlap(txn(spark, sf, C.KEY, C.AMOUNT, "D1"), ident(spark, sf))
 
 
+@query("common_columns_files", _overlap_sql(
+    ["doc_id", "text", "lang", "source", "n_chars"], ["doc_id", "quality", "toxic"], "documents", "labels"))
+def _(spark, sf):
+    return footers.from_footers(
+        spark, joins.column_overlap, f"{sf}/documents.parquet", f"{sf}/labels.parquet")
+
+
 # ---------------------------------------------------------------- aggregations
 
 @query("rate_by_product", check_sql(
@@ -579,6 +607,15 @@ def _(spark, sf):
     return A.time_span(txn(spark, sf, C.TIME))
 
 
+@query("time_span_files", check_sql(
+    "SELECT min(TransactionDT) AS first_second, max(TransactionDT) AS last_second,"
+    " CAST(round_even(max(TransactionDT) / 86400::DOUBLE, 0) AS BIGINT) AS days FROM txn", "txn"))
+def _(spark, sf):
+    """The span of a written table, from its footers."""
+    path = sinks.write_parquet(txn(spark, sf, C.KEY, C.TIME), shared_dir(spark))
+    return footers.from_footers(spark, A.time_span, path)
+
+
 @query("peak_group", check_sql(
     f"SELECT 'hour' AS what, CAST(hour AS VARCHAR) AS top, n, fraud_rate FROM (SELECT * FROM ({_HOURLY})"
     " ORDER BY fraud_rate DESC, hour LIMIT 1) UNION ALL SELECT 'product', ProductCD, n, fraud_rate FROM"

@@ -522,8 +522,7 @@ query("train_rf")(_train_query("random-forest"))
 @query("compare_models")
 def _(spark, sf):
     fitted, train, test = _matrices(spark, sf)
-    kinds = ("gbt", "logistic-regression", "random-forest")
-    return rounded(models.compare(train, fitted.transform(test), {k: {} for k in kinds}))
+    return rounded(models.compare(train, fitted.transform(test), {k: {} for k in models.KINDS}))
 
 
 @query("feature_importance")
@@ -535,6 +534,47 @@ def _(spark, sf):
     return rounded(models.feature_importance(m, names, spark).limit(20))
 
 
+def _wrong_metrics(scored):
+    """How many of a model's reported metrics differ from a second way to them: rows counted by
+    another expression, the area by MLlib's evaluator over every distinct score."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    said = evaluation.evaluate(scored).first()
+    y, hit = F.col(C.TARGET) == 1, F.col("score") >= C.SCORE_THRESHOLD
+    found = scored.agg(
+        F.avg((y == hit).cast("double")).alias("accuracy"),
+        F.avg(F.when(hit, y.cast("double"))).alias("precision"),
+        F.avg(F.when(y, hit.cast("double"))).alias("recall")).first().asDict()
+    area = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol=C.TARGET, numBins=0)
+    found["auc_roc"] = area.evaluate(scored)
+    return sum(abs((said[k] or 0.0) - (v or 0.0)) > 1e-9 for k, v in found.items())
+
+
+@query("train_properties", check_sql(
+    "SELECT model, n, positives, CAST(0 AS BIGINT) AS wrong_metrics, CAST(importances AS BIGINT) AS importances,"
+    " CAST(0 AS BIGINT) AS wrong_importances FROM (SELECT count(*) AS n, CAST(sum(isFraud) AS BIGINT) AS positives"
+    " FROM test), (VALUES ('logistic-regression', 0), ('random-forest', "
+    f"{sum(c in C.ALL_FEATURES for c in src.TXN_COLUMNS) + len(C.ENGINEERED_FEATURES)}))"
+    " AS m(model, importances)", "train", "test"))
+def _(spark, sf):
+    """Two classifiers at the published settings: every test row scored once, the reported metrics
+    equal to a second count, importances of every feature, none negative, 1 in total."""
+    fitted, train, test = _matrices(spark, sf)
+    matrix, rows = fitted.transform(test), []
+    with models.dealt(train, fitted.feature_columns) as data:
+        found = {kind: models.fit(kind, data) for kind in ("logistic-regression", "random-forest")}
+    for kind, model in found.items():
+        scored = models.scored_labels(model, matrix, data.features)
+        n, positives = scored.agg(F.count("score"), F.sum(C.TARGET).cast("long")).first()
+        shares = []
+        if kind == "random-forest":
+            shares = [r["importance"] for r in models.feature_importance(model, data.features, spark).collect()]
+        wrong = sum(s < 0 for s in shares) + (bool(shares) and abs(sum(shares) - 1) > 1e-6)
+        rows.append((kind, n, positives, int(_wrong_metrics(scored)), len(shares), int(wrong)))
+    return spark.createDataFrame(rows, "model string, n long, positives long, wrong_metrics long,"
+                                       " importances long, wrong_importances long")
+
+
 def _scored_batch(spark, sf):
     fitted, train, test = _matrices(spark, sf)
     return models.score_batch(models.train("logistic-regression", train, fitted.feature_columns), fitted, test)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fraudlake import config as C
+from fraudlake.operators import evaluation, models
 from fraudlake.operators.features import FeatureModel
 from fraudlake.operators.models import train as fit
 from fraudlake.plans import stages
@@ -180,6 +181,29 @@ def test_requests_are_scored_with_defaults(ws, spark):
         assert r["is_fraud"] == (r["fraud_probability"] >= 0.5)
 
 
+def test_models_are_compared_on_rows_dealt_once(ws):
+    params = {"logistic-regression": {"maxIter": 5}, "random-forest": {"numTrees": 3, "maxDepth": 2},
+              "gbt": {"maxIter": 2, "maxDepth": 2}}
+    got = stages.compare_models(ws, params).collect()
+    assert {r["model"] for r in got} == set(params)
+    areas = [r["auc_roc"] for r in got]
+    assert areas == sorted(areas, reverse=True)
+    alone = evaluation.evaluate(models.scored_labels(
+        fit("logistic-regression", ws.table("train"), maxIter=5), ws.table("test"),
+        models.feature_names(ws.table("train")))).first()
+    together = next(r for r in got if r["model"] == "logistic-regression")
+    assert abs(together["auc_roc"] - alone["auc_roc"]) < 1e-9
+
+
+def test_scenario_table_and_written_reports(ws):
+    got = {r["current"]: r for r in stages.STAGES["scenario-table"](ws).collect()}
+    assert set(got) == {f"drifted_{s}" for s in stages.SCENARIOS}
+    for r in got.values():
+        assert (r["reference_rows"], r["current_rows"]) == (80, ws.table(r["current"]).count())
+    stages.STAGES["load-table"](ws)
+    assert ws.spark.read.json(ws.path("reports/summary")).first()["total_rows"] == 100
+
+
 def test_tree_models_fit(ws):
     for kind, params in (("gbt", {"maxIter": 2, "maxDepth": 2}), ("random-forest", {"numTrees": 3, "maxDepth": 2})):
         m = fit(kind, ws.table("train"), **params)
