@@ -4,8 +4,8 @@ Kinds: e-mail addresses, IPv4 addresses, card, social security, bank account and
 numbers, and names after titles: all following capitalised words, initials and particles,
 the last word as family name. In the same document these names are replaced without a title
 too: the whole name, its family name and its given names. The entity behind a mention is its core (digits of a
-number, the lower-cased address, the family name), so all mentions of one entity get the
-same surrogate in each mention's own format. Surrogates follow from a keyed hash: digits for
+number, the lower-cased address, the family name in any case), so all mentions of one entity
+get the same surrogate in each mention's own format; a name in capitals stays in capitals. Surrogates follow from a keyed hash: digits for
 digits, letters for letters, a card's first digit and a valid check digit, family names in the
 mention's script. A given name with its family name and gender is an entity of its own
 (``full``): its surrogate fits the gender, and no other full name of that family has it.
@@ -73,10 +73,20 @@ def kind_of(value):
     return reduce(lambda w, kp: w.when(value.rlike(f"^(?:{kp[1]})$"), kp[0]), PATTERNS, F.when(F.lit(False), ""))
 
 
+def _folded(word):
+    """A word of a name as it is written in the middle of a sentence; initials and particles as they are."""
+    return F.when(word.rlike(f"^{_CAPITAL}$"), F.initcap(word)).otherwise(word)
+
+
+def _cased(new, word):
+    """The new word in capitals if the old one is."""
+    return F.when((F.upper(word) == word) & (F.length(word) > 1), F.upper(new)).otherwise(new)
+
+
 def core_of(kind, value):
     number = _digits(value)
     return (F.when(kind == "email", F.lower(value)).when(kind == "ip", value)
-            .when(kind == "name", F.element_at(F.split(value, " "), -1))
+            .when(kind == "name", _folded(F.element_at(F.split(value, " "), -1)))
             .when(kind == "iban", F.regexp_replace(value, " ", ""))
             .when(kind == "phone", F.substring(number, F.greatest(F.lit(1), F.length(number) - 9), F.lit(10)))
             .otherwise(number))
@@ -190,37 +200,50 @@ def _words(value):
     return F.split(F.regexp_replace(value, f"^{_TITLES}", ""), " ")
 
 
+def _given_words(words):
+    return F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1))
+
+
 def full_of(value):
     """A name's core as a full name, null if it has no given name."""
-    words, title = _words(value), _title(value)
+    words, title = F.transform(_words(value), _folded), _title(value)
     gender = (F.when(title.rlike(rf"(?:^| )(?:{MALE})\.? "), "m").when(
         title.rlike(rf"(?:^| )(?:{FEMALE})\.? "), "f").otherwise("both"))
-    given = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1)), " ")
+    given = F.array_join(_given_words(words), " ")
     return F.when(F.size(words) > 1, F.concat_ws("|", gender, given, F.element_at(words, -1)))
 
 
 def _name(value, new, given):
-    """Titles, the new given names if there were any, and the new family name."""
-    return F.concat(_title(value), F.concat_ws(" ", given, new))
+    """Titles, the new given names if there were any, and the new family name, each in its old one's case."""
+    words = _words(value)
+    named = F.zip_with(_given_words(words), F.split(given, " "), lambda o, g: _cased(g, o))
+    return F.concat(_title(value), F.concat_ws(" ", named, _cased(new, F.element_at(words, -1))))
 
 
 def _phrases(value, new, given):
     """(phrase, rank, shown) that stand for a name without its title: the whole of it (rank 0),
-    its family name alone or after a given name (1), and its given names (2)."""
-    words = _words(value)
-    old = F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1))
+    its family name alone or after a given name (1), and its given names (2); the first two
+    also in capitals."""
+    words = F.transform(_words(value), _folded)
 
     def phrase(text, rank, shown):
         return F.struct(text.alias("phrase"), F.lit(rank).alias("rank"), shown.alias("shown"))
 
-    single = F.zip_with(old, F.split(given, " "), lambda o, g: phrase(o, 2, g))
+    single = F.zip_with(_given_words(words), F.split(given, " "), lambda o, g: phrase(o, 2, g))
     single = F.filter(single, lambda p: p["phrase"].rlike(f"^{_CAPITAL}$"))
     family = F.element_at(words, -1)
     paired = F.transform(single, lambda p: phrase(F.concat_ws(" ", p["phrase"], family), 1,
                                                   F.concat_ws(" ", p["shown"], new)))
-    return F.concat(F.array(phrase(F.array_join(words, " "), 0, F.concat_ws(" ", given, new)),
-                            phrase(family, 1, new)),
-                    F.coalesce(F.concat(single, paired), F.array().cast("array<struct<phrase:string,rank:int,shown:string>>")))
+    none = F.array().cast("array<struct<phrase:string,rank:int,shown:string>>")
+    named = F.concat(F.array(phrase(F.array_join(words, " "), 0, F.concat_ws(" ", given, new)),
+                             phrase(family, 1, new)), F.coalesce(paired, none))
+    loud = F.transform(named, lambda p: F.struct(F.upper(p["phrase"]).alias("phrase"), p["rank"].alias("rank"),
+                                                 F.upper(p["shown"]).alias("shown")))
+    # as written: words of mixed case (Mc, O') differ from their folded form
+    asis = F.array(phrase(F.array_join(_words(value), " "), 0, F.concat_ws(" ", given, new)),
+                   phrase(F.element_at(_words(value), -1), 1, new))
+    asis = F.filter(asis, lambda p: F.upper(p["phrase"]) != p["phrase"])
+    return F.concat(named, loud, asis, F.coalesce(single, none))
 
 
 def _given_names(known):

@@ -393,6 +393,30 @@ def test_pipeline_links_five_words_at_four_fifths(spark, sf):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, sf).collect()) == [0, 2]
 
 
+def test_names_in_capitals_are_the_same_persons(spark):
+    """One surrogate for a name in any case, shown in the mention's case; also without a title."""
+    df = spark.createDataFrame([
+        (1, "Mr Smith wrote. Mr SMITH signed. Then Smith and SMITH left."),
+        (2, "Mrs Anna SMITH and MRS? Mrs ANNA SMITH; Anna Smith came, ANNA SMITH went, I SAW IT."),
+        (3, "Dr O'BRIEN met Dr O'Brien and Dr McDonald, MCDONALD, Mr. J. SMITH"),
+        (4, "Mr Will Bush said: I WILL go. BUSH went."),
+        (5, "г-н ИВАНОВ и г-н Иванов"),
+    ], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymize(df, "k").collect()}
+    new = re.search(r"^Mr (\w+) wrote", got[1].text)[1]
+    assert new != "Smith" and got[1].text == (
+        f"Mr {new} wrote. Mr {new.upper()} signed. Then {new} and {new.upper()} left.") and got[1].n_name == 4
+    given = re.search(rf"; (\w+) {new} came", got[2].text)[1]
+    assert given in surrogates.GIVEN["f"] and got[2].text == (
+        f"Mrs {given} {new.upper()} and MRS? Mrs {given.upper()} {new.upper()}; {given} {new} came,"
+        f" {given.upper()} {new.upper()} went, I SAW IT.")
+    other = re.search(r"^Dr (\w+) met Dr (\w+) and Dr (\w+), (\w+), Mr\. \w\. (\w+)$", got[3].text)
+    assert other and other[1] == other[2].upper() and other[4] == other[3].upper() and other[5] == new.upper()
+    assert "I WILL go" in got[4].text and not re.search("bush", got[4].text, re.I)
+    first, second = re.findall(r"г-н (\w+)", got[5].text)
+    assert first == second.upper() and second != "Иванов"
+
+
 def test_full_names_keep_distinct_surrogates(spark):
     """More given names of one family than the lists hold, of both genders, in two scripts."""
     names = [("Mr", f"Tom{c}{d}") for c in "abcdefgh" for d in "abcde"] + [("Mrs", f"Tom{c}a") for c in "abcdefgh"]
