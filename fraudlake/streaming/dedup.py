@@ -29,14 +29,20 @@ def score_distinct_windowed(df: DataFrame, key: str, columns: list[str], score:
     and stream: requests meet their window's distinct payloads in an equi-join on payload and
     window, so a stream's state, on either side, ends with the window.
 
-    A hot payload is pre-aggregated before it is scored, and its requests are dealt over ``salts``
-    keys of the join, for each of which the one scored row is repeated. On a stream rows leave
-    once the watermark has passed the end of their window."""
+    A hot payload is pre-aggregated before it is scored, and its requests are dealt over at most
+    ``salts`` (up to 63) keys of the join. The aggregate notes in the bits of a number which of
+    them a payload's requests got, and the one scored row is repeated for these only: a payload of
+    one request meets it once. On a stream rows leave once the watermark has passed the end of
+    their window."""
+    if not 0 < salts < 64:
+        raise ValueError(f"salts must be from 1 to 63, not {salts}")
     rows = (df.withWatermark(time, lateness) if df.isStreaming else df).withColumn("_window", F.window(time, window))
-    distinct = rows.groupBy("_window", key).agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("n_same"))
-    table = distinct.select(key, "_window", score.alias("score"), "n_same",
-                            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(salts)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_salt"))
+    distinct = dealt.groupBy("_window", key).agg(
+        *[F.first(c).alias(c) for c in columns], F.count("*").alias("n_same"), F.bit_or(bit).alias("_salts"))
+    used = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.getbit("_salts", i) == 1)
+    table = distinct.select(key, "_window", score.alias("score"), "n_same", F.explode(used).alias("_salt"))
     if df.isStreaming:  # a stream carries one event time: the window's; the instant goes on as plain data
         dealt = dealt.withColumn("_at", F.timestamp_micros(F.unix_micros(time))).drop(time)
     out = dealt.join(table, [key, "_window", "_salt"])

@@ -64,6 +64,18 @@ def test_ordered_stream_waits_for_rows_of_earlier_times(spark):
     assert runner.late_rows(ended) == 1 and len(ended.recentProgress) > 3
 
 
+def test_windowed_scores_meet_each_request_once(spark):
+    """Payloads that occur once make one row each for the join, whatever the number of salts."""
+    df = spark.range(500).select("id", F.col("id").alias("x"), F.lit("p").alias("p"), F.timestamp_seconds("id").alias("ts"))
+    df = df.withColumn("request", F.concat("p", F.col("x").cast("string")))
+    out = dedup.score_distinct_windowed(df, "request", ["x"], F.col("x").cast("double"), "ts", salts=16)
+    assert out.count() == 500
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan  # the salts of a payload come from its requests
+    with pytest.raises(ValueError):
+        dedup.score_distinct_windowed(df, "request", ["x"], F.col("x"), "ts", salts=64)
+
+
 def test_windowed_scores_of_a_hot_payload(spark):
     """Batch and stream, a payload in most requests; repeated rows are requests of their own."""
     r = random.Random(4)
