@@ -16,6 +16,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from .. import config as C
 
 CHUNK_SECONDS = 1 << 20
+BLOCK_ROWS = 1 << 17
+SPAN_MS = 3_600_000
 
 
 def _successors(t: np.ndarray, ttl: int) -> np.ndarray:
@@ -91,29 +93,89 @@ def cache_flags(df: DataFrame, key: str, time: str, row_id: str,
             .withColumn("cached", F.col("_miss_id").isNull()).drop("_miss_id"))
 
 
+def _first_rows(t: np.ndarray, ids: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
+    """Each second once, in order, with its first row by id; ``more`` goes along."""
+    order = np.lexsort((ids, t))
+    order = order[np.append(True, np.diff(t[order]) != 0)] if len(order) else order
+    return [x[order] for x in (t, ids, *more)]
+
+
+def _misses(t: np.ndarray, last, ttl: int) -> np.ndarray:
+    """Places of the misses among sorted distinct seconds after a miss at ``last`` (or None)."""
+    found, i = [], 0 if last is None else int(np.searchsorted(t, last + ttl, side="right"))
+    while i < len(t):
+        found.append(i)
+        i = int(np.searchsorted(t, t[i] + ttl, side="right"))
+    return np.array(found, np.int64)
+
+
+class _Marker:
+    """Tells the misses' rows from the others, block by block; of equal rows the first is the miss."""
+
+    def __init__(self, t: np.ndarray, ids: np.ndarray):
+        self.t, self.ids, self.done = t, ids, np.zeros(len(t), bool)
+
+    def cached(self, t: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        out = np.ones(len(t), bool)
+        if len(self.t):
+            at = np.minimum(np.searchsorted(self.t, t), len(self.t) - 1)
+            mine = np.flatnonzero((self.t[at] == t) & (self.ids[at] == ids) & ~self.done[at])
+            which, place = np.unique(at[mine], return_index=True)
+            out[mine[place]], self.done[which] = False, True
+        return out
+
+
 class _Replay(StatefulProcessor):
-    """Holds a key's rows until no earlier one can come, then walks them in order."""
+    """Holds a key's rows until no earlier one can come, then walks them in order.
+
+    Rows wait in blocks of at most ``BLOCK_ROWS``, packed by span of time (an hour or one of
+    ``every``, if longer). A span is walked in two readings of its blocks: the first keeps one row
+    a second, the second hands out the flags. So a worker holds one block and one span's seconds,
+    however many rows a key has."""
 
     def __init__(self, names: tuple[str, str, str], ttl: int, every_ms: int):
         self.names, self.ttl, self.every = names, ttl, every_ms
+        self.width = every_ms * max(1, SPAN_MS // every_ms)
 
     def init(self, handle):
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "t long, id long, ms long")
+        self.spans = handle.getMapState("spans", "span long", "n long, first long")  # blocks, earliest row
+        self.blocks = handle.getMapState("blocks", "span long, number long", "packed binary")
         self.miss = handle.getValueState("miss", "t long, ms long")
 
     def handleInputRows(self, key, rows, timerValues):
-        _, time, row_id = self.names
-        first = None
+        held, n, first = [], 0, None
         for part in rows:
             if len(part):
-                t, ids, ms = (part.iloc[:, i].tolist() for i in (1, 2, 4))  # names may come changed
-                self.waiting.appendList(list(zip(t, ids, ms)))
-                first = min(ms) if first is None else min(first, min(ms))
+                # names may come changed; (seconds, ids, milliseconds)
+                block = np.stack([part.iloc[:, i].to_numpy(np.int64) for i in (1, 2, 4)])
+                first = int(block[2].min()) if first is None else min(first, int(block[2].min()))
+                held.append(block)
+                n += len(part)
+                if n >= BLOCK_ROWS:
+                    self._keep(np.concatenate(held, 1))
+                    held, n = [], 0
+        if held:
+            self._keep(np.concatenate(held, 1))
         if first is not None:
             self._wake(first)
         return iter(())
 
+    def _keep(self, rows: np.ndarray):
+        span = rows[2] // self.width
+        order = np.argsort(span, kind="stable")
+        rows, span = rows[:, order], span[order]
+        for part in np.split(rows, np.flatnonzero(np.diff(span)) + 1, axis=1):
+            first = int(part[2].min())
+            place = (first // self.width,)
+            n, before = self.spans.getValue(place) if self.spans.containsKey(place) else (0, first)
+            self.blocks.updateValue((*place, n), (part.tobytes(),))
+            self.spans.updateValue(place, (n + 1, min(first, before)))
+
+    def _read(self, span: int, n: int):
+        for i in range(n):
+            yield np.frombuffer(self.blocks.getValue((span, i))[0], np.int64).reshape(3, -1)
+
     def _wake(self, ms):
         """A timer for the end of the row's span; one for a key's earliest row is enough."""
         due = (ms // self.every + 1) * self.every
@@ -122,32 +184,43 @@ class _Replay(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs()
-        due = now // self.every * self.every  # all spans that end by now
-        held = sorted(self.waiting.get()) if self.waiting.exists() else []
-        ready, rest = [x for x in held if x[2] < due], [x for x in held if x[2] >= due]
+        due = now // self.every * self.every  # all rows of times that end by now
         last = self.miss.get() if self.miss.exists() else None
-        cached = []
-        for t, _, ms in ready:
-            hit = last is not None and t - last[0] <= self.ttl
-            cached.append(hit)
-            last = last if hit else (t, ms)
-        if rest:
-            if ready:
-                self.waiting.put([tuple(x) for x in rest])
-            self._wake(min(x[2] for x in rest))
-        else:
-            self.waiting.clear()
-        if ready:
-            self.miss.update((int(last[0]), int(last[1])))
-        if last is not None and not rest:  # the entry is forgotten when its life has passed
+        for span in sorted(x[0] for x in self.spans.keys()):
+            n, first = self.spans.getValue((span,))
+            if first >= due:
+                break
+            seconds = np.empty((3, 0), np.int64)
+            for rows in self._read(span, n):
+                seconds = np.stack(_first_rows(*np.concatenate([seconds, rows[:, rows[2] < due]], 1)))
+            at = _misses(seconds[0], None if last is None else last[0], self.ttl)
+            marker = _Marker(seconds[0][at], seconds[1][at])
+            if len(at):
+                last = (int(seconds[0][at[-1]]), int(seconds[2][at[-1]]))
+                self.miss.update(last)
+            rest = 0
+            for number, rows in enumerate(self._read(span, n)):
+                ready, later = rows[:, rows[2] < due], rows[:, rows[2] >= due]
+                self.blocks.removeKey((span, number))
+                if later.shape[1]:  # numbered anew, never past the block just read
+                    self.blocks.updateValue((span, rest), (later.tobytes(),))
+                    rest, first = rest + 1, int(later[2].min()) if not rest else min(first, int(later[2].min()))
+                if ready.shape[1]:
+                    yield pd.DataFrame({self.names[0]: key[0], self.names[1]: ready[0], self.names[2]: ready[1],
+                                        "cached": marker.cached(ready[0], ready[1])})
+            if rest:
+                self.spans.updateValue((span,), (rest, first))
+            else:
+                self.spans.removeKey((span,))
+        waiting = [first for _, first in self.spans.values()]
+        if waiting:
+            self._wake(min(waiting))
+        elif last is not None:  # the entry is forgotten when its life has passed
             end = last[1] + (self.ttl + 1) * 1000
             if now > end:
                 self.miss.clear()
             else:
                 self._wake(int(end))
-        if ready:
-            yield pd.DataFrame({self.names[0]: key[0], self.names[1]: [x[0] for x in ready],
-                                self.names[2]: [x[1] for x in ready], "cached": cached})
 
     def close(self):
         pass
@@ -162,7 +235,7 @@ def cache_flags_ordered(df: DataFrame, key: str, time: str, row_id: str, event_t
     (``runner.late_rows``). ``time`` (whole seconds) and ``event_time`` tick alike.
 
     The state of a key is its last miss, until that entry's life has passed, and the rows of one
-    lateness; these must fit in a worker. Needs a state store with column families, which
+    lateness, in packed blocks; a worker holds one block and the distinct seconds of one hour. Needs a state store with column families, which
     ``runner`` sets where none is set."""
     kinds = dict(df.dtypes)
     rows = (df.select(key, F.col(time).cast("long").alias(time), F.col(row_id).cast("long").alias(row_id), event_time)

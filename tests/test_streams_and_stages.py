@@ -64,6 +64,90 @@ def test_ordered_stream_waits_for_rows_of_earlier_times(spark):
     assert runner.late_rows(ended) == 1 and len(ended.recentProgress) > 3
 
 
+def test_a_stream_holds_blocks_not_keys(spark, monkeypatch):
+    """Rows of one key in many blocks, repeated ones too: flags as of a plain replay, and every frame
+    that a task hands out is of one block, in both streaming forms."""
+    r = random.Random(3)
+    data = [(r.randrange(30_000), i, "hot") for i in range(4000)]
+    data += data[:200]
+    df = spark.createDataFrame(data, "t long, id long, k string").withColumn("ts", F.timestamp_seconds("t"))
+    path = shared_dir(spark)
+    df.coalesce(1).write.parquet(path)
+    runner.with_state_store(spark)
+
+    class Timer:
+        def getCurrentWatermarkInMs(self):
+            return 20_000_500
+
+    class Held(dict):
+        def __init__(self):
+            self.most = 0
+
+        def getValue(self, key):
+            return self[key]
+
+        def updateValue(self, key, value):
+            self[key] = value
+            self.most = max(self.most, len(value[0]) if isinstance(value[0], bytes) else 0)
+
+        containsKey, removeKey = dict.__contains__, dict.__delitem__
+
+    class Value:
+        def __init__(self):
+            self.x = None
+
+        def exists(self):
+            return self.x is not None
+
+        def get(self):
+            return self.x
+
+        def update(self, x):
+            self.x = x
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, set()
+
+        def getMapState(self, name, *_):
+            return self.states.setdefault(name, Held())
+
+        def getValueState(self, name, *_):
+            return Value()
+
+        def listTimers(self):
+            return list(self.timers)
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    monkeypatch.setattr(replay, "BLOCK_ROWS", 100)
+    handle, processor = Handle(), replay._Replay(("k", "t", "id"), 600, 60_000)
+    processor.init(handle)
+    rows = df.withColumn("ms", F.unix_millis("ts")).select("k", "t", "id", "ts", "ms").toPandas()
+    assert list(processor.handleInputRows(("hot",), (rows[i:i + 50] for i in range(0, len(rows), 50)), Timer())) == []
+    assert handle.states["blocks"].most <= 100 * 24
+    frames = list(processor.handleExpiredTimer(("hot",), Timer(), None))
+    assert max(map(len, frames)) <= 100
+
+    def want(last):
+        hits, stored = [], None
+        for t, i, _ in sorted(data):
+            hit = stored is not None and t - stored <= 600
+            stored = stored if hit else t
+            if t < last:
+                hits.append((t, i, hit))
+        return sorted(hits)
+
+    assert sorted((int(t), int(i), bool(c)) for f in frames for t, i, c in f[["t", "id", "cached"]].itertuples(index=False)
+                  ) == want(19_980)
+    stream = spark.readStream.schema(df.schema).parquet(path)
+    for out, last in ((replay.cache_flags_stream(stream, "k", "t", "id", "ts", 600), 10 ** 9),
+                      (replay.cache_flags_ordered(stream, "k", "t", "id", "ts", 600, "1 hour"),
+                       (max(t for t, _, _ in data) - 3600) // 60 * 60)):
+        assert sorted((x.t, x.id, x.cached) for x in runner.drain(out).collect()) == want(last)
+
+
 def test_windowed_scores_meet_each_request_once(spark):
     """Payloads that occur once make one row each for the join, whatever the number of salts."""
     df = spark.range(500).select("id", F.col("id").alias("x"), F.lit("p").alias("p"), F.timestamp_seconds("id").alias("ts"))
