@@ -5,6 +5,8 @@ hit does not renew the entry, so the flag depends on the last miss, not on the
 previous request. Times are whole seconds.
 """
 
+import tempfile
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -246,33 +248,57 @@ def cache_flags_ordered(df: DataFrame, key: str, time: str, row_id: str, event_t
         outputMode="append", timeMode="eventTime")
 
 
-def cache_flags_stream(df: DataFrame, key: str, time: str, row_id: str, event_time: str,
-                       ttl: int = C.CACHE_TTL_SECONDS, lateness: str = "1 hour") -> DataFrame:
-    """Streaming form over a frame with the timestamp ``event_time``. The state of a
-    key is the second of its last miss; it is dropped once the watermark passes the
-    end of that entry's life. Rows of one trigger are ordered by (time, id), and rows leave with the
-    trigger they came in; ``cache_flags_ordered`` waits for those that come late."""
+def _trigger_flags(key: str, time: str, row_id: str, event_time: str, ttl: int):
+    """The function that flags a key's rows of one trigger, see ``cache_flags_stream``."""
     def flags(k, chunks, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks)).sort_values([time, row_id])
         last = state.get[0] if state.exists else None
-        cached = []
-        for t in rows[time]:
-            hit = last is not None and 0 <= t - last <= ttl  # an entry of the future is no hit
-            cached.append(hit)
-            last = last if hit else max(int(t), last or int(t))
-        state.update((last,))
-        newest = int(rows[event_time].max().timestamp() * 1000)
-        state.setTimeoutTimestamp(max(newest + (ttl + 1) * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: k[0], time: rows[time].to_numpy(),
-                            row_id: rows[row_id].to_numpy(), "cached": cached})
+        parts, newest, n = [[np.empty(0, np.int64)] * 2], None, 0
+        with tempfile.TemporaryFile() as kept:
+            for rows in chunks:
+                t, ids = rows[time].to_numpy(), rows[row_id].to_numpy()
+                np.save(kept, t)
+                np.save(kept, ids)
+                newest, n = max(newest or rows[event_time].max(), rows[event_time].max()), n + 1
+                parts.append(_first_rows(t, ids))
+                if sum(len(x) for x, _ in parts[1:]) > max(BLOCK_ROWS, len(parts[0][0])):
+                    parts = [_first_rows(*map(np.concatenate, zip(*parts)))]
+            seconds = _first_rows(*map(np.concatenate, zip(*parts)))
+            early = last  # an entry of the future is no hit
+            t, ids = (x if last is None else x[np.searchsorted(seconds[0], last):] for x in seconds)
+            at = _misses(t, last, ttl)
+            marker = _Marker(t[at], ids[at])
+            if len(at):
+                last = int(t[at[-1]])
+            state.update((last,))
+            state.setTimeoutTimestamp(max(int(newest.timestamp() * 1000) + (ttl + 1) * 1000,
+                                          state.getCurrentWatermarkMs() + 1))
+            kept.seek(0)
+            for _ in range(n):
+                t, ids = np.load(kept), np.load(kept)
+                cached = marker.cached(t, ids)
+                if early is not None:
+                    cached &= t >= early
+                yield pd.DataFrame({key: k[0], time: t, row_id: ids, "cached": cached})
+
+    return flags
+
+
+def cache_flags_stream(df: DataFrame, key: str, time: str, row_id: str, event_time: str,
+                       ttl: int = C.CACHE_TTL_SECONDS, lateness: str = "1 hour") -> DataFrame:
+    """Streaming form over a frame with the timestamp ``event_time``. The state of a
+    key is the second of its last miss; it is dropped once the watermark passes the
+    end of that entry's life. Rows of one trigger are ordered by (time, id), and rows leave with the
+    trigger they came in; ``cache_flags_ordered`` waits for those that come late.
 
+    A key's rows of a trigger are read twice, the second time from a temporary file of the worker,
+    which holds one Arrow batch of them and the distinct seconds."""
     kinds = dict(df.dtypes)
     schema = f"{key} {kinds[key]}, {time} long, {row_id} long, cached boolean"
     return (
         df.select(key, time, row_id, event_time).withWatermark(event_time, lateness).groupBy(key)
-        .applyInPandasWithState(flags, schema, "last_miss long", "append",
+        .applyInPandasWithState(_trigger_flags(key, time, row_id, event_time, ttl), schema, "last_miss long", "append",
                                 GroupStateTimeout.EventTimeTimeout)
     )

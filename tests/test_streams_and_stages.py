@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,34 @@ def test_a_stream_holds_blocks_not_keys(spark, monkeypatch):
         assert sorted((x.t, x.id, x.cached) for x in runner.drain(out).collect()) == want(last)
 
 
+def test_a_trigger_is_flagged_batch_by_batch(monkeypatch):
+    """A key's rows leave in the Arrow batches they came in, whatever the number of rows."""
+    r, base = random.Random(8), 1_700_000_000
+    data = [(base + r.randrange(20_000), i) for i in range(3000)]
+
+    class State:
+        hasTimedOut, exists, kept = False, False, None
+
+        def update(self, x):
+            self.kept = x
+
+        def setTimeoutTimestamp(self, ms):
+            self.timeout = ms
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+    monkeypatch.setattr(replay, "BLOCK_ROWS", 64)
+    frame = pd.DataFrame(data, columns=["t", "id"])
+    frame["ts"], state = pd.to_datetime(frame["t"], unit="s"), State()
+    flags = replay._trigger_flags("k", "t", "id", "ts", 300)
+    frames = list(flags(("a",), (frame[i:i + 50] for i in range(0, 3000, 50)), state))
+    assert len(frames) == 60 and max(map(len, frames)) == 50
+    want = replayed([(t, i, "a") for t, i in data], 300)
+    assert {int(i): bool(c) for f in frames for i, c in zip(f["id"], f["cached"])} == want
+    assert state.kept == (max(t for t, i in data if not want[i]),)
+
+
 def test_windowed_scores_meet_each_request_once(spark):
     """Payloads that occur once make one row each for the join, whatever the number of salts."""
     df = spark.range(500).select("id", F.col("id").alias("x"), F.lit("p").alias("p"), F.timestamp_seconds("id").alias("ts"))
