@@ -66,15 +66,19 @@ def _next_bucket(x: Column, lo: float, hi: float, buckets: int) -> Column:
     return F.floor(part).cast("long")
 
 
-def _count(df: DataFrame, cells: list[tuple[Column, Column]], weight: Column | None) -> DataFrame:
+def _count(df: DataFrame, cells: list[tuple[Column, Column]], weight: Column | None,
+           bucket=lambda x: F.lit(0)) -> DataFrame:
     """(interval, bucket, n, lo, hi) of the (place, value) columns; place is the
-    interval's number times ``SPAN`` plus the bucket, null outside."""
+    interval's number times ``SPAN`` plus the bucket, null outside. ``bucket`` of the value is
+    added to the place after the columns became rows: written out once for each column, it
+    outgrows what the JVM compiles."""
     rows = F.array(*[F.struct(place.alias("place"), x.alias("x")) for place, x in cells])
     if weight is None:
         tall, n = df.select(F.inline(rows)), F.count(F.lit(1))
     else:
         tall = df.select(weight.cast("long").alias("w"), F.inline(rows)).where("w > 0")
         n = F.sum("w")
+    tall = tall.withColumn("place", F.col("place") + bucket(F.col("x")))
     counted = tall.where("place is not null").groupBy("place").agg(
         n.alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     return counted.select(F.expr(f"place div {SPAN}").cast("int").alias("interval"),
@@ -100,11 +104,11 @@ def _open(row) -> bool:
 
 def _select(df, series, probs, weight, buckets):
     names, found, totals = list(series), {}, {}
-    cells = [(_first_bucket(series[c]) + F.lit(i * SPAN), series[c]) for i, c in enumerate(names)]
+    cells = [(F.lit(i * SPAN).cast("long"), series[c]) for i, c in enumerate(names)]
     at = F.array_distinct(F.flatten(F.array(*[
         F.array(F.floor(h), F.ceil(h)) for h in ((F.col("total") - 1) * F.lit(float(p)) for p in probs)])))
     # (column, rank in the column, rank in the bucket, lo, hi)
-    got = [(names[r["interval"]], r["rank"], r) for r in _pick(_count(df, cells, weight), at)]
+    got = [(names[r["interval"]], r["rank"], r) for r in _pick(_count(df, cells, weight, _first_bucket), at)]
     totals = {c: r["total"] for c, _, r in got}
     while got:
         wanted = {}  # interval -> [(rank in the column, rank in the interval)]
