@@ -8,7 +8,7 @@ from ..functions.expressions import score_columns, with_payload_defaults
 from ..operators.evaluation import SCORE
 from ..operators.features import FeatureModel
 from ..operators.models import add_score
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 
 
 def score_requests(model, features: FeatureModel, requests: DataFrame, request_id: str,
@@ -29,6 +29,8 @@ def score_requests(model, features: FeatureModel, requests: DataFrame, request_i
         F.try_element_at("extras", F.lit(c)).try_cast(
             "string" if c in C.CATEGORICAL_FEATURES else "double").alias(c)
         for c in more if c not in C.ENGINEERED_FEATURES]).drop("extras")
+    if not all(features.small.values()):
+        rows = materialize(rows)  # a large lookup reads its rows several times; payloads are parsed once
     matrix = features.transform(rows, keep=(request_id,))
     scored = add_score(model, matrix, features.feature_columns)
     return scored.select(request_id, *[e.alias(n) for n, e in score_columns(SCORE, threshold).items()])
