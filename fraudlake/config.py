@@ -84,5 +84,7 @@ BROADCAST_BYTES = 128 << 20     # nor one above this many bytes, see joins.row_b
 FILTER_BYTES = 32 << 20         # bits of a key filter, see keyfilter
 UNSEEN_SHARE = 10               # rows without a partner pass by a shuffle if more than 1/10 of all
 HOT_KEY_SHARE = 1_000           # a key with more than 1/1000 of all rows counts as hot
-TRAIN_ROWS = 250_000            # rows in a partition while a classifier is fitted
+TRAIN_ROWS = 250_000            # rows in a partition while a classifier is fitted, at most
+LEAST_TRAIN_ROWS = 10_000       # smaller partitions cost more than they save
+TRAIN_PARTITIONS = 24           # up to so many partitions of fewer than TRAIN_ROWS rows
 AGG_CHUNK = 48                  # expressions per wide aggregate

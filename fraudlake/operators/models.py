@@ -49,6 +49,13 @@ class Dealt:
     balanced: dict[int, float]
 
 
+def partitions_for(n_rows: int) -> int:
+    """Small tables are dealt finely so that a tree's levels run side by side; large ones by
+    ``TRAIN_ROWS``, as each partition brings its own table of counts to every level."""
+    fine = min(-(-n_rows // C.LEAST_TRAIN_ROWS), C.TRAIN_PARTITIONS)
+    return max(1, fine, -(-n_rows // C.TRAIN_ROWS))
+
+
 @contextmanager
 def dealt(matrix: DataFrame, features: list[str] | None = None, partitions: int | None = None):
     """Rows of a training matrix, kept on the executors (spilling to their disks) inside the
@@ -60,7 +67,7 @@ def dealt(matrix: DataFrame, features: list[str] | None = None, partitions: int
     features = features or feature_names(matrix)
     found = class_weights(matrix).collect()  # two rows; the total counts rows without a label too
     n_rows = matrix.count()
-    partitions = partitions or max(1, -(-n_rows // C.TRAIN_ROWS))
+    partitions = partitions or partitions_for(n_rows)
     spread = matrix.repartition(partitions, *features).sortWithinPartitions(*features, C.TARGET)
     ready = assemble(spread, features).select(VECTOR, C.TARGET).persist(StorageLevel.MEMORY_AND_DISK)
     try:
