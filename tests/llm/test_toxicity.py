@@ -92,3 +92,37 @@ def test_best_cut():
     x, y = np.array([3.0, 2, 2, 1, 0]), np.array([1.0, 1, 1, 0, 0])
     assert toxicity.best_cut(x, y, np.ones(5)) == 1.5
     assert toxicity.best_cut(x, np.ones(5), np.ones(5)) < 0
+
+
+def test_cuts_by_language_over_all_rows(spark):
+    r = np.random.default_rng(3)
+    lang = r.choice(["en", "de", "fr"], 400, p=[0.6, 0.37, 0.03])
+    x = np.round(r.normal(size=400), 1)
+    y = (x + r.normal(size=400) > (lang == "de")).astype(int)
+    told = spark.createDataFrame([(str(a), float(b), int(c)) for a, b, c in zip(lang, x, y)],
+                                 "lang string, logit double, y int").repartition(3)
+    cuts, common = toxicity.best_cuts(told)
+    assert common == toxicity.best_cut(x, y, np.ones(400)) and sorted(cuts) == ["de", "en"]
+    for name, cut in cuts.items():
+        assert cut == toxicity.best_cut(x[lang == name], y[lang == name], np.ones((lang == name).sum()))
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """Beyond 3,000 rows a label, in several shards: counts of all rows, and a model that tells them apart."""
+    rows = [(i, ("kind words " if i % 2 else "rotten words ") + f"n{i % 50}", "en") for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = df.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic"))
+    seen = []
+    counted, joined = toxicity.word_counts, toxicity.best_cuts
+    monkeypatch.setattr(toxicity, "word_counts", lambda d: seen.append(d) or counted(d))
+    monkeypatch.setattr(toxicity, "best_cuts", lambda d: seen.append(d.count()) or joined(d))
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 3000)
+    model = toxicity.fit(df, marks)
+    shards = [r.n // 8 for r in seen[0].where("name = 'y'").select(F.octet_length("data").alias("n")).collect()]
+    assert len(shards) == 3 and sum(shards) + seen[1] == 9000
+    scores = model.scores(pa.array([t for _, t, _ in rows[:100]]))
+    assert ((scores >= 0.5) == (np.arange(100) % 2 == 0)).all()
+    found = counted(toxicity.deal(df.join(marks, "doc_id").select(
+        F.col("doc_id").alias("key"), "text", F.col("toxic").alias("y")), 3))
+    place = found["bucket"].to_pylist().index(toxicity.features("rotten")[0])
+    assert (found["n0"][place].as_py(), found["n1"][place].as_py()) == (0, 4500)
