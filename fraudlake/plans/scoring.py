@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.expressions import score_columns, with_payload_defaults
 from ..operators.evaluation import SCORE
-from ..operators.features import FeatureModel
+from ..operators.features import PAIR, FeatureModel
 from ..operators.models import add_score
 from ..session import materialize, shared_dir
 
@@ -23,9 +23,10 @@ def score_requests(model, features: FeatureModel, requests: DataFrame, request_i
         large = sorted(k for k, small in features.small.items() if not small)
         raise ValueError(f"learned tables beyond the broadcast bound: {large}; use foreachBatch")
     rows = with_payload_defaults(requests.select(request_id, payload), payload)
-    # further features may come as extra fields
-    more = [c for c in (*C.ALL_FEATURES, C.TIME) if c not in rows.columns]
-    rows = rows.select("*", *[
+    # further features may come as extra fields; what the model has not learned is not carried along
+    used = {*features.feature_columns, C.AMOUNT, C.TIME, *PAIR}
+    more = [c for c in (*C.ALL_FEATURES, C.TIME) if c not in rows.columns and c in used]
+    rows = rows.select(request_id, *[c for c in rows.columns if c in used], "extras", *[
         F.try_element_at("extras", F.lit(c)).try_cast(
             "string" if c in C.CATEGORICAL_FEATURES else "double").alias(c)
         for c in more if c not in C.ENGINEERED_FEATURES]).drop("extras")

@@ -36,5 +36,19 @@ def test_payloads_are_parsed_once_for_a_large_lookup(spark, raw):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_a_large_lookup_moves_learned_columns_only(spark, raw, monkeypatch):
+    fitted = features.FeatureEstimator().fit(raw)
+    model = models.train("logistic-regression", fitted.transform(raw), fitted.feature_columns, maxIter=3)
+    fields = [c for c in raw.columns if c not in (C.KEY, C.TARGET)]
+    requests = raw.select(C.KEY, F.to_json(F.struct(*fields, F.lit(5).alias("V99"))).alias("payload"))
+    want = scoring.score_requests(model, fitted, requests, C.KEY, "payload").collect()
+    fitted.small, written, write = dict.fromkeys(fitted.small, False), [], scoring.materialize
+    monkeypatch.setattr(scoring, "materialize", lambda df: written.append(df.columns) or write(df))
+    got = scoring.score_requests(model, fitted, requests, C.KEY, "payload").collect()
+    assert sorted(got) == sorted(want)
+    learned = {*fitted.feature_columns, C.KEY, C.TIME}
+    assert set(written[0]) <= learned and "V99" not in written[0]
+
+
 def test_small_training_tables_are_dealt_finely():
     assert [models.partitions_for(n) for n in (0, 10_000, 80_000, 2_400_000, 28_800_000)] == [1, 1, 8, 24, 116]
