@@ -35,7 +35,7 @@ import copy
 import re
 import zlib
 from collections import defaultdict
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,41 +53,64 @@ BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 16, 16, (1, 2, 3)
 SHARD_ROWS, SHARD_BYTES = 1 << 14, 64 << 20
 FEW = 15
 ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 32, 0.1
-WINDOWS = 1 << 18
+WINDOWS = 1 << 13  # their answers stay in a core's cache
 BLOCK = 1 << 20
 KNOWN_WORDS = 150_000
 PAD = max(WIDTHS)
 SHARD = {"line": np.int32, "begins": np.int64, "sizes": np.int64, "of": np.int32, "y": np.float64}
 _WORD = re.compile(r"\w+")
+_SPACED = bytes(i if _WORD.fullmatch(chr(i)) else 32 for i in range(256))
+
+
+def words_of(text: str) -> list[str]:
+    """The lower-cased words; texts of Latin-1 characters are split without the regular expression."""
+    text = text.lower()
+    try:
+        return text.encode("latin-1").translate(_SPACED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text)
 
 
 def features(word: str) -> tuple[int, int, int, int]:
     """Buckets of the word and of its beginnings."""
     raw = word.encode()
-    return (zlib.crc32(raw) % BUCKETS, *(zlib.crc32(word[:n].encode(), n) % BUCKETS for n in (3, 4, 5)))
+    a, b, c = (raw[:3], raw[:4], raw[:5]) if word.isascii() else (word[:3].encode(), word[:4].encode(), word[:5].encode())
+    return (zlib.crc32(raw) % BUCKETS, zlib.crc32(a, 3) % BUCKETS, zlib.crc32(b, 4) % BUCKETS,
+            zlib.crc32(c, 5) % BUCKETS)
+
+
+def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray):
+    """``table[at] += rows``, repeated places included, in order; numpy is fast at this on flat arrays only."""
+    np.add.at(table.reshape(-1), (at[:, None] * DIM + np.arange(DIM)).ravel(), rows.ravel())
+
+
+def taken(tables: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
+    """The sum over all offsets of the rows that ``n`` windows of the line have there, and one row of room."""
+    out = np.empty((n + 1, tables.shape[2]), tables.dtype)
+    tables[0].take(line[:n], 0, out[:n], "clip")
+    for o in range(1, len(tables)):
+        out[:n] += tables[o].take(line[o:n + o], 0, mode="clip")
+    return out
 
 
 class Lexicon:
     """Numbers words as they are met; 0 is the padding."""
 
     def __init__(self):
-        self.number = defaultdict(self._next, {"": 0})
-
-    def _next(self):
-        return len(self.number)
+        self.number = defaultdict(count(1).__next__, {"": 0})
 
     def line(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(all words one after the other with padding after each text, begins, word counts)."""
         number, parts, sizes, pad = self.number, [], [], np.zeros(PAD, np.int32)
         for text in texts:
-            words = _WORD.findall(text.lower())
+            words = words_of(text)
             parts += [np.fromiter(map(number.__getitem__, words), np.int32, len(words)), pad]
             sizes.append(len(words))
         sizes = np.array(sizes, np.int64)
         return np.concatenate([*parts, pad]), np.cumsum(sizes + PAD) - sizes - PAD, sizes
 
     def new_features(self, seen: int) -> np.ndarray:
-        rows = [features(w) for w in islice(self.number, seen, None)]
+        rows = [x for w in islice(self.number, seen, None) for x in features(w)]
         return np.array(rows, np.int32).reshape(-1, 4)
 
 
@@ -131,14 +154,14 @@ class Network:
             self.memory[k] = take(self.memory[k])
 
     def vectors(self, of: np.ndarray) -> np.ndarray:
-        out = self.embed[of[:, 0]]
+        out = self.embed.take(of[:, 0], 0)
         for i in range(1, of.shape[1]):
-            out += self.embed[of[:, i]]
+            out += self.embed.take(of[:, i], 0)
         return out
 
     def answers(self, vectors: np.ndarray) -> dict[int, np.ndarray]:
         """What a word adds to each filter at each of its offsets, with a first row of zeros."""
-        return {w: np.stack([vectors @ f[o] for o in range(w)]) for w, f in self.filters.items()}
+        return {w: np.matmul(vectors, f) for w, f in self.filters.items()}
 
     def pooled(self, answers, line, begins, sizes) -> np.ndarray:
         """The largest answer of every filter over each text."""
@@ -152,8 +175,8 @@ class Network:
             cuts = np.empty(2 * len(here), np.int64)
             cuts[0::2], cuts[1::2] = np.maximum(begins[here], lo) - lo, np.minimum(ends[here], hi) - lo
             for k, w in enumerate(WIDTHS):
-                found = sum(answers[w][o][line[lo + o:hi + o]] for o in range(w))
-                found = np.vstack([found, np.full((1, FILTERS), -np.inf, np.float32)])
+                found = taken(answers[w], line[lo:hi + w], hi - lo)
+                found[-1] = -np.inf
                 mine = slice(k * FILTERS, (k + 1) * FILTERS)
                 out[here, mine] = np.maximum(out[here, mine], np.maximum.reduceat(found, cuts, axis=0)[0::2])
         return np.maximum(out + np.concatenate([self.bias[w] for w in WIDTHS]), 0)
@@ -163,13 +186,15 @@ class Network:
 
     def train(self, line, begins, sizes, of, y, weight, mine, epochs=EPOCHS, seed=5):
         """``of``: the buckets of each word; ``weight``: of each text; ``mine``: the texts to learn."""
-        r = np.random.default_rng(seed)
+        r, place = np.random.default_rng(seed), np.zeros(len(of), np.int64)
+        there = np.zeros(len(of), bool)
         for _ in range(epochs):
             order = r.permutation(mine)
             for lo in range(0, len(order), BATCH):
-                self._step(line, begins, sizes, of, y, weight, order[lo:lo + BATCH])
+                self._step(line, begins, sizes, of, y, weight, order[lo:lo + BATCH], place, there)
 
-    def _step(self, line, begins, sizes, of, y, weight, docs):
+    def _step(self, line, begins, sizes, of, y, weight, docs, place, there):
+        """``place``, ``there``: room for a number and a mark a word, the marks false before and after."""
         memory = self.memory
         # the batch's own line of words
         lengths = sizes[docs] + PAD
@@ -177,14 +202,15 @@ class Network:
         starts = ends - lengths
         words = line[np.arange(ends[-1]) + np.repeat(begins[docs] - starts, lengths)]
         words = np.concatenate([words, np.zeros(PAD, line.dtype)])
-        known, words = np.unique(words, return_inverse=True)
+        there[words] = True
+        known = np.flatnonzero(there)
+        place[known], there[known] = np.arange(len(known)), False
+        words = place[words]
         vectors = self.vectors(of[known])
         vectors[known == 0] = 0
         answers, best, pooled = self.answers(vectors), {}, []
         for w in WIDTHS:
-            found = answers[w][0][words[:len(words) - PAD]]
-            for o in range(1, w):
-                found += answers[w][o][words[o:len(words) - PAD + o]]
+            found = taken(answers[w], words, len(words) - PAD)
             best[w] = np.array([s + found[s:s + n + 1].argmax(0) for s, n in zip(starts.tolist(), sizes[docs].tolist())])
             pooled.append(np.take_along_axis(found, best[w], 0) + self.bias[w])
         pooled = np.concatenate(pooled, 1)
@@ -198,7 +224,7 @@ class Network:
             for o in range(w):
                 at = words[best[w] + o]
                 grad[o] = np.einsum("dfk,df->kf", vectors[at], mine)
-                np.add.at(moved, at.ravel(), (mine[:, :, None] * self.filters[w][o].T[None]).reshape(-1, DIM))
+                add_rows(moved, at.ravel(), mine[:, :, None] * self.filters[w][o].T[None])
             memory[w] += grad * grad
             self.filters[w] -= RATE * grad / np.sqrt(memory[w])
             grad = mine.sum(0)
@@ -210,9 +236,9 @@ class Network:
         memory["shift"] += float(g.sum()) ** 2
         self.shift -= np.float32(RATE * g.sum() / np.sqrt(memory["shift"]))
         touched = np.flatnonzero(np.abs(moved).sum(1) * (known > 0))
-        buckets, place = np.unique(of[known[touched]], return_inverse=True)
+        buckets, rows = np.unique(of[known[touched]], return_inverse=True)
         grads = np.zeros((len(buckets), DIM), np.float32)
-        np.add.at(grads, place.ravel(), np.repeat(moved[touched], 4, axis=0))
+        add_rows(grads, rows.ravel(), np.repeat(moved[touched], 4, axis=0))
         memory["embed"][buckets] += (grads * grads).mean(1)
         self.embed[buckets] -= RATE * grads / np.sqrt(memory["embed"][buckets])[:, None]
 
@@ -235,8 +261,12 @@ class Model:
         line, begins, sizes = self.lexicon.line(strings(texts))
         new = self.lexicon.new_features(seen)
         if len(new):
-            more = self.network.answers(self.network.vectors(new))
-            self.answers = {w: np.concatenate([self.answers[w], more[w]], 1) for w in WIDTHS}
+            for w, more in self.network.answers(self.network.vectors(new)).items():
+                if self.answers[w].shape[1] < seen + len(new):  # doubled, so that a word is copied about once
+                    room = np.empty((w, 2 * (seen + len(new)), FILTERS), np.float32)
+                    room[:, :seen] = self.answers[w][:, :seen]
+                    self.answers[w] = room
+                self.answers[w][:, seen:seen + len(new)] = more
         logits = self.network.logits(self.answers, line, begins, sizes).astype(np.float64)
         return logits, self.speaks.predict(texts)[0]
 
@@ -351,7 +381,7 @@ def shard_of(batches) -> list[np.ndarray] | None:
 
 def word_counts(dealt: DataFrame) -> pa.Table:
     """(bucket, n0, n1): how many texts of either label hold each bucket; at most ``BUCKETS`` rows."""
-    def count(batches):
+    def held_by(batches):
         shard = shard_of(batches)
         if shard is None:
             return
@@ -363,7 +393,7 @@ def word_counts(dealt: DataFrame) -> pa.Table:
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(held[0, there]), pa.array(held[1, there])],
                                          ["bucket", "n0", "n1"])
 
-    counted = dealt.mapInArrow(count, "bucket long, n0 long, n1 long")
+    counted = dealt.mapInArrow(held_by, "bucket long, n0 long, n1 long")
     return counted.groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
 
 

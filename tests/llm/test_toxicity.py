@@ -126,3 +126,31 @@ def test_every_labelled_row_is_learned_from(spark, monkeypatch):
         F.col("doc_id").alias("key"), "text", F.col("toxic").alias("y")), 3))
     place = found["bucket"].to_pylist().index(toxicity.features("rotten")[0])
     assert (found["n0"][place].as_py(), found["n1"][place].as_py()) == (0, 4500)
+
+
+def test_words_are_those_of_the_expression():
+    texts = ["", "Ab_1 c\x85d\xa0e\x1cf", "²³¼½ªµº_×÷ÀÖØß", "İß ẞ “x”", "Ÿ a\ud800b", *(f"A{chr(i)}b" for i in range(0x3100))]
+    for text in texts:
+        assert toxicity.words_of(text) == toxicity._WORD.findall(text.lower())
+    for word in ("a", "rotten", "größe", "жизнь", "_9"):
+        assert toxicity.features(word)[1:] == tuple(
+            zlib.crc32(word[:n].encode(), n) % toxicity.BUCKETS for n in (3, 4, 5))
+
+
+def test_known_answers_are_not_copied_by_every_block():
+    speaks = toxicity.language.LanguageModel([], np.zeros((toxicity.language.BUCKETS, 1), np.float32), np.zeros(1), [])
+    model, rooms = toxicity.Model(toxicity.Network(), speaks, {}, 0.0, 0.0), []
+    for i in range(200):
+        model.scores(pa.array([f"word{i} other{i}"]))
+        if not rooms or model.answers[1] is not rooms[-1]:
+            rooms.append(model.answers[1])
+    assert len(rooms) < 12
+
+
+def test_rows_add_up_in_order():
+    r = np.random.default_rng(1)
+    at, rows = r.integers(0, 7, 500), r.normal(size=(500, toxicity.DIM)).astype(np.float32)
+    want, got = np.zeros((2, 7, toxicity.DIM), np.float32)
+    np.add.at(want, at, rows)
+    toxicity.add_rows(got, at, rows)
+    assert (want == got).all()
