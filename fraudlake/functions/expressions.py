@@ -75,9 +75,12 @@ def score_columns(p, threshold: float = C.SCORE_THRESHOLD) -> dict[str, Column]:
     }
 
 
-def with_payload_defaults(df: DataFrame, payload: str, defaults: dict = C.REQUEST_DEFAULTS) -> DataFrame:
+def with_payload_defaults(df: DataFrame, payload: str, defaults: dict = C.REQUEST_DEFAULTS,
+                          more: dict[str, str] | None = None) -> DataFrame:
     """Replace the JSON text column by the declared request fields, absent ones
-    filled with their default; ``extras`` keeps every other field as text. The text
+    filled with their default; ``extras`` keeps every other field as text. With ``more`` (names
+    and types) these other fields only are read, as columns in place of ``extras``: comparing every field
+    of a payload with every declared name costs more than parsing it. The text
     is parsed once, in a step of its own."""
     others = [c for c in df.columns if c != payload]
     parsed = df.select(*others, F.from_json(payload, "map<string,string>").alias("_fields"))
@@ -88,9 +91,11 @@ def with_payload_defaults(df: DataFrame, payload: str, defaults: dict = C.REQUES
         value = text if isinstance(default, str) else text.try_cast("double")
         return F.coalesce(value, F.lit(default)).alias(name)
 
-    return parsed.select(
-        *others, *[field(n, d) for n, d in defaults.items()],
-        F.map_filter("_fields", lambda k, _: ~F.array_contains(names, k)).alias("extras"))
+    if more is None:
+        rest = [F.map_filter("_fields", lambda k, _: ~F.array_contains(names, k)).alias("extras")]
+    else:
+        rest = [F.try_element_at("_fields", F.lit(n)).try_cast(kind).alias(n) for n, kind in more.items()]
+    return parsed.select(*others, *[field(n, d) for n, d in defaults.items()], *rest)
 
 
 def payload_key(columns: list[str]) -> Column:

@@ -1,7 +1,6 @@
 """Scoring request payloads, as a batch or as a stream."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.expressions import score_columns, with_payload_defaults
@@ -22,14 +21,13 @@ def score_requests(model, features: FeatureModel, requests: DataFrame, request_i
     if requests.isStreaming and not all(features.small.values()):
         large = sorted(k for k, small in features.small.items() if not small)
         raise ValueError(f"learned tables beyond the broadcast bound: {large}; use foreachBatch")
-    rows = with_payload_defaults(requests.select(request_id, payload), payload)
     # further features may come as extra fields; what the model has not learned is not carried along
     used = {*features.feature_columns, C.AMOUNT, C.TIME, *PAIR}
-    more = [c for c in (*C.ALL_FEATURES, C.TIME) if c not in rows.columns and c in used]
-    rows = rows.select(request_id, *[c for c in rows.columns if c in used], "extras", *[
-        F.try_element_at("extras", F.lit(c)).try_cast(
-            "string" if c in C.CATEGORICAL_FEATURES else "double").alias(c)
-        for c in more if c not in C.ENGINEERED_FEATURES]).drop("extras")
+    more = [c for c in (*C.ALL_FEATURES, C.TIME)
+            if c in used and c not in C.REQUEST_DEFAULTS and c not in C.ENGINEERED_FEATURES and c != request_id]
+    rows = with_payload_defaults(requests.select(request_id, payload), payload, more={
+        c: "string" if c in C.CATEGORICAL_FEATURES else "double" for c in more})
+    rows = rows.select(request_id, *[c for c in rows.columns if c in used and c != request_id])
     if not all(features.small.values()):
         rows = materialize(rows)  # a large lookup reads its rows several times; payloads are parsed once
     matrix = features.transform(rows, keep=(request_id,))

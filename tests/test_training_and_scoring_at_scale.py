@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from fraudlake import config as C
+from fraudlake.functions import expressions
 from fraudlake.operators import features, models, quantiles
 from fraudlake.plans import queries_model, scoring
 
@@ -52,3 +53,19 @@ def test_a_large_lookup_moves_learned_columns_only(spark, raw, monkeypatch):
 
 def test_small_training_tables_are_dealt_finely():
     assert [models.partitions_for(n) for n in (0, 10_000, 80_000, 2_400_000, 28_800_000)] == [1, 1, 8, 24, 116]
+
+
+def test_scoring_reads_single_fields_and_not_all_extras(spark, raw):
+    fitted = features.FeatureEstimator().fit(raw)
+    model = models.train("logistic-regression", fitted.transform(raw), fitted.feature_columns, maxIter=3)
+    requests = spark.createDataFrame(
+        [(1, '{"TransactionAmt": "5", "V1": 2, "R_emaildomain": "gmail.com", "V99": {"a": [1]}}'), (2, "{}"), (3, None),
+         (4, '{"V1": "x", "note": null}'), (5, "no json")], f"{C.KEY} long, payload string")
+    got = scoring.score_requests(model, fitted, requests, C.KEY, "payload")
+    assert got.count() == 5 and "array_contains" not in plan_of(got) and plan_of(got).count("from_json") == 1
+    more = {"V1": "double", "R_emaildomain": "string", "V99": "string"}
+    rows = expressions.with_payload_defaults(requests, "payload", more=more).collect()
+    kept = expressions.with_payload_defaults(requests, "payload").collect()
+    assert [r.V1 for r in rows] == [2.0, None, None, None, None] and rows[0].R_emaildomain == "gmail.com"
+    for r, k in zip(rows, kept):
+        assert r.V99 == (k.extras or {}).get("V99") and r.TransactionAmt == k.TransactionAmt
