@@ -81,21 +81,31 @@ def with_payload_defaults(df: DataFrame, payload: str, defaults: dict = C.REQUES
     filled with their default; ``extras`` keeps every other field as text. With ``more`` (names
     and types) these other fields only are read, as columns in place of ``extras``: comparing every field
     of a payload with every declared name costs more than parsing it. The text
-    is parsed once, in a step of its own."""
+    is parsed once, in a step of its own, and all numbers are cast as one array in another: a cast
+    for each field makes a method of the generated code that the JVM only interprets."""
     others = [c for c in df.columns if c != payload]
     parsed = df.select(*others, F.from_json(payload, "map<string,string>").alias("_fields"))
     names = F.array(*map(F.lit, defaults))
-
-    def field(name, default):
-        text = F.try_element_at("_fields", F.lit(name))
-        value = text if isinstance(default, str) else text.try_cast("double")
-        return F.coalesce(value, F.lit(default)).alias(name)
-
+    kinds = {n: "string" if isinstance(d, str) else "double" for n, d in defaults.items()} | (more or {})
+    numbers = [n for n, kind in kinds.items() if kind == "double"]
     if more is None:
-        rest = [F.map_filter("_fields", lambda k, _: ~F.array_contains(names, k)).alias("extras")]
+        rest = [F.map_filter("_fields", lambda k, _: ~F.array_contains(names, k)).alias("_extras")]
     else:
-        rest = [F.try_element_at("_fields", F.lit(n)).try_cast(kind).alias(n) for n, kind in more.items()]
-    return parsed.select(*others, *[field(n, d) for n, d in defaults.items()], *rest)
+        rest = []
+    texts = [field(n).try_cast(kind).alias("_" + n) for n, kind in kinds.items() if kind != "double"]
+    read = parsed.select(*others, F.array(*map(field, numbers)).try_cast("array<double>").alias("_numbers"),
+                         *texts, *rest)
+
+    def value(n):
+        found = F.get("_numbers", F.lit(numbers.index(n))) if n in numbers else F.col("_" + n)
+        return (F.coalesce(found, F.lit(defaults[n])) if n in defaults else found).alias(n)
+
+    return read.select(*others, *map(value, kinds), *[F.col("_extras").alias("extras") for _ in rest])
+
+
+def field(name: str) -> Column:
+    """Text of one field of a parsed payload."""
+    return F.try_element_at("_fields", F.lit(name))
 
 
 def payload_key(columns: list[str]) -> Column:

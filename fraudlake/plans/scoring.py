@@ -25,9 +25,9 @@ def score_requests(model, features: FeatureModel, requests: DataFrame, request_i
     used = {*features.feature_columns, C.AMOUNT, C.TIME, *PAIR}
     more = [c for c in (*C.ALL_FEATURES, C.TIME)
             if c in used and c not in C.REQUEST_DEFAULTS and c not in C.ENGINEERED_FEATURES and c != request_id]
-    rows = with_payload_defaults(requests.select(request_id, payload), payload, more={
+    declared = {c: d for c, d in C.REQUEST_DEFAULTS.items() if c in used and c != request_id}
+    rows = with_payload_defaults(requests.select(request_id, payload), payload, declared, more={
         c: "string" if c in C.CATEGORICAL_FEATURES else "double" for c in more})
-    rows = rows.select(request_id, *[c for c in rows.columns if c in used and c != request_id])
     if not all(features.small.values()):
         rows = materialize(rows)  # a large lookup reads its rows several times; payloads are parsed once
     matrix = features.transform(rows, keep=(request_id,))

@@ -69,3 +69,24 @@ def test_scoring_reads_single_fields_and_not_all_extras(spark, raw):
     assert [r.V1 for r in rows] == [2.0, None, None, None, None] and rows[0].R_emaildomain == "gmail.com"
     for r, k in zip(rows, kept):
         assert r.V99 == (k.extras or {}).get("V99") and r.TransactionAmt == k.TransactionAmt
+
+
+def test_numbers_of_a_payload_are_cast_in_one_step(spark):
+    requests = spark.createDataFrame(
+        [(1, '{"C1": "5", "C2": 1e3, "C3": "x", "C4": true, "C5": {"a": 1}, "card4": 7, "V1": null, "note": 1}'), (2, "{}"),
+         (3, None), (4, '{"C1": 1, "C1": 2}'), (5, '[{"C1": 5}]')], "id long, payload string")
+    got = expressions.with_payload_defaults(requests, "payload", {"C1": 0.5, "C2": 0.0, "C3": 0.0, "C4": 0.0, "C5": 0.0,
+                                                                  "card4": "visa"}, more={"V1": "double"})
+    assert plan_of(got).count("cast(") <= 2
+    assert [tuple(r) for r in got.collect()] == [
+        (1, 5.0, 1000.0, 0.0, 0.0, 0.0, "7", None), (2, 0.5, 0.0, 0.0, 0.0, 0.0, "visa", None),
+        (3, 0.5, 0.0, 0.0, 0.0, 0.0, "visa", None), (4, 1.0, 0.0, 0.0, 0.0, 0.0, "visa", None),
+        (5, 0.5, 0.0, 0.0, 0.0, 0.0, "visa", None)]
+    assert expressions.with_payload_defaults(requests, "payload").first().extras == {"V1": None, "note": "1"}
+
+
+def test_requests_are_read_from_the_written_view(spark, sf):
+    _, _, rows = queries_model._scorer(spark, sf)
+    assert "Join" not in plan_of(rows) and rows.columns == queries_model._REQUEST_COLUMNS
+    assert rows.exceptAll(queries_model.txn(spark, sf, *rows.columns)).isEmpty()
+    assert rows.count() == spark.read.parquet(f"{sf}/events.parquet").count()
