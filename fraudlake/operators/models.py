@@ -14,6 +14,7 @@ from pyspark.storagelevel import StorageLevel
 from .. import config as C
 from ..functions.expressions import score_columns
 from ..session import materialize, shared_root
+from .boosting import fit_boosted
 from .evaluation import SCORE, evaluate
 
 KINDS = ("gbt", "logistic-regression", "random-forest")
@@ -97,7 +98,10 @@ def fit(kind: str, data: Dealt, **params):
     else:
         raise ValueError(f"unknown classifier {kind}")
     weight = F.when(F.col(C.TARGET) == 1, F.lit(float(weights[1]))).otherwise(float(weights[0]))
-    return learner.fit(data.rows.withColumn(WEIGHT, weight))
+    rows = data.rows.withColumn(WEIGHT, weight)
+    if kind == "gbt":
+        return fit_boosted(learner, rows, (float(weights[0]), float(weights[1])))
+    return learner.fit(rows)
 
 
 def train(kind: str, matrix: DataFrame, features: list[str] | None = None,

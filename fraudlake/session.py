@@ -62,5 +62,9 @@ def discard(*frames: DataFrame) -> None:
     """Delete the folders of frames that ``materialize`` returned. Only for frames that no later
     action reads, not even through a frame derived from them."""
     for df in frames:
-        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
-        hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+        remove(df.sparkSession, df.written_to)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
