@@ -8,6 +8,7 @@ counts its blocks for each level, in every pair of siblings the smaller one only
 """
 
 import json
+import math
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -283,13 +284,13 @@ class Block:
     parts: list[tuple[int, int]]   # number and rows of each partition
     labels: np.ndarray             # 0 and 1
     bins: np.ndarray               # feature, row
-    alone: bool = False            # no other block: sums in MLlib's order, equal to the last bit
+    whole: bool = False            # no other block: sums in MLlib's order, equal to the last bit
 
     @classmethod
     def joined(cls, blocks: list["Block"]) -> "Block":
         blocks = sorted(blocks, key=lambda b: b.parts)
         return cls([p for b in blocks for p in b.parts], np.concatenate([b.labels for b in blocks]),
-                   np.concatenate([b.bins for b in blocks], axis=1), len(blocks) == 1)
+                   np.concatenate([b.bins for b in blocks], axis=1), True)
 
     def drawn(self, s: Settings, tree: int) -> np.ndarray:
         return np.concatenate([
@@ -303,7 +304,7 @@ class Block:
             return y
         power = 2.0 * y * margins[rows]
         # NumPy's doubles are off in the last bit more often than the JVM's
-        grown = np.exp(power.astype(np.longdouble)).astype(float) if self.alone else np.exp(power)
+        grown = np.exp(power.astype(np.longdouble)).astype(float) if self.whole else np.exp(power)
         return 4.0 * y / (1.0 + grown)
 
     def after(self, margins: np.ndarray | None, tree: Tree, weight: float) -> np.ndarray:
@@ -318,6 +319,8 @@ class Rows:
         self.block, self.s = block, s
         self.rows = np.flatnonzero(drawn)
         self.node = np.zeros(len(self.rows), np.intp)
+        # sums are taken by partition and then added up
+        self.part = np.repeat(np.arange(len(block.parts)), [n for _, n in block.parts])[self.rows]
         residuals = block.residuals(margins, self.rows)
         self.positive = block.labels[self.rows] == 1
         self.total = np.where(self.positive, s.weights[1], s.weights[0]) * residuals
@@ -328,7 +331,7 @@ class Rows:
         self.node = tree.walked(self.block.bins, self.rows, self.node, levels)
         going = self.node >= min(tree.level, default=0)
         if not going.all():
-            for name in ("rows", "node", "positive", "total", "squares"):
+            for name in ("rows", "node", "part", "positive", "total", "squares"):
                 setattr(self, name, getattr(self, name)[going])
 
     def count(self, nodes: list[int]) -> np.ndarray:
@@ -337,10 +340,11 @@ class Rows:
         slot_of[nodes] = np.arange(len(nodes))
         slots = slot_of.take(self.node)
         here = np.flatnonzero(slots >= 0) if slots.min(initial=0) < 0 else slice(None)
-        rows, base, total, squares = (
-            self.rows[here], slots[here] * self.s.n_bins, self.total[here], self.squares[here])
+        rows, total, squares = self.rows[here], self.total[here], self.squares[here]
+        base = (self.part[here] * len(nodes) + slots[here]) * self.s.n_bins
         positive = np.flatnonzero(self.positive[here])
-        n, shape = len(nodes) * self.s.n_bins, (len(nodes), self.s.n_bins)
+        shape = len(self.block.parts), len(nodes), self.s.n_bins
+        n = math.prod(shape)
         out = np.empty((len(nodes), len(self.block.bins), self.s.n_bins, 4))
         for f, bins in enumerate(self.block.bins):
             cell = base + bins.take(rows)
@@ -349,7 +353,7 @@ class Rows:
                 (found - ones) * self.s.weights[0] + ones * self.s.weights[1],
                 np.bincount(cell, total, n), np.bincount(cell, squares, n), found,
             )):
-                out[:, f, :, i] = values.reshape(shape)
+                out[:, f, :, i] = reduce(np.add, values.reshape(shape))
         return out
 
 
@@ -365,7 +369,7 @@ def boost_in_task(block: Block, s: Settings) -> Iterator[Tree]:
             rows.descend(tree, min(tree.depth, 1))
             return rows.count(nodes)
 
-        tree = grow(count, s, s.seed + m, siblings=not block.alone)
+        tree = grow(count, s, s.seed + m, siblings=False)
         yield tree
         margins = block.after(margins, tree, s.weight(m))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudlake import config as C
 from fraudlake.operators import boosting, models
+from fraudlake.plans import queries_model, registry  # noqa: F401  (the first registers its queries)
 
 SETTINGS = {"maxIter": 4, "maxDepth": 4, "stepSize": 0.3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.7",
             "minInstancesPerNode": 5, "seed": 7}
@@ -93,3 +94,15 @@ def test_rows_are_drawn_as_the_jvm_draws_them(spark):
         assert boosting.sampled(seed, 300, 0.8).tolist() == want
         longs, r = boosting.java_longs(seed), jvm.java.util.Random(seed)
         assert [next(longs) for _ in range(5)] == [r.nextLong() for _ in range(5)]
+
+
+def test_importances_take_no_more_jobs_for_more_trees(spark, sf, monkeypatch):
+    counts = []
+    for n_trees in (2, 20):
+        monkeypatch.setitem(C.GBT_PARAMS, "maxIter", n_trees)
+        group = f"importances of {n_trees} trees"
+        spark.sparkContext.setJobGroup(group, "")
+        assert registry.QUERIES["feature_importance"](spark, sf).count() == 20
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[1] < counts[0] + 20
