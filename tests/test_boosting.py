@@ -106,3 +106,23 @@ def test_importances_take_no_more_jobs_for_more_trees(spark, sf, monkeypatch):
         counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert counts[1] < counts[0] + 20
+
+
+def test_of_two_siblings_the_smaller_one_is_counted():
+    r = np.random.default_rng(5)
+    bins = r.integers(0, 32, (4, 5_000)).astype(np.uint8)
+    labels = ((bins[0] > 20) ^ (bins[1] < 9) ^ (r.random(5_000) < 0.1)).astype(np.uint8)
+    s = boosting.Settings([np.arange(31.0)] * 4, (1.0, 20.0), 1, 5, 0.1, 0.8, 3, 5, 0.0, 0.0, 42)
+    block, trees, read = boosting.Block([(1, 5_000)], labels, bins), [], []
+    for siblings in (False, True):
+        rows, seen = boosting.Rows(block, block.drawn(s, 0), None, s), []
+
+        def count(tree, nodes, rows=rows, seen=seen):
+            rows.descend(tree, min(tree.depth, 1))
+            seen.append(int(np.isin(rows.node, nodes).sum()))
+            return rows.count(nodes)
+
+        trees.append(boosting.grow(count, s, s.seed, siblings))
+        read.append(seen)
+    assert trees[0] == trees[1] and len(trees[0].feature) > 15
+    assert all(below <= above / 2 for below, above in zip(read[1][1:], read[0]))
