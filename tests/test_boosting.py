@@ -126,3 +126,9 @@ def test_of_two_siblings_the_smaller_one_is_counted():
         read.append(seen)
     assert trees[0] == trees[1] and len(trees[0].feature) > 15
     assert all(below <= above / 2 for below, above in zip(read[1][1:], read[0]))
+
+
+def test_exponentials_are_those_of_the_jvm(spark):
+    jvm, x = spark.sparkContext._jvm, np.random.default_rng(1).normal(0, 8, 1_500)
+    got, want = boosting.java_exp(x), np.array([jvm.java.lang.Math.exp(float(v)) for v in x])
+    assert (np.abs(got - want) <= np.spacing(want)).all()
